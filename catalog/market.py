@@ -10,6 +10,7 @@ from catalog.registry import query, rounded
 from tickloom.functions import columns as C
 from tickloom.operators import checks, indicators as I, lookups, ordering, summaries
 from tickloom.plans import serving
+from tickloom.schemas import DEFAULT_BARS
 
 OHLCV = '"Date", "Ticker", "Open", "High", "Low", "Close", "Volume"'
 ROUNDED = (
@@ -102,20 +103,15 @@ def latest_n(spark, sf_dir):
     return tidy(serving.bar_view(kept))
 
 
-@query(LATEST_TEN.format(n=100))
+@query(LATEST_TEN.format(n=5))
 def tail_n(spark, sf_dir):
-    """The default limit of a served read."""
-    return tidy(serving.bar_view(ordering.latest_n(curated(spark, sf_dir), ["Ticker"], ["Date"], 100)))
+    """The recent bars a briefing starts from."""
+    return tidy(serving.bar_view(ordering.latest_n(curated(spark, sf_dir), ["Ticker"], ["Date"], DEFAULT_BARS)))
 
 
-@query(
-    f"""WITH {CURATED}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY "Ticker" ORDER BY "Date" DESC) AS rn FROM curated
-  WHERE "Ticker" IN ('S7', 'S11'))
-SELECT {OHLCV}, {ROUNDED} FROM ranked WHERE rn <= 100"""
-)
+@query(LATEST_TEN.format(n=100))
 def prices(spark, sf_dir):
-    return tidy(serving.prices(curated(spark, sf_dir), ["s7", "S11"]))
+    return tidy(serving.prices(curated(spark, sf_dir)))
 
 
 TICK_TAIL = f"""WITH {TICKS}, ranked AS (
