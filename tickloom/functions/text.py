@@ -25,6 +25,15 @@ NO_TITLE = "No title"
 NO_LINK = "#"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once.
+
+    A lambda recomputes every outer expression it mentions for each element;
+    bound as a one-element array it is a variable instead.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
@@ -47,11 +56,16 @@ def front_matter(raw: Column) -> Column:
             strip(F.substr(line, F.instr(line, ":") + 1)).alias("value"),
         ),
     )
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]),
-    )
-    return F.map_from_entries(last)
+
+    def last_of_each(all_pairs: Column) -> Column:
+        return F.filter(
+            all_pairs,
+            lambda p, i: ~F.exists(
+                F.slice(all_pairs, i + 2, F.size(all_pairs)), lambda q: q["key"] == p["key"]
+            ),
+        )
+
+    return F.map_from_entries(let(pairs, last_of_each))
 
 
 def body_text(raw: Column) -> Column:
@@ -75,15 +89,18 @@ def sections(body: Column) -> Column:
     return F.filter(rows, lambda s: s["text"] != F.lit(""))
 
 
-def _pieces(heading: Column, text: Column, parts: Column) -> Column:
+def _pieces(heading: Column, text: Column) -> Column:
     """One piece per bullet for a list-shaped section, else the section itself."""
-    items = F.filter(
-        F.transform(F.slice(parts, 2, F.size(parts)), strip), lambda item: item != F.lit("")
-    )
     lead = F.when(heading != F.lit(""), F.concat(heading, F.lit("\n\n"))).otherwise(F.lit(""))
-    bullets = F.transform(items, lambda item: F.concat(lead, F.lit("- "), item))
-    is_list = (F.size(parts) > F.lit(MIN_BULLETS_TO_SPLIT)) & (F.size(bullets) > F.lit(0))
-    return F.when(is_list, bullets).otherwise(F.array(text))
+
+    def items(parts: Column) -> Column:
+        stripped = F.transform(F.slice(parts, 2, F.size(parts)), strip)
+        kept = F.filter(stripped, lambda item: item != F.lit(""))
+        is_list = F.size(parts) > F.lit(MIN_BULLETS_TO_SPLIT)
+        return F.when(is_list, F.transform(kept, lambda item: F.concat(lead, F.lit("- "), item)))
+
+    bullets = let(F.split(text, BULLET), items)
+    return let(bullets, lambda found: F.when(F.size(found) > F.lit(0), found).otherwise(F.array(text)))
 
 
 def _titled(title: Column, heading: Column, piece: Column) -> Column:
@@ -94,14 +111,10 @@ def _titled(title: Column, heading: Column, piece: Column) -> Column:
 
 def section_pieces(body: Column) -> Column:
     """Array of (heading, pieces) per section, list sections split by bullet."""
-    split_up = F.transform(
-        sections(body),
-        lambda s: F.struct(s["heading"], s["text"], F.split(s["text"], BULLET).alias("parts")),
-    )
     return F.transform(
-        split_up,
+        sections(body),
         lambda s: F.struct(
-            s["heading"].alias("heading"), _pieces(s["heading"], s["text"], s["parts"]).alias("pieces")
+            s["heading"].alias("heading"), _pieces(s["heading"], s["text"]).alias("pieces")
         ),
     )
 
@@ -117,10 +130,13 @@ def chunk_texts(title: Column, body: Column) -> Column:
 
 def n_grams(text: Column, n: int = 5) -> Column:
     """Runs of ``n`` lower-case words joined by blanks."""
+
+    def runs(words: Column) -> Column:
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - F.lit(n - 1)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - F.lit(n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+    return F.coalesce(let(words, runs), F.array().cast("array<string>"))
 
 
 def retrieval_query(ticker: Column) -> Column:
@@ -164,7 +180,9 @@ def news_item(item: Column) -> Column:
     def part(path: str) -> Column:
         return F.get_json_object(content, path)
 
-    has_click = part("$.clickThroughUrl").isNotNull()
+    has_click = F.coalesce(
+        F.array_contains(F.json_object_keys(content), "clickThroughUrl"), F.lit(False)
+    )
     publisher = F.when(_is_object(part("$.provider")), part("$.provider.displayName"))
     own_link = F.coalesce(part("$.canonicalUrl"), F.lit(NO_LINK))
     link = F.when(~has_click, own_link).when(

@@ -51,9 +51,8 @@ def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
 def quoted_questions(questions: DataFrame, corpus: DataFrame, run: int = 5) -> DataFrame:
     """Questions with a run of ``run`` words found verbatim in a text of their expected source."""
     grams = questions.withColumn("grams", X.n_grams(F.col("question"), run))
-    pairs = grams.join(corpus, grams["expected"] == corpus["source"]).withColumn(
-        "low", F.lower(F.col("text"))
-    )
+    texts = corpus.select(F.col("source").alias("expected"), F.lower(F.col("text")).alias("low"))
+    pairs = grams.join(texts, "expected")
     quoted = F.filter("grams", lambda g: F.contains(F.col("low"), g))
     found = pairs.withColumn("quotes", F.size(quoted)).filter("quotes > 0")
     return found.groupBy("id").agg(
