@@ -18,37 +18,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bar per supplier, ship day and ingest run (the return flag); prices are the line prices."""
-    lines = table(spark, sf_dir, "lineitem").withColumns(
-        {
-            "Ticker": F.concat(F.lit("S"), F.col("l_suppkey").cast("string")),
-            "Date": TM.iso_date(F.col("l_shipdate")),
-            "ingested_at_utc": F.concat(F.lit("2026-01-01T00:00:00+00:00#"), "l_returnflag"),
-        }
-    )
-    first_to_last = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    """One landed bar per line item: ticker by supplier, day by ship date.
+
+    Several lines of a supplier on one day are repeated ingests of that day's
+    bar; the stamp orders them.
+    """
     price = F.col("l_extendedprice")
-    return (
-        lines.groupBy("Ticker", "Date", "ingested_at_utc")
-        .agg(
-            F.min_by(price, first_to_last).alias("Open"),
-            F.max(price).alias("High"),
-            F.min(price).alias("Low"),
-            F.max_by(price, first_to_last).alias("Close"),
-            F.sum("l_quantity").cast("long").alias("Volume"),
-        )
-        .select("Date", "Ticker", "Open", "High", "Low", "Close", "Volume", "ingested_at_utc")
+    stamp = F.concat_ws(
+        "-",
+        F.lit("2026-01-01T00:00:00+00:00/run"),
+        F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+        F.col("l_linenumber").cast("string"),
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        TM.iso_date(F.col("l_shipdate")).alias("Date"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("Ticker"),
+        (price * (1 - F.col("l_discount") / 2)).alias("Open"),
+        (price * (1 + F.col("l_tax"))).alias("High"),
+        (price * (1 - F.col("l_discount"))).alias("Low"),
+        price.alias("Close"),
+        F.col("l_quantity").cast("long").alias("Volume"),
+        stamp.alias("ingested_at_utc"),
     )
 
 
 RAW_BARS = """raw_bars AS (
   SELECT strftime(l_shipdate, '%Y-%m-%d') AS "Date", 'S' || l_suppkey AS "Ticker",
-    arg_min(l_extendedprice, row(l_orderkey, l_linenumber, l_partkey, l_extendedprice)) AS "Open",
-    max(l_extendedprice) AS "High", min(l_extendedprice) AS "Low",
-    arg_max(l_extendedprice, row(l_orderkey, l_linenumber, l_partkey, l_extendedprice)) AS "Close",
-    CAST(sum(l_quantity) AS BIGINT) AS "Volume",
-    '2026-01-01T00:00:00+00:00#' || l_returnflag AS ingested_at_utc
-  FROM lineitem GROUP BY 1, 2, 8)"""
+    l_extendedprice * (1 - l_discount / 2) AS "Open", l_extendedprice * (1 + l_tax) AS "High",
+    l_extendedprice * (1 - l_discount) AS "Low", l_extendedprice AS "Close", CAST(l_quantity AS BIGINT) AS "Volume",
+    '2026-01-01T00:00:00+00:00/run-' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || l_linenumber || '-'
+      || lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS ingested_at_utc
+  FROM lineitem)"""
 
 LATEST_BARS = RAW_BARS + """, bars AS (
   SELECT * EXCLUDE (rn) FROM (

@@ -458,8 +458,8 @@ def append_briefings(spark, sf_dir):
 def embed_corpus(spark, sf_dir):
     texts = chunks(spark, sf_dir).select("id", "text")
     done = embedding.embed(embedding.fit_embedder(texts), texts)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    return done.select("id", F.size("embedding").alias("dim"), F.round(norm, 6).alias("norm"))
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    return done.select("id", F.size("embedding").alias("dim"), F.round(norm, 4).alias("norm"))
 
 
 @query()

@@ -15,7 +15,8 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
-FRONT_MATTER = r"(?s)\A---\n(.*?)\n---\n(.*)\z"
+FRONT_OPEN = "---\n"
+FRONT_CLOSE = "\n---\n"
 HEADING = r"(?md)^##+\s+(.*)$"
 BULLET = r"(?md)^- "
 WORD = "[a-z0-9]+"
@@ -46,9 +47,20 @@ def plain_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
+def _front_end(raw: Column) -> Column:
+    """Where the block that closes a leading ``---`` line starts, 0 when there is none."""
+    close = F.locate(FRONT_CLOSE, raw, len(FRONT_OPEN) + 1)
+    return F.when(F.startswith(raw, F.lit(FRONT_OPEN)), close).otherwise(F.lit(0))
+
+
 def front_matter(raw: Column) -> Column:
     """``key: value`` lines of a leading ``---`` block as a map; a repeated key keeps its last value."""
-    lines = F.split(F.regexp_extract(raw, FRONT_MATTER, 1), LINE_END)
+    skip = len(FRONT_OPEN) + 1
+    block = let(
+        _front_end(raw),
+        lambda end: F.when(end > 0, F.substr(raw, F.lit(skip), end - F.lit(skip))).otherwise(F.lit("")),
+    )
+    lines = F.split(block, LINE_END)
     pairs = F.transform(
         F.filter(lines, lambda line: F.contains(line, F.lit(":"))),
         lambda line: F.struct(
@@ -70,8 +82,12 @@ def front_matter(raw: Column) -> Column:
 
 def body_text(raw: Column) -> Column:
     """The text after the front matter, or all of it when there is none."""
-    inner = F.regexp_extract(raw, FRONT_MATTER, 2)
-    return strip(F.when(raw.rlike(FRONT_MATTER), inner).otherwise(raw))
+    return strip(
+        let(
+            _front_end(raw),
+            lambda end: F.when(end > 0, F.substr(raw, end + len(FRONT_CLOSE))).otherwise(raw),
+        )
+    )
 
 
 def with_entry(entries: Column, key: str, value: Column) -> Column:
@@ -103,8 +119,11 @@ def _pieces(heading: Column, text: Column) -> Column:
     return let(bullets, lambda found: F.when(F.size(found) > F.lit(0), found).otherwise(F.array(text)))
 
 
-def _titled(title: Column, heading: Column, piece: Column) -> Column:
-    header = F.concat_ws(" - ", F.nullif(title, F.lit("")), F.nullif(heading, F.lit("")))
+def _header(title: Column, heading: Column) -> Column:
+    return F.concat_ws(" - ", F.nullif(title, F.lit("")), F.nullif(heading, F.lit("")))
+
+
+def _titled(header: Column, piece: Column) -> Column:
     missing = (header != F.lit("")) & ~F.contains(piece, header)
     return strip(F.when(missing, F.concat(header, F.lit("\n\n"), piece)).otherwise(piece))
 
@@ -123,7 +142,10 @@ def chunk_texts(title: Column, body: Column) -> Column:
     """The chunk texts of one document in order, short ones dropped."""
     titled = F.transform(
         section_pieces(body),
-        lambda s: F.transform(s["pieces"], lambda piece: _titled(title, s["heading"], piece)),
+        lambda s: let(
+            _header(title, s["heading"]),
+            lambda header: F.transform(s["pieces"], lambda piece: _titled(header, piece)),
+        ),
     )
     return F.filter(F.flatten(titled), lambda c: F.length(c) >= F.lit(MIN_CHUNK_CHARS))
 

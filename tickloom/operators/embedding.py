@@ -25,7 +25,7 @@ def fit_embedder(texts: DataFrame, dimension: int = DIMENSION) -> PipelineModel:
 def embed(model: PipelineModel, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` with the vector of their ``text`` as ``embedding``."""
     done = model.transform(texts)
-    return done.withColumn("embedding", vector_to_array("_unit")).drop("_words", "_counts", "_weighted", "_unit")
+    return done.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_words", "_counts", "_weighted", "_unit")
 
 
 def save_embedder(model: PipelineModel, path: str) -> None:

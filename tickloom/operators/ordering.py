@@ -55,21 +55,24 @@ def latest_n(
     return kept.drop("_rank")
 
 
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The leading row per key. Only a map task's own leader per key is shuffled."""
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _all_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    return [*order, *[c for c in df.columns if c not in keys and c not in order]]
+
+
 def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per key by ``order``, then by the remaining columns."""
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    return _one_per_key(df, keys, [F.col(c).asc() for c in _all_columns(df, keys, order)])
 
 
 def newest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key by ``order``, then by the remaining columns.
-
-    One grouped maximum: copies of a key collapse in the map-side aggregate.
-    """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    """The last row per key by ``order``, then by the remaining columns."""
+    return _one_per_key(df, keys, [F.col(c).desc() for c in _all_columns(df, keys, order)])
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:

@@ -61,9 +61,13 @@ def build_index(
         stale = 0
     embedding.save_embedder(model, model_path(index))
     tables.overwrite_version(embedding.embed(model, chunks), collection_path(index))
-    stored = tables.read_table(spark, collection_path(index)).rows
-    summary = evaluation.index_summary(stored).first().asDict()
-    return {"docs_indexed": count, "stale_removed": stale, "collection": collection_path(index), **summary}
+    return {
+        "docs_indexed": count,
+        "stale_removed": stale,
+        "embedding_dim": dimension,
+        "collection": collection_path(index),
+        "collection_count": tables.read_head(spark, collection_path(index)).rows,
+    }
 
 
 def passages(collection: DataFrame, embedded: DataFrame, k: int) -> DataFrame:
