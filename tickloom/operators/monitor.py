@@ -20,9 +20,18 @@ def record_metrics(spark: SparkSession, path: str | None, job: str, values: dict
     if not path:
         return False
     try:
-        now = datetime.now(timezone.utc)
-        rows = [(now, job, name, None if value is None else str(value)) for name, value in values.items()]
-        spark.createDataFrame(rows, GAUGES).coalesce(1).write.mode("append").parquet(path)
+        now = F.lit(datetime.now(timezone.utc))
+        entries = [
+            F.struct(
+                now.alias("ts"),
+                F.lit(job).alias("job"),
+                F.lit(name).alias("name"),
+                F.lit(None if value is None else str(value)).cast("string").alias("value"),
+            )
+            for name, value in values.items()
+        ]
+        rows = spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+        rows.write.mode("append").parquet(path)
     except Exception as error:
         print(f"[metrics] {job} not recorded: {error}")
         return False

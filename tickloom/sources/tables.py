@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMITS = "version long, mode string, rows long, committed_at timestamp, app string, batch_id long, schema string"
+COMMITS = (
+    "version long, mode string, rows long, base long, total_rows long, committed_at timestamp, "
+    "app string, batch_id long, schema string"
+)
 VERSION = "_version"
 
 
@@ -62,16 +65,16 @@ def read_head(spark: SparkSession, path: str, version: int | None = None) -> Hea
     log = commits(spark, path)
     if version is not None:
         log = log.filter(F.col("version") <= version)
-    full = F.when(F.col("mode") == "overwrite", F.col("version"))
     newest = log.agg(
         F.max("version").alias("version"),
-        F.coalesce(F.max(full), F.lit(0)).alias("base"),
-        F.max_by("schema", "version").alias("schema"),
+        F.max_by(F.struct("base", "total_rows", "schema"), "version").alias("last"),
     ).first()
     if newest["version"] is None:
         raise TableUnavailable(f"table {path} has no version at or before {version}")
-    rows = log.filter(F.col("version") >= newest["base"]).agg(F.sum("rows").alias("rows")).first()["rows"]
-    return Head(newest["version"], newest["base"], rows, T.StructType.fromJson(json.loads(newest["schema"])))
+    last = newest["last"]
+    return Head(
+        newest["version"], last["base"], last["total_rows"], T.StructType.fromJson(json.loads(last["schema"]))
+    )
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None, keep_version: bool = False) -> Snapshot:
@@ -81,27 +84,49 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, keep_
     return Snapshot(rows if keep_version else rows.drop(VERSION), head.version)
 
 
+def data_path(path: str, version: int) -> str:
+    """Where the rows of one write lie."""
+    return f"{path}/data/{VERSION}={version}"
+
+
 def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int | None) -> int | None:
     spark = df.sparkSession
+    number, base, before = 0, 0, 0
     try:
         log = commits(spark, path)
     except TableUnavailable:
-        number = 0
+        pass
     else:
         seen = F.max(F.when(F.col("app") == F.lit(app), F.col("batch_id")))
-        last = log.agg(F.max("version").alias("version"), seen.alias("batch_id")).first()
+        last = log.agg(
+            F.max("version").alias("version"),
+            F.max_by(F.struct("base", "total_rows"), "version").alias("last"),
+            seen.alias("batch_id"),
+        ).first()
         if batch_id is not None and last["batch_id"] is not None and batch_id <= last["batch_id"]:
             return None
-        number = last["version"] + 1
-    target = f"{path}/data/{VERSION}={number}"
+        number, base, before = last["version"] + 1, last["last"]["base"], last["last"]["total_rows"]
+    if mode == "overwrite":
+        base, before = number, 0
+    target = data_path(path, number)
     df.write.mode("overwrite").parquet(target)
     rows = spark.read.schema(df.schema).parquet(target).count()
     if rows == 0 and mode == "append":
         return None
-    entry = (number, mode, rows, datetime.now(timezone.utc), app, batch_id, df.schema.json())
-    spark.createDataFrame([entry], COMMITS).coalesce(1).write.mode("errorifexists").parquet(
-        f"{path}/commits/commit={number}"
-    )
+    entry = {
+        "version": number,
+        "mode": mode,
+        "rows": rows,
+        "base": base,
+        "total_rows": before + rows,
+        "committed_at": datetime.now(timezone.utc),
+        "app": app,
+        "batch_id": batch_id,
+        "schema": df.schema.json(),
+    }
+    kinds = T.StructType.fromDDL(COMMITS)
+    one = spark.range(0, 1, 1, 1).select(*[F.lit(entry[k.name]).cast(k.dataType).alias(k.name) for k in kinds])
+    one.write.mode("errorifexists").parquet(f"{path}/commits/commit={number}")
     return number
 
 
