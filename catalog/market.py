@@ -184,7 +184,7 @@ SELECT * FROM prior WHERE "SMA_20" < previous"""
 )
 def monotonic_violations(spark, sf_dir):
     averaged = tidy(I.sma(bars(spark, sf_dir), "SMA_20", 20).select("Ticker", "Date", "SMA_20"))
-    return checks.monotonic_violations(averaged, ["Ticker"], ["Date"], "SMA_20")
+    return checks.monotonic_violations(averaged, ["Ticker"], ["Date"], "SMA_20", split_rows=None)
 
 
 @query(

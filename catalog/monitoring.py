@@ -222,6 +222,51 @@ def rate_by_label(spark, sf_dir):
     return rounded(sample_text(monitor.rate_by_label(rates, ["status"])), 10, "rate")
 
 
+def bucket_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency buckets read every hour in which something arrived, as counters that restart each day."""
+    from pyspark.sql import Window
+
+    log = request_log(spark, sf_dir).withColumn("ts", F.date_trunc("hour", F.col("ts")))
+    hourly = monitor.latency_histogram(log, "seconds", REQUEST_BUCKETS, ["method", "endpoint", "ts"])
+    day = Window.partitionBy("method", "endpoint", "le", F.to_date("ts")).orderBy("ts")
+    running = F.sum("bucket").over(day.rowsBetween(Window.unboundedPreceding, 0))
+    return hourly.select("method", "endpoint", "le", "ts", running.cast("double").alias("value"))
+
+
+QUANTILE_OF_RATES = f"""WITH {REQUESTS}, hourly_log AS (
+  SELECT method, endpoint, date_trunc('hour', ts) AS ts, seconds FROM requests),
+hourly AS ({histogram_sql("seconds", REQUEST_BUCKETS, "method, endpoint, ts", "hourly_log")}),
+counter AS (
+  SELECT method, endpoint, le, ts, sum(bucket) OVER (
+    PARTITION BY method, endpoint, le, CAST(ts AS DATE) ORDER BY ts ROWS UNBOUNDED PRECEDING) AS value FROM hourly),
+stepped AS (
+  SELECT *, lag(ts) OVER s AS prior_ts,
+    CASE WHEN value < lag(value) OVER s THEN value ELSE value - lag(value) OVER s END AS step
+  FROM counter WINDOW s AS (PARTITION BY method, endpoint, le ORDER BY ts)),
+rates AS (
+  SELECT a.endpoint, a.le, a.ts, CASE WHEN count(*) >= 2 THEN
+    coalesce(sum(b.step) FILTER (WHERE b.prior_ts > a.ts - INTERVAL 21600 SECOND), 0) / 21600.0 END AS rate
+  FROM stepped a JOIN stepped b ON a.method = b.method AND a.endpoint = b.endpoint AND a.le = b.le
+    AND b.ts <= a.ts AND b.ts > a.ts - INTERVAL 21600 SECOND GROUP BY ALL),
+placed AS (
+  SELECT *, lag(rate, 1, 0) OVER w AS below, lag(le) OVER w AS lower_le,
+    max(rate) OVER (PARTITION BY endpoint, ts) * 0.5 AS target
+  FROM rates WHERE rate IS NOT NULL WINDOW w AS (PARTITION BY endpoint, ts ORDER BY le)),
+hits AS (
+  SELECT *, row_number() OVER (PARTITION BY endpoint, ts ORDER BY le) AS rn FROM placed WHERE rate >= target)
+SELECT endpoint, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+  round(CASE WHEN le = 'inf'::DOUBLE THEN lower_le
+    ELSE coalesce(lower_le, 0) + (le - coalesce(lower_le, 0)) * (target - below) / (rate - below) END, 8) AS quantile
+FROM hits WHERE rn = 1"""
+
+
+@query(QUANTILE_OF_RATES)
+def quantile_of_rates(spark, sf_dir):
+    counters = bucket_counter(spark, sf_dir)
+    medians = monitor.quantile_of_rates(counters, 21600, 0.5, ["method", "endpoint"], ["endpoint"])
+    return rounded(sample_text(medians), 8, "quantile")
+
+
 PUSHED = """WITH pushed AS (
   SELECT event_id, ts, event_type AS job, 'gauge_' || user_id AS name,
     CASE WHEN user_id % 3 = 0 THEN 's3://bars' ELSE CAST(value AS VARCHAR) END AS value FROM events)"""

@@ -73,6 +73,29 @@ def replayed_stream(spark, sf_dir):
     return stamped(tables.read_table(spark, path).rows)
 
 
+@query(f"WITH {PARSED} SELECT ticker, price, size, event_time, {STAMP} FROM parsed")
+def restarted_stream(spark, sf_dir):
+    """Two halves published apart; the restarted query goes on from its checkpoint."""
+    root = scratch_path(spark, "restarted")
+    halves = wire(spark, sf_dir).withColumn("early", F.col("timestamp") < F.lit("2024-01-16"))
+    for early in (True, False):
+        S.publish_to_files(halves.filter(F.col("early") == early).drop("early"), f"{root}/topic")
+        events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
+        S.append_stream(events, f"{root}/table", "ticks", f"{root}/offsets", available_now=True).awaitTermination()
+    return stamped(tables.read_table(spark, f"{root}/table").rows)
+
+
+@query("SELECT 1::BIGINT AS versions, count(*) AS rows FROM events")
+def skip_empty(spark, sf_dir):
+    """An empty batch before and after the full one leaves no version."""
+    path = scratch_path(spark, "skipped")
+    write = S.batch_writer(path, "ticks")
+    batch = S.expand_event(wire(spark, sf_dir))
+    for batch_id, rows in enumerate((batch.filter("false"), batch, batch.filter("false"))):
+        write(rows, batch_id)
+    return tables.commits(spark, path).agg(F.count(F.lit(1)).alias("versions"), F.sum("rows").alias("rows"))
+
+
 @query(f"WITH {PARSED} SELECT ticker, price, size, event_time, {STAMP} FROM parsed")
 def expand_event(spark, sf_dir):
     return stamped(S.expand_event(wire(spark, sf_dir)))

@@ -11,7 +11,7 @@ from tickloom.operators import ordering
 from tickloom.schemas import MAX_TICK_MOVE
 
 
-def _with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **split: int):
+def _with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **split: int | None):
     def compute(rows: DataFrame, window: WindowSpec) -> DataFrame:
         return rows.withColumn("previous", F.lag(value).over(window))
 

@@ -46,7 +46,7 @@ def _all_indicators(df: DataFrame, window: WindowSpec) -> DataFrame:
     )
 
 
-def indicators(bars: DataFrame, dedupe: bool = True, **split: int) -> DataFrame:
+def indicators(bars: DataFrame, dedupe: bool = True, **split: int | None) -> DataFrame:
     """The four indicator columns beside every bar.
 
     Frames are partial: they start at a ticker's first bar. With ``dedupe`` a

@@ -139,3 +139,21 @@ def histogram_quantile(
     at = F.when(F.col(le) == F.lit(INFINITY), F.col("_lower")).otherwise(F.coalesce(inside, lower))
     hit = F.when(usable & (F.col(count) >= F.col("_rank")), F.struct(le, at.alias("at")))
     return placed.groupBy(*labels).agg(F.min(hit)["at"].alias("quantile"))
+
+
+def quantile_of_rates(
+    bucket_counters: DataFrame,
+    range_seconds: float,
+    quantile: float,
+    labels: Sequence[str],
+    by: Sequence[str],
+    ts: str = "ts",
+) -> DataFrame:
+    """Quantile at each instant from the rates of cumulative bucket counters.
+
+    ``bucket_counters`` has one counter per (labels, le); the rates are summed
+    over the labels not in ``by`` before the quantile is taken.
+    """
+    rates = counter_rate(bucket_counters, range_seconds, [*labels, "le"], ts)
+    summed = rate_by_label(rates, [*by, "le"], ts)
+    return histogram_quantile(summed, quantile, [*by, ts], count="rate")

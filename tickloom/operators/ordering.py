@@ -130,16 +130,18 @@ def over_history(
     order: Sequence[str],
     lookback: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` whose frames reach at most ``lookback`` rows back.
 
     The window is per key. When some key has more than ``split_rows`` rows, each
     key is cut into blocks of ``block_rows``; the last ``lookback`` rows of a
-    block are also sent to the next one, and dropped after ``compute``.
+    block are also sent to the next one, and dropped after ``compute``. With
+    ``split_rows=None`` the caller vouches that keys are bounded (one row per
+    ticker and day, say) and the sizes are not measured.
     """
-    if largest_group(df, keys) <= split_rows:
+    if split_rows is None or largest_group(df, keys) <= split_rows:
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
     block_rows = max(block_rows, lookback + 1)
     numbered = number_rows(df, keys, order)
@@ -175,13 +177,19 @@ def upper_median(
         counted = counted.withColumn("_all", F.lit(1))
     by = list(keys) or ["_all"]
     if largest_group(counted, by) <= split_rows:
-        earlier = Window.partitionBy(*by).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-        placed = counted.withColumn("_pos", F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
+        whole = Window.partitionBy(*by).orderBy("_value")
+        earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
+        everything = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        placed = counted.withColumns(
+            {
+                "_pos": F.coalesce(F.sum("_count").over(earlier), F.lit(0)),
+                "_total": F.sum("_count").over(everything),
+            }
+        )
     else:
-        placed = number_rows(counted, by, ["_value"], weight="_count")
-    totals = placed.groupBy(*by).agg(F.sum("_count").alias("_total"))
+        numbered = number_rows(counted, by, ["_value"], weight="_count")
+        totals = numbered.groupBy(*by).agg(F.sum("_count").alias("_total"))
+        placed = join_by_key(numbered, totals, by)
     middle = F.floor(F.col("_total") / 2)
-    hit = join_by_key(placed, totals, by).filter(
-        (F.col("_pos") <= middle) & (middle < F.col("_pos") + F.col("_count"))
-    )
+    hit = placed.filter((F.col("_pos") <= middle) & (middle < F.col("_pos") + F.col("_count")))
     return hit.select(*keys, F.col("_value").alias("upper_median"))

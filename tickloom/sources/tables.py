@@ -145,7 +145,10 @@ def overwrite_version(df: DataFrame, path: str) -> int:
 
 
 def compact(spark: SparkSession, path: str, by: list[str]) -> int:
-    """Rewrite the newest version as one write, ranged over ``by``; reads then open one folder."""
+    """Rewrite the newest version as one write, ranged over ``by``; reads then open one folder.
+
+    Rows then carry the rewrite's commit time, so take latency figures of a tick table first.
+    """
     keys = [F.col(c) for c in by]
     rows = read_table(spark, path).rows
     return overwrite_version(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), path)

@@ -29,7 +29,7 @@ def batch_latency(landed: DataFrame) -> DataFrame:
     )
 
 
-def stream_summary(landed: DataFrame, **split: int) -> DataFrame:
+def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
     """One row: rows, batches, duration, rate, and mean, upper-median and largest latency.
 
     The duration runs from the first event to the last commit.
