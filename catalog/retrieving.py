@@ -451,58 +451,119 @@ def append_briefings(spark, sf_dir):
     return corpus.read_briefings(spark, path)
 
 
-# Text vectors: a fitted model, so the rows have no SQL counterpart -------------
+# Text vectors -----------------------------------------------------------------
+
+SLOTS = """(SELECT {key} AS id, ('0x' || md5(w)[1:8])::BIGINT % 768 AS slot, count(*) AS n
+  FROM (SELECT {key}, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}) GROUP BY ALL)"""
+
+
+def vector_sql(key: str, source: str) -> str:
+    """Unit vectors of a text relation, weighted by how rare a slot is among the chunks."""
+    return f"""(
+  SELECT id, slot, CAST(n * weight / sqrt(sum((n * weight) * (n * weight)) OVER (PARTITION BY id)) AS FLOAT)::DOUBLE AS x
+  FROM (SELECT s.id, s.slot, s.n, ln((t.total + 1) / (coalesce(d.n, 0) + 1)) AS weight
+    FROM {SLOTS.format(key=key, source=source)} s, total t LEFT JOIN frequency d ON d.slot = s.slot))"""
+
+
+EMBEDDED = CHUNKS + f""", chunk_slots AS {SLOTS.format(key="id", source="chunks")},
+frequency AS (SELECT slot, count(*) AS n FROM chunk_slots GROUP BY 1),
+total AS (SELECT count(*) AS total FROM chunks),
+embedded AS {vector_sql("id", "chunks")}"""
+
+CHECKSUM = "768 AS dim, round(sqrt(sum(x * x)), 4) AS norm, round(sum(slot * x), 4) AS checksum"
+
+
+def asked_sql(asked: str, k: int) -> str:
+    """The k nearest chunks of every question, as a join on shared slots."""
+    return EMBEDDED + f""", asked AS ({asked}), asked_vectors AS {vector_sql("query_id", "asked")},
+asked_norms AS (SELECT id AS query_id, sum(x * x) AS s FROM asked_vectors GROUP BY 1),
+chunk_norms AS (SELECT id, sum(x * x) AS s FROM embedded GROUP BY 1),
+products AS (SELECT a.id AS query_id, e.id, sum(a.x * e.x) AS p
+  FROM asked_vectors a JOIN embedded e USING (slot) GROUP BY ALL),
+distances AS (SELECT q.query_id, c.id, round(coalesce(n.s, 0) + coalesce(m.s, 0) - 2 * coalesce(p.p, 0), 9) AS distance
+  FROM asked q CROSS JOIN chunks c LEFT JOIN asked_norms n ON n.query_id = q.query_id LEFT JOIN chunk_norms m ON m.id = c.id
+  LEFT JOIN products p ON p.query_id = q.query_id AND p.id = c.id),
+found AS (SELECT query_id, CAST(rank AS INTEGER) AS rank, f.id, c.source, c.text, f.distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM distances) f
+  JOIN chunks c ON c.id = f.id WHERE rank <= {k})"""
+
+
+def checksum(df: DataFrame, *names: str) -> DataFrame:
+    """Dimension, length and a position-weighted sum of each vector."""
+    values = F.transform("embedding", lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x))
+    placed = F.transform(values, lambda x, i: x * i)
+    return df.select(
+        *names,
+        F.size("embedding").alias("dim"),
+        F.round(norm, 4).alias("norm"),
+        F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 4).alias("checksum"),
+    )
+
+
+def built(spark: SparkSession, sf_dir: str) -> str:
+    index = scratch_path(spark, "built")
+    retrieval.build_index(markdown(spark, sf_dir), index)
+    return index
 
 
-@query()
+@query(f"WITH {EMBEDDED} SELECT id, {CHECKSUM} FROM embedded GROUP BY 1")
 def embed_corpus(spark, sf_dir):
     texts = chunks(spark, sf_dir).select("id", "text")
-    done = embedding.embed(embedding.fit_embedder(texts), texts)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    return done.select("id", F.size("embedding").alias("dim"), F.round(norm, 4).alias("norm"))
+    return checksum(embedding.embed(embedding.fit_embedder(texts), texts), "id")
 
 
-@query()
+@query(f"""WITH {EMBEDDED}, asked AS (SELECT item_id, text FROM benchmark), vectors AS {vector_sql("item_id", "asked")}
+SELECT id, {CHECKSUM} FROM vectors GROUP BY 1""")
 def embed_queries(spark, sf_dir):
+    """Questions with the model fitted on the chunks."""
     model = embedding.fit_embedder(chunks(spark, sf_dir).select("id", "text"))
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
-    return embedding.embed(model, asked).select("id", F.size("embedding").alias("dim"))
+    return checksum(embedding.embed(model, asked), "id")
 
 
-@query()
+@query(f"WITH {EMBEDDED} SELECT id, source, chunk_no, {CHECKSUM} FROM embedded JOIN chunks USING (id) GROUP BY 1, 2, 3")
 def build_index(spark, sf_dir):
-    index = scratch_path(spark, "built")
-    retrieval.build_index(markdown(spark, sf_dir), index)
-    stored = tables.read_table(spark, retrieval.collection_path(index)).rows
-    return stored.select("id", "source", "chunk_no", F.size("embedding").alias("dim"))
+    stored = tables.read_table(spark, retrieval.collection_path(built(spark, sf_dir))).rows
+    return checksum(stored, "id", "source", "chunk_no")
 
 
-@query()
+@query(f"""WITH {asked_sql("SELECT CAST(item_id AS VARCHAR) AS query_id, text FROM benchmark", TOP_K)}
+SELECT query_id, rank, id, source, round(distance, 6) AS distance FROM found""")
 def retrieve(spark, sf_dir):
-    index = scratch_path(spark, "asked")
-    retrieval.build_index(markdown(spark, sf_dir), index)
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")
-    return retrieval.retrieve(spark, index, asked).select(
-        "query_id", "rank", "id", "source", F.round("distance", 6).alias("distance")
-    )
+    found = retrieval.retrieve(spark, built(spark, sf_dir), asked)
+    return found.select("query_id", "rank", "id", "source", F.round("distance", 6).alias("distance"))
 
 
-@query()
+LABELLED = "SELECT 'd' || doc_id || '.md' AS query_id, text FROM documents JOIN labels USING (doc_id)"
+
+
+@query(f"""WITH {asked_sql(LABELLED, 5)}, ranks AS (
+  SELECT q.query_id, min(f.rank) AS rank FROM asked q
+  LEFT JOIN found f ON f.query_id = q.query_id AND f.source = q.query_id GROUP BY 1)
+SELECT count(*) AS questions, count(*) FILTER (WHERE rank <= 1) AS hit_at_1,
+  count(*) FILTER (WHERE rank <= 3) AS hit_at_3,
+  round(count(*) FILTER (WHERE rank <= 1) / count(*), 4) AS precision_at_1,
+  round(count(*) FILTER (WHERE rank <= 3) / count(*), 4) AS hit_rate_at_3,
+  round(avg(coalesce(1.0::DOUBLE / rank, 0)), 4) AS mrr,
+  (SELECT count(*) FROM documents) AS corpus_documents, 768 AS embedding_dim FROM ranks""")
 def evaluate(spark, sf_dir):
-    """Each document's own text asks for that document."""
-    asked = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("q"), F.col("doc_id").cast("string")).alias("id"),
-        F.col("text").alias("question"),
-        F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md")).alias("expected"),
-    )
+    """The text of each labelled document asks for that document."""
+    name = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md"))
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+    asked = labelled.select(name.alias("id"), F.col("text").alias("question"), name.alias("expected"))
     return retrieval.evaluate(markdown(spark, sf_dir), asked)
 
 
-@query()
+@query(f"""WITH {asked_sql("SELECT 'S' || s_suppkey AS query_id, 'S' || s_suppkey || ' market context technical analysis' AS text FROM supplier", TOP_K)},
+{BARS_TEXT}, contexts AS (
+  SELECT query_id, string_agg('[' || source || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS context,
+    string_agg(source, ', ' ORDER BY rank) AS sources FROM found GROUP BY 1)
+SELECT "Ticker", {PROMPT} AS prompt, coalesce(sources, 'none') AS sources
+FROM bars_text LEFT JOIN contexts ON query_id = "Ticker" """)
 def briefing_inputs(spark, sf_dir):
-    index = scratch_path(spark, "briefed")
-    retrieval.build_index(markdown(spark, sf_dir), index)
-    done = prompts.briefing_inputs(spark, curated(spark, sf_dir), index)
+    done = prompts.briefing_inputs(spark, curated(spark, sf_dir), built(spark, sf_dir), columns=["Date", *SHOWN[1:]])
     return done.withColumn("sources", X.sources_line(F.col("sources")))
 
 

@@ -3,29 +3,40 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
 DIMENSION = 768
-TOKEN = r"[\p{L}\p{N}]+"
+
+# Lower-case runs of letters and digits; a word's slot is the start of its MD5.
+SLOTS = r"""SELECT *, transform(regexp_extract_all(lower(text), r'[\p{L}\p{N}]+', 0),
+  w -> CAST(CAST(conv(substring(md5(w), 1, 8), 16, 10) AS BIGINT) % %DIM% AS STRING)) AS _slots FROM __THIS__"""
 
 
 def fit_embedder(texts: DataFrame, dimension: int = DIMENSION) -> PipelineModel:
-    """Learn the word weights from the ``text`` column; the model holds ``dimension`` numbers."""
+    """Learn the slot weights from the ``text`` column; the model holds ``dimension`` numbers.
+
+    Slots come from a public hash, so the same text gets the same slots in any
+    engine. A slot found in d of n texts weighs ln((n + 1) / (d + 1)).
+    """
+    counts = CountVectorizerModel.from_vocabulary(
+        [str(slot) for slot in range(dimension)], inputCol="_slots", outputCol="_counts"
+    )
     stages = [
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=TOKEN, gaps=False),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimension),
+        SQLTransformer(statement=SLOTS.replace("%DIM%", str(dimension))),
+        counts,
         IDF(inputCol="_counts", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0),
     ]
-    return Pipeline(stages=stages).fit(texts)
+    return Pipeline(stages=stages).fit(texts.select("text"))
 
 
 def embed(model: PipelineModel, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` with the vector of their ``text`` as ``embedding``."""
     done = model.transform(texts)
-    return done.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_words", "_counts", "_weighted", "_unit")
+    vector = vector_to_array("_unit", "float32")
+    return done.withColumn("embedding", vector).drop("_slots", "_counts", "_weighted", "_unit")
 
 
 def save_embedder(model: PipelineModel, path: str) -> None:

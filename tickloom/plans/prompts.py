@@ -83,7 +83,12 @@ def assemble_prompt(inputs: DataFrame) -> DataFrame:
 
 
 def briefing_inputs(
-    spark: SparkSession, curated: DataFrame, index: str, bars: int = DEFAULT_BARS, k: int = TOP_K
+    spark: SparkSession,
+    curated: DataFrame,
+    index: str,
+    bars: int = DEFAULT_BARS,
+    k: int = TOP_K,
+    columns: Sequence[str] = BAR_VIEW,
 ) -> DataFrame:
     """The prompt and the retrieved sources of every ticker in ``curated``."""
     bounded_arg("bars", bars, BARS_RANGE)
@@ -92,4 +97,4 @@ def briefing_inputs(
         F.col("Ticker").alias("query_id"), X.retrieval_query(F.col("Ticker")).alias("text")
     )
     found = retrieval.retrieve(spark, index, asked, k)
-    return assemble_prompt(prompt_inputs(bars_text(recent), context_block(found)))
+    return assemble_prompt(prompt_inputs(bars_text(recent, columns), context_block(found)))
