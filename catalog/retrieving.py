@@ -453,8 +453,25 @@ def append_briefings(spark, sf_dir):
 
 # Text vectors -----------------------------------------------------------------
 
-SLOTS = """(SELECT {key} AS id, ('0x' || md5(w)[1:8])::BIGINT % 768 AS slot, count(*) AS n
-  FROM (SELECT {key}, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}) GROUP BY ALL)"""
+def crc_step(entry: int) -> int:
+    for _ in range(8):
+        entry = (entry >> 1) ^ (0xEDB88320 if entry & 1 else 0)
+    return entry
+
+
+CRC_TABLE = "[" + ", ".join(f"{crc_step(i)}::BIGINT" for i in range(256)) + "]"
+
+SLOT = f"""xor(4294967295::BIGINT, list_reduce(
+  [4294967295::BIGINT] || list_transform(range(octet_length(encode(w))), lambda i:
+    ('0x' || hex(encode(w))[2 * i + 1:2 * i + 2])::BIGINT),
+  lambda c, b: xor({CRC_TABLE}[(xor(c, b) & 255) + 1], c >> 8))) % 768"""
+
+
+def slots_sql(key: str, source: str) -> str:
+    """How often each slot occurs in each text; a word's slot is worked out once."""
+    words = f"SELECT {key} AS id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}"
+    return f"""(SELECT id, slot, count(*) AS n FROM ({words})
+  JOIN (SELECT w, {SLOT} AS slot FROM (SELECT DISTINCT w FROM ({words}))) USING (w) GROUP BY ALL)"""
 
 
 def vector_sql(key: str, source: str) -> str:
@@ -462,10 +479,10 @@ def vector_sql(key: str, source: str) -> str:
     return f"""(
   SELECT id, slot, CAST(n * weight / sqrt(sum((n * weight) * (n * weight)) OVER (PARTITION BY id)) AS FLOAT)::DOUBLE AS x
   FROM (SELECT s.id, s.slot, s.n, ln((t.total + 1) / (coalesce(d.n, 0) + 1)) AS weight
-    FROM {SLOTS.format(key=key, source=source)} s, total t LEFT JOIN frequency d ON d.slot = s.slot))"""
+    FROM {slots_sql(key, source)} s, total t LEFT JOIN frequency d ON d.slot = s.slot))"""
 
 
-EMBEDDED = CHUNKS + f""", chunk_slots AS {SLOTS.format(key="id", source="chunks")},
+EMBEDDED = CHUNKS + f""", chunk_slots AS {slots_sql("id", "chunks")},
 frequency AS (SELECT slot, count(*) AS n FROM chunk_slots GROUP BY 1),
 total AS (SELECT count(*) AS total FROM chunks),
 embedded AS {vector_sql("id", "chunks")}"""

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame
 
 DIMENSION = 768
 
-# Lower-case runs of letters and digits; a word's slot is the start of its MD5.
+# Lower-case runs of letters and digits; a word's slot is its CRC-32 modulo the dimension.
 SLOTS = r"""SELECT *, transform(regexp_extract_all(lower(text), r'[\p{L}\p{N}]+', 0),
-  w -> CAST(CAST(conv(substring(md5(w), 1, 8), 16, 10) AS BIGINT) % %DIM% AS STRING)) AS _slots FROM __THIS__"""
+  w -> CAST(crc32(w) % %DIM% AS STRING)) AS _slots FROM __THIS__"""
 
 
 def fit_embedder(texts: DataFrame, dimension: int = DIMENSION) -> PipelineModel:
     """Learn the slot weights from the ``text`` column; the model holds ``dimension`` numbers.
 
-    Slots come from a public hash, so the same text gets the same slots in any
+    Slots come from a standard checksum, so the same text gets the same slots in any
     engine. A slot found in d of n texts weighs ln((n + 1) / (d + 1)).
     """
     counts = CountVectorizerModel.from_vocabulary(
