@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import text as X
 from tickloom.functions import times as TM
+from tickloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LINE_COLUMNS = [
+    "l_shipdate", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity", "l_orderkey", "l_linenumber",
+    "l_partkey",
+]
+
+
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed bar per line item: ticker by supplier, day by ship date.
 
@@ -31,7 +38,7 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string"),
         F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)).select(
         TM.iso_date(F.col("l_shipdate")).alias("Date"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("Ticker"),
         (price * (1 - F.col("l_discount") / 2)).alias("Open"),
@@ -138,7 +145,7 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("# "), "source", F.lit("\n\n## Lines\n\nLead-in.\n\n- "), F.replace("text", F.lit("\n"), F.lit("\n- ")),
         F.lit("\n\n## Prose\n\n"), "text", F.lit("\n"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md")).alias("source"),
         F.concat(F.when(F.col("lang") == "de", F.lit("")).otherwise(front), body).alias("raw"),
     )

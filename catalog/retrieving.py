@@ -539,10 +539,17 @@ def embed_queries(spark, sf_dir):
     return checksum(embedding.embed(model, asked), "id")
 
 
-@query(f"WITH {EMBEDDED} SELECT id, source, chunk_no, {CHECKSUM} FROM embedded JOIN chunks USING (id) GROUP BY 1, 2, 3")
+PROBES = (0, 100, 767)
+
+
+@query(f"""WITH {EMBEDDED} SELECT id, source, chunk_no, 768 AS dim,
+  {", ".join(f"round(coalesce(max(x) FILTER (WHERE slot = {i}), 0), 5) AS x{i}" for i in PROBES)}
+FROM embedded JOIN chunks USING (id) GROUP BY 1, 2, 3""")
 def build_index(spark, sf_dir):
+    """The stored entries, with a few numbers of each vector."""
     stored = tables.read_table(spark, retrieval.collection_path(built(spark, sf_dir))).rows
-    return checksum(stored, "id", "source", "chunk_no")
+    probes = [F.round(F.get("embedding", i).cast("double"), 5).alias(f"x{i}") for i in PROBES]
+    return stored.select("id", "source", "chunk_no", F.size("embedding").alias("dim"), *probes)
 
 
 @query(f"""WITH {asked_sql("SELECT CAST(item_id AS VARCHAR) AS query_id, text FROM benchmark", TOP_K)}

@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
 DIMENSION = 768
+COUNTS = "_counts"
 
 # Lower-case runs of letters and digits; a word's slot is its CRC-32 modulo the dimension.
 SLOTS = r"""SELECT *, transform(regexp_extract_all(lower(text), r'[\p{L}\p{N}]+', 0),
   w -> CAST(crc32(w) % %DIM% AS STRING)) AS _slots FROM __THIS__"""
 
 
+def _counting(dimension: int) -> list:
+    slots = SQLTransformer(statement=SLOTS.replace("%DIM%", str(dimension)))
+    vocabulary = [str(slot) for slot in range(dimension)]
+    counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_slots", outputCol=COUNTS)
+    return [slots, counts]
+
+
+def count_words(texts: DataFrame, dimension: int = DIMENSION) -> DataFrame:
+    """The rows with their slot counts, so that fitting and embedding read each text once."""
+    for stage in _counting(dimension):
+        texts = stage.transform(texts)
+    return texts.drop("_slots")
+
+
 def fit_embedder(texts: DataFrame, dimension: int = DIMENSION) -> PipelineModel:
     """Learn the slot weights from the ``text`` column; the model holds ``dimension`` numbers.
 
-    Slots come from a standard checksum, so the same text gets the same slots in any
-    engine. A slot found in d of n texts weighs ln((n + 1) / (d + 1)).
+    Slots come from a standard checksum, so the same text gets the same slots in
+    any engine. A slot found in d of n texts weighs ln((n + 1) / (d + 1)).
     """
-    counts = CountVectorizerModel.from_vocabulary(
-        [str(slot) for slot in range(dimension)], inputCol="_slots", outputCol="_counts"
-    )
-    stages = [
-        SQLTransformer(statement=SLOTS.replace("%DIM%", str(dimension))),
-        counts,
-        IDF(inputCol="_counts", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(texts.select("text"))
+    counted = texts if COUNTS in texts.columns else count_words(texts, dimension)
+    weights = IDF(inputCol=COUNTS, outputCol="_weighted").fit(counted.select(COUNTS))
+    unit = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)
+    return PipelineModel([*_counting(dimension), weights, unit])
 
 
 def embed(model: PipelineModel, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` with the vector of their ``text`` as ``embedding``."""
-    done = model.transform(texts)
+    counting, rest = model.stages[:2], model.stages[2:]
+    for stage in rest if COUNTS in texts.columns else [*counting, *rest]:
+        texts = stage.transform(texts)
     vector = vector_to_array("_unit", "float32")
-    return done.withColumn("embedding", vector).drop("_slots", "_counts", "_weighted", "_unit")
+    return texts.withColumn("embedding", vector).drop("_slots", COUNTS, "_weighted", "_unit")
 
 
 def save_embedder(model: PipelineModel, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import text as X
 from tickloom.operators import embedding, evaluation, lookups, neighbours
 from tickloom.schemas import EVALUATION_K, TOP_K
-from tickloom.session import materialise, scratch_path
+from tickloom.session import materialise, scratch_path, spread
 from tickloom.sources import corpus, tables
 
 PASSAGES = (
@@ -49,7 +49,8 @@ def build_index(
     entries in one write. An empty corpus changes nothing.
     """
     spark = raw.sparkSession
-    chunks = materialise(corpus.chunk_corpus(corpus.parse_documents(raw), chunking), "chunks")
+    cut = corpus.chunk_corpus(corpus.parse_documents(spread(raw)), chunking)
+    chunks = materialise(embedding.count_words(cut, dimension), "chunks")
     count = chunks.count()
     if count == 0:
         return {"docs_indexed": 0, "collection": collection_path(index)}

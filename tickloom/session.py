@@ -55,3 +55,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when its scan has fewer splits than that, else unchanged.
+
+    For inputs of a few large splits ahead of row-local work (parsing, chunking).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
