@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.derive import LANDED, PARSED, TICKS, landed_ticks, table, ticks, wire
@@ -197,17 +197,21 @@ def upper_median(spark, sf_dir):
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """End offsets per ticker that run one batch ahead of what landed, and the batches."""
+    """End offsets per ticker, ahead of what landed by the batch's dearer ticks, and the batches."""
     rows = landed_ticks(spark, sf_dir).withColumn("app", F.lit("ticks"))
-    per = rows.groupBy("app", "batch_id", "ticker").agg(F.count(F.lit(1)).alias("n"))
-    ahead = Window.partitionBy("app", "ticker").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 1)
-    ends = per.select("app", "batch_id", "ticker", F.sum("n").over(ahead).alias("end_offset"))
+    per = rows.groupBy("app", "batch_id", "ticker").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("price") > 50, 1)).alias("waiting")
+    )
+    counted = ordering.count_before(per, ["app", "ticker"], "batch_id", "n")
+    end = F.col("_pos") + F.col("n") + F.col("waiting")
+    ends = counted.select("app", "batch_id", "ticker", end.alias("end_offset"))
     return ends, per.groupBy("app", "batch_id").agg(F.sum("n").alias("rows"))
 
 
-LAG = f"""WITH {LANDED}, per AS (SELECT batch_id, ticker, count(*) AS n FROM landed GROUP BY 1, 2),
-ends AS (SELECT batch_id, sum(n) OVER (PARTITION BY ticker ORDER BY batch_id
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 FOLLOWING) AS end_offset FROM per),
+LAG = f"""WITH {LANDED}, per AS (
+  SELECT batch_id, ticker, count(*) AS n, count(*) FILTER (WHERE price > 50) AS waiting FROM landed GROUP BY 1, 2),
+ends AS (SELECT batch_id, sum(n) OVER (PARTITION BY ticker ORDER BY batch_id ROWS UNBOUNDED PRECEDING) + waiting
+  AS end_offset FROM per),
 totals AS (SELECT batch_id, sum(end_offset) AS end_offset FROM ends GROUP BY 1),
 batches AS (SELECT batch_id, sum(sum(n)) OVER (ORDER BY batch_id) AS so_far FROM per GROUP BY 1),
 samples AS (SELECT 'ticks' AS app, batch_id, CAST(greatest(0, end_offset - so_far) AS BIGINT) AS lag

@@ -96,9 +96,20 @@ def test_lag(spark):
     batches = spark.createDataFrame([("a", 0, 3), ("a", 1, 9)], "app string, batch_id long, rows long")
     samples = stats.lag_samples(ends, batches)
     assert sorted((r.batch_id, r.lag) for r in samples.collect()) == [(0, 6), (1, 0)]
+    laid_out = stats.lag_samples(ends, batches, split_rows=1)
+    assert sorted((r.batch_id, r.lag) for r in laid_out.collect()) == [(0, 6), (1, 0)]
     assert rows(stats.consumer_lag(samples)) == [{"app": "a", "consumer_lag_max": 6, "consumer_lag_final": 0}]
 
 
 def test_kafka_source_asks_for_its_connector(spark):
     with pytest.raises(Exception, match="[Kk]afka"):
         S.read_tick_topic(spark, "localhost:1", "t")
+
+
+def test_loss_per_key(spark):
+    from tickloom.operators import summaries
+
+    sent = spark.createDataFrame([("A",), ("A",), ("B",)], "ticker string")
+    kept = spark.createDataFrame([("A",), (None,)], "ticker string")
+    got = {r["ticker"]: (r["published"], r["landed"], r["lost"]) for r in rows(summaries.loss_check(sent, kept, "ticker"))}
+    assert got == {"A": (2, 1, 1), "B": (1, 0, 1), None: (0, 1, -1)}

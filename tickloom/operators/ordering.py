@@ -159,14 +159,26 @@ def over_history(
     return done.drop("_pos", "_block", "_carried")
 
 
+def count_before(
+    df: DataFrame, keys: Sequence[str], order: str, weight: str, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """Add ``_pos``: the sum of ``weight`` over the earlier rows of the key.
+
+    One running sum per key while keys have at most ``split_rows`` rows, laid
+    over range partitions beyond that.
+    """
+    if largest_group(df, keys) > split_rows:
+        return number_rows(df, keys, [order], weight=weight)
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("_pos", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+
+
 def upper_median(
     df: DataFrame, value: str, keys: Sequence[str] = (), split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
     """The value at index n // 2 of the sorted values, per key (or overall), as ``upper_median``.
 
-    Equal values are counted first. While the distinct values per key stay under
-    ``split_rows`` one running sum finds the middle; beyond that the running sum
-    is laid over range partitions.
+    Equal values are counted first; the running count then finds the middle.
     """
     counted = (
         df.filter(F.col(value).isNotNull())
@@ -176,20 +188,10 @@ def upper_median(
     if not keys:
         counted = counted.withColumn("_all", F.lit(1))
     by = list(keys) or ["_all"]
-    if largest_group(counted, by) <= split_rows:
-        whole = Window.partitionBy(*by).orderBy("_value")
-        earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
-        everything = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        placed = counted.withColumns(
-            {
-                "_pos": F.coalesce(F.sum("_count").over(earlier), F.lit(0)),
-                "_total": F.sum("_count").over(everything),
-            }
-        )
-    else:
-        numbered = number_rows(counted, by, ["_value"], weight="_count")
-        totals = numbered.groupBy(*by).agg(F.sum("_count").alias("_total"))
-        placed = join_by_key(numbered, totals, by)
+    placed = count_before(counted, by, "_value", "_count", split_rows)
+    totals = counted.groupBy(*by).agg(F.sum("_count").alias("_total"))
     middle = F.floor(F.col("_total") / 2)
-    hit = placed.filter((F.col("_pos") <= middle) & (middle < F.col("_pos") + F.col("_count")))
+    hit = join_by_key(placed, totals, by).filter(
+        (F.col("_pos") <= middle) & (middle < F.col("_pos") + F.col("_count"))
+    )
     return hit.select(*keys, F.col("_value").alias("upper_median"))

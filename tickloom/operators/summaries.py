@@ -28,8 +28,7 @@ def ingest_summary(portfolio: DataFrame, batch: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_ingested"), F.count(F.lit(1)).alias("tickers_ok")
     )
     failed = not_in(portfolio, batch, "Ticker").agg(F.count(F.lit(1)).alias("tickers_failed"))
-    one = F.lit(1).alias("_one")
-    return arrived.select(one, "*").join(failed.select(one, "*"), "_one").drop("_one")
+    return beside([arrived, failed])
 
 
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -66,17 +65,22 @@ def publish_summary(events: DataFrame, time: str, key: str) -> DataFrame:
 
 def loss_check(published: DataFrame, landed: DataFrame, key: str) -> DataFrame:
     """Published, landed and lost rows per key."""
-    sent = published.groupBy(key).agg(F.count(F.lit(1)).alias("published"))
-    kept = landed.groupBy(key).agg(F.count(F.lit(1)).alias("landed"))
-    kept = kept.withColumnRenamed(key, "_landed_key")
-    both = sent.join(kept, F.col(key).eqNullSafe(F.col("_landed_key")), "full").select(
-        F.coalesce(key, "_landed_key").alias(key),
-        F.coalesce("published", F.lit(0)).alias("published"),
-        F.coalesce("landed", F.lit(0)).alias("landed"),
+    sides = union_all(
+        [
+            published.select(key, F.lit(1).alias("published"), F.lit(0).alias("landed")),
+            landed.select(key, F.lit(0).alias("published"), F.lit(1).alias("landed")),
+        ]
     )
+    both = sides.groupBy(key).agg(F.sum("published").alias("published"), F.sum("landed").alias("landed"))
     return both.withColumn("lost", F.col("published") - F.col("landed"))
 
 
+def beside(single_rows: Sequence[DataFrame]) -> DataFrame:
+    """The columns of several one-row frames as one row."""
+    stacked = union_all(single_rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name; a column missing on one side is null there."""
     out = frames[0]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import times as TM
-from tickloom.operators import ordering
+from tickloom.operators import ordering, summaries
 
 
 def with_latency(landed: DataFrame) -> DataFrame:
@@ -51,11 +51,10 @@ def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
         F.round(F.max("longest") / F.lit(1e6), 2).alias("write_latency_max_seconds"),
     )
     median = ordering.upper_median(timed, "latency_micros", **split).select(
-        F.lit(1).alias("_one"), F.round(F.col("upper_median") / F.lit(1e6), 2).alias("write_latency_p50_seconds")
+        F.round(F.col("upper_median") / F.lit(1e6), 2).alias("write_latency_p50_seconds")
     )
     rate = F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds")).otherwise(F.lit(0.0))
     whole = totals.select(
-        F.lit(1).alias("_one"),
         "rows",
         "batches",
         F.round("seconds", 2).alias("duration_seconds"),
@@ -63,18 +62,18 @@ def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
         "write_latency_avg_seconds",
         "write_latency_max_seconds",
     )
-    return whole.join(median, "_one", "left").drop("_one")
+    return summaries.beside([whole, median])
 
 
-def lag_samples(end_offsets: DataFrame, batches: DataFrame) -> DataFrame:
+def lag_samples(end_offsets: DataFrame, batches: DataFrame, **split: int) -> DataFrame:
     """Lag after each batch: the topic's end offsets then, minus the rows landed so far, at least 0.
 
     ``end_offsets`` has one row per batch and topic partition; ``batches`` one
     per batch, with its rows. The running total goes over batches, not events.
     """
     ends = end_offsets.groupBy("app", "batch_id").agg(F.sum("end_offset").alias("end_offset"))
-    so_far = Window.partitionBy("app").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = batches.withColumn("rows_landed", F.sum("rows").over(so_far))
+    counted = ordering.count_before(batches, ["app"], "batch_id", "rows", **split)
+    rows = counted.select("app", "batch_id", (F.col("_pos") + F.col("rows")).alias("rows_landed"))
     lag = F.greatest(F.lit(0), F.col("end_offset") - F.col("rows_landed"))
     return ends.join(rows, ["app", "batch_id"]).select("app", "batch_id", lag.alias("lag"))
 
