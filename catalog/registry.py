@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if fn.__name__ in QUERIES:
             raise ValueError(f"query {fn.__name__} is registered twice")
-        QUERIES[fn.__name__] = fn
+
+        @wraps(fn)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = in_utc
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn

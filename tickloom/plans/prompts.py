@@ -12,8 +12,10 @@ from tickloom.operators import ordering
 from tickloom.plans import retrieval
 from tickloom.schemas import BAR_VIEW, BARS_RANGE, DEFAULT_BARS, TOP_K, bounded_arg
 
+# How a missing number and a missing context read in a prompt.
 MISSING = "NaN"
 NO_CONTEXT = "No prior context was retrieved for this query."
+
 TASK = "You brief institutional investors before the market opens. These are the latest bars of "
 CITE = "Notes found for this briefing. Name the bracketed source of each note you rely on, and no other:"
 ASK = (
