@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import quality
-from tickloom.llm.common import table
+from tickloom.llm import mixing, quality
+from tickloom.llm.common import materialise, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +64,52 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+MIXING_SQL = rf"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, CAST(len({SQL_WORDS}) AS BIGINT) AS size,
+    md5('mix' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+weighted AS (
+  SELECT source, s, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM per),
+budget AS (SELECT 1.5::DOUBLE * sum(s) AS b, count(*) AS n FROM weighted),
+fill AS (  -- the sources that are full, found round by round
+  SELECT 0 AS round, []::VARCHAR[] AS filled, (SELECT b FROM budget) / (SELECT sum(w) FROM weighted) AS level
+  UNION ALL
+  SELECT round + 1, f2, level2 FROM (
+    SELECT round, filled,
+      (SELECT list(coalesce(source, chr(0)) ORDER BY source) FROM weighted WHERE w * level > 2 * s
+         OR list_contains(filled, coalesce(source, chr(0)))) AS f2,
+      ((SELECT b FROM budget) - (SELECT coalesce(sum(2 * s), 0) FROM weighted WHERE w * level > 2 * s
+         OR list_contains(filled, coalesce(source, chr(0)))))
+        / (SELECT sum(w) FROM weighted WHERE NOT (w * level > 2 * s
+         OR list_contains(filled, coalesce(source, chr(0))))) AS level2
+    FROM fill) WHERE len(f2) > len(filled)),
+targets AS (
+  SELECT source, s, least(2.0::DOUBLE * s, w * (SELECT level FROM fill ORDER BY round DESC LIMIT 1)) AS target
+  FROM weighted),
+queue AS (
+  SELECT z.*, t.s, t.target, sum(size) OVER (PARTITION BY z.source ORDER BY k, size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM sized z JOIN targets t ON z.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT doc_id, k, size, turn, (turn * s + upto) / target AS f FROM queue, (SELECT unnest([0, 1]) AS turn)
+  WHERE size > 0 AND target > 0),
+served AS (SELECT *, sum(size) OVER (ORDER BY f, k, turn ROWS UNBOUNDED PRECEDING) AS total FROM copies),
+beyond AS (SELECT f, k, turn FROM served WHERE total > (SELECT floor(sum(target) + 1e-6) FROM targets)
+  ORDER BY f, k, turn LIMIT 1),
+taken AS (
+  SELECT doc_id, sum(size) AS taken FROM served
+  WHERE (SELECT count(*) FROM beyond) = 0 OR (f, k, turn) < (SELECT (f, k, turn) FROM beyond) GROUP BY 1)
+SELECT q.doc_id, size, CAST(q.s AS BIGINT) AS source_size, round(target, 6) AS target,
+  CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM queue q LEFT JOIN taken t ON q.doc_id = t.doc_id"""
+
+
+@query(MIXING_SQL)
+def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sized")
+    return mixing.schedule(sized).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+    )
