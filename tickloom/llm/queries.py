@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, quality
-from tickloom.llm.common import materialise, table, word_count
+from tickloom.llm import mixing, quality, tokenstore, warc
+from tickloom.llm.common import materialise, scratch_path, table, word_count
+from tickloom.llm.paths import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +67,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenstore.write_store(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return tokenstore.read_store(spark, path).withColumnRenamed("key", "doc_id")
+
+
 MIXING_SQL = rf"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(len({SQL_WORDS}) AS BIGINT) AS size,
@@ -113,3 +121,13 @@ def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(sized).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
     )
+
+
+@query()
+def op10_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    streams, archives = scratch_path(spark, "warc-streams"), scratch_path(spark, "warc")
+    warc.write_streams(table(spark, sf_dir, "pages"), streams)
+    warc.normalise(spark, streams, archives)
+    return warc.read_records(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
