@@ -19,21 +19,24 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.cells import read_cells, write_cells
-from tickloom.llm.common import SLICE, U64, arrow_map, materialise, mixed
+from tickloom.llm.common import U64, arrow_map, materialise, mixed
 
 MAGIC = b"TOKS"
 HEADER = struct.Struct("<4sBQQQQ")  # magic, bytes of an id, documents, null keys, ids, bytes of the index
 END_ID = 1
 #: Bytes of text that go to one shard, about.
 SHARD_TEXT = 24 << 20
-#: Words whose ids a task remembers.
-HELD = 1 << 18
+#: Words whose ids a Python worker remembers.
+HELD = 600_000
+#: Characters of text that are split into words at a time.
+BATCH_CHARS = 2 << 20
 GAMMA = 2
 RANK_STEP = 512
 
@@ -42,13 +45,13 @@ class Encoder:
     """Ids of whole texts, by way of their words.
 
     The tokenizer splits at white space before anything else crosses it, so the
-    ids of a text are those of its blank-separated words, one after another; each
-    word is encoded once and remembered. Letters before closing punctuation are
-    encoded apart from it, as the tokenizer's own split does.
+    ids of a text are those of its blank-separated words, one after another. Words
+    of a batch are told apart by 64-bit hashes in array operations, and each new
+    word is encoded once and remembered. Lower-casing (in texts of Latin-1 letters)
+    and the split before a closing stop or comma are done ahead, as the tokenizer
+    would do them itself, so that fewer different words remain.
     """
 
-    CLOSING = ".,;:!?|"
-
     def __init__(self, vocabulary: str):
         import os
 
@@ -56,35 +59,128 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(names.values()) < 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.closes = np.zeros(max(names.values()) + 1, dtype=bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            self.closes[[i for name, i in names.items() if name.endswith(suffix)]] = True
+        self.known: dict[int, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text, the end id included."""
-        split = [(t or "").encode().split() for t in texts]
+    @staticmethod
+    def lowered(text: str | None) -> bytes:
+        if not text:
+            return b""
+        raw = text.encode()
+        if "<|" in text:  # may spell a special token, which is told apart by case
+            return raw
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return raw
+        return text.lower().encode()
+
+    def learn(self, new: dict[int, bytes]) -> None:
+        """Encode words not seen yet: runs of letters in one call, the rest one by one."""
+        words = [(h, w.decode()) for h, w in new.items()]
+        plain = [(h, t) for h, t in words if t.isalpha()]
+        if plain:
+            found = self.tokenizer.encode_batch_fast([" ".join([t for _, t in plain])], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype=self.kind)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(plain):  # every run of letters ends in a token that closes a word
+                packed, at = ids.tobytes(), 0
+                for (h, _), end in zip(plain, (ends * self.width).tolist(), strict=True):
+                    self.known[h] = packed[at:end]
+                    at = end
+            else:
+                plain = []
+        held = {h for h, _ in plain}
+        rest = [(h, t) for h, t in words if h not in held]
+        if rest:
+            found = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
+            for (h, _), one in zip(rest, found, strict=True):
+                self.known[h] = np.array(one.ids, dtype=self.kind).tobytes()
+
+    def encode(self, texts: list[str | None]) -> tuple[bytes, np.ndarray]:
+        """Packed ids of the texts, each with the end id, and how many each text has."""
+        raws = [self.lowered(t) for t in texts]
+        blob = b"\n".join([*raws, b""])
+        starts, ends = word_spans(np.frombuffer(blob, dtype=np.uint8))
+        hashes = span_hashes(np.frombuffer(blob, dtype=np.uint8), starts, ends)
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > HELD:
             self.known.clear()
-        if len(self.parts) > HELD:
-            self.parts.clear()
-        new = set().union(*split).difference(self.known)
-        pieces = {}
-        for word in new:
-            whole = word.decode()
-            core = whole.rstrip(self.CLOSING)
-            if core.isalpha():
-                pieces[word] = ("".join(map(str.lower, core)), whole[len(core) :])
-            else:
-                pieces[word] = (whole, "")
-        unseen = list({p for pair in pieces.values() for p in pair if p} - self.parts.keys())
-        for part, found in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            self.parts[part] = np.array(found.ids, dtype=self.kind).tobytes()
-        self.parts[""] = b""
-        for word, (core, closing) in pieces.items():
-            self.known[word] = self.parts[core] + self.parts[closing]
-        end = np.array([END_ID], dtype=self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) + end for words in split]
+        names = distinct.tolist()
+        found = list(map(self.known.get, names))
+        if None in found:
+            at = [i for i, x in enumerate(found) if x is None]
+            self.learn({names[i]: blob[starts[first[i]] : ends[first[i]]] for i in at})
+            for i in at:
+                found[i] = self.known[names[i]]
+        # Lay each word's ids, and an end id behind each text, at their places.
+        pool = np.frombuffer(b"".join(found), dtype=self.kind)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.width
+        pool_at = np.cumsum(sizes) - sizes
+        text_ends = np.cumsum([len(r) + 1 for r in raws])
+        text_of = np.searchsorted(text_ends, starts, side="right")
+        n = sizes[which]
+        upto = np.cumsum(n)
+        out = np.full((int(upto[-1]) if len(n) else 0) + len(texts), END_ID, dtype=self.kind)
+        place = upto - n + text_of
+        inner = np.arange(int(upto[-1]) if len(n) else 0) - np.repeat(upto - n, n)
+        out[np.repeat(place, n) + inner] = pool[np.repeat(pool_at[which], n) + inner]
+        return out.tobytes(), np.bincount(text_of, weights=n, minlength=len(texts)).astype(np.int64) + 1
+
+
+BLANKS = np.zeros(256, dtype=bool)
+BLANKS[[32, 9, 10, 11, 12, 13]] = True
+SMALL = np.zeros(256, dtype=bool)
+SMALL[97:123] = True
+BASE = 0x2545F4914F6CDD1D
+BACK = pow(BASE, -1, 1 << 64)
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of blank-separated words; a stop or comma between a small letter and a blank stands alone.
+
+    ``data`` ends with a blank.
+    """
+    blank = BLANKS[data]
+    before = np.concatenate([[True], blank[:-1]])
+    after = np.concatenate([blank[1:], [True]])
+    closing = ((data == 46) | (data == 44)) & after
+    closing[0] = False
+    letter = SMALL[data]
+    accented = (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+    accented[1:] &= data[:-1] == 0xC3
+    accented[0] = False
+    closing[1:] &= (letter | accented)[:-1]
+    starts = np.flatnonzero(~blank & (before | closing))
+    ends = np.flatnonzero(~blank & (after | np.concatenate([closing[1:], [False]]))) + 1
+    return starts, ends
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=U64)
+    out[0] = 1
+    return np.cumprod(out, dtype=U64)
+
+
+BYTES = mixed(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, from running sums over the whole of them."""
+    sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(BYTES[data] * powers(BASE, len(data)), dtype=U64)])
+    return mixed((sums[ends] - sums[starts]) * powers(BACK, len(data))[starts] + (ends - starts).astype(U64))
+
+
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str) -> Encoder:
+    """The Python worker's encoder: a reused worker keeps its words from task to task."""
+    return Encoder(vocabulary)
 
 
 class KeyIndex:
@@ -105,7 +201,7 @@ class KeyIndex:
 
     @staticmethod
     def place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (mixed(keys.astype(U64) + U64(0x9E3779B97F4A7C15) * U64(level + 1)) % U64(size)).astype(np.int64)
+        return (mixed(keys.astype(U64) + U64((0x9E3779B97F4A7C15 * (level + 1)) % (1 << 64))) % U64(size)).astype(np.int64)
 
     @staticmethod
     def fingerprint(keys: np.ndarray) -> np.ndarray:
@@ -163,13 +259,13 @@ class KeyIndex:
         return cls(levels, np.frombuffer(data[at:], dtype=cls.SLOT))
 
 
-def pack_shard(keys: list[int | None], payloads: list[bytes], width: int) -> bytes:
-    """A shard of documents in key order, null keys first."""
+def pack_shard(keys: list[int | None], payloads: list[bytes], sizes: np.ndarray, width: int) -> bytes:
+    """A shard of documents in key order, null keys first; ``sizes`` counts each document's ids."""
     nulls = sum(k is None for k in keys)
     held = np.array([k or 0 for k in keys], dtype="<i8")
     distinct, first, count = np.unique(held[nulls:], return_index=True, return_counts=True)
     index = KeyIndex.build(distinct, first + nulls, count).pack()
-    ends = np.cumsum([len(p) // width for p in payloads], dtype="<u8")
+    ends = np.cumsum(sizes).astype("<u8")
     head = HEADER.pack(MAGIC, width, len(keys), nulls, int(ends[-1]) if len(keys) else 0, len(index))
     return b"".join([head, held.tobytes(), ends.tobytes(), index, *payloads])
 
@@ -215,20 +311,29 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id"
     ordered = ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text"))
 
     def shards(found: Iterator[tuple]) -> Iterable[tuple]:
-        encoder, keys, payloads = Encoder(vocabulary), [], []
-        for group in slices(found):
+        encoder, keys, payloads, sizes = encoder_of(vocabulary), [], [], []
+        for group in batches(found):
+            payload, n = encoder.encode([t for _, t in group])
             keys += [k for k, _ in group]
-            payloads += encoder.encode([t for _, t in group])
+            payloads.append(payload)
+            sizes.append(n)
         if keys:
-            yield (pack_shard(keys, payloads, encoder.width),)
+            yield (pack_shard(keys, payloads, np.concatenate(sizes), encoder.width),)
 
     write_cells(arrow_map(ordered, shards, "value binary"), path)
 
 
-def slices(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    from itertools import islice
-
-    while group := list(islice(rows, SLICE)):
+def batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows (key, text) in groups of about ``BATCH_CHARS`` characters, a longer text alone."""
+    group, size = [], 0
+    for row in rows:
+        n = len(row[1] or "")
+        if group and size + n > BATCH_CHARS:
+            yield group
+            group, size = [], 0
+        group.append(row)
+        size += n
+    if group:
         yield group
 
 
