@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html, mixing, quality, tokenstore, warc
+from tickloom.llm import html, mixing, quality, tokenstore, toxicity, warc
 from tickloom.llm.common import materialise, scratch_path, table, word_count
 from tickloom.llm.paths import vocabulary
 
@@ -60,6 +60,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query()
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
