@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.cells import read_cells, write_cells
-from tickloom.llm.common import U64, arrow_map, materialise, mixed
+from tickloom.llm.common import U64, arrow_map, batches, materialise, mixed, span_hashes
 
 MAGIC = b"TOKS"
 HEADER = struct.Struct("<4sBQQQQ")  # magic, bytes of an id, documents, null keys, ids, bytes of the index
@@ -35,8 +35,6 @@ END_ID = 1
 SHARD_TEXT = 24 << 20
 #: Words whose ids a Python worker remembers.
 HELD = 600_000
-#: Characters of text that are split into words at a time.
-BATCH_CHARS = 2 << 20
 GAMMA = 2
 RANK_STEP = 512
 
@@ -107,8 +105,9 @@ class Encoder:
         """Packed ids of the texts, each with the end id, and how many each text has."""
         raws = [self.lowered(t) for t in texts]
         blob = b"\n".join([*raws, b""])
-        starts, ends = word_spans(np.frombuffer(blob, dtype=np.uint8))
-        hashes = span_hashes(np.frombuffer(blob, dtype=np.uint8), starts, ends)
+        data = np.frombuffer(blob, dtype=np.uint8)
+        starts, ends = word_spans(data)
+        hashes = span_hashes(BYTES[data], starts, ends)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > HELD:
             self.known.clear()
@@ -138,10 +137,6 @@ BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[32, 9, 10, 11, 12, 13]] = True
 SMALL = np.zeros(256, dtype=bool)
 SMALL[97:123] = True
-BASE = 0x2545F4914F6CDD1D
-BACK = pow(BASE, -1, 1 << 64)
-
-
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of blank-separated words; a stop or comma between a small letter and a blank stands alone.
 
@@ -162,21 +157,9 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=U64)
-    out[0] = 1
-    return np.cumprod(out, dtype=U64)
-
-
 BYTES = mixed(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of bytes, from running sums over the whole of them."""
-    sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(BYTES[data] * powers(BASE, len(data)), dtype=U64)])
-    return mixed((sums[ends] - sums[starts]) * powers(BACK, len(data))[starts] + (ends - starts).astype(U64))
-
-
 @lru_cache(maxsize=1)
 def encoder_of(vocabulary: str) -> Encoder:
     """The Python worker's encoder: a reused worker keeps its words from task to task."""
@@ -323,20 +306,6 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id"
     write_cells(arrow_map(ordered, shards, "value binary"), path)
 
 
-def batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Rows (key, text) in groups of about ``BATCH_CHARS`` characters, a longer text alone."""
-    group, size = [], 0
-    for row in rows:
-        n = len(row[1] or "")
-        if group and size + n > BATCH_CHARS:
-            yield group
-            group, size = [], 0
-        group.append(row)
-        size += n
-    if group:
-        yield group
-
-
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a store: key, start (ids of all before it), n_tokens, ids_crc32.
 
