@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html, mixing, pieces, quality, tokenstore, toxicity, warc
+from tickloom.llm import html, mixing, near, pieces, quality, tokenstore, toxicity, warc
 from tickloom.llm.common import materialise, scratch_path, table, word_count
 from tickloom.llm.paths import vocabulary
 
@@ -141,6 +141,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(encoded, vocabulary("piece_bpe_32k.model"))
 
 
+@query()
+def op9_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.near_duplicates(docs, size=3, similarity=85)
+
+
 @query()
 def op10_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams, archives = scratch_path(spark, "warc-streams"), scratch_path(spark, "warc")
