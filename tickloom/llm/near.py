@@ -15,7 +15,8 @@ outside the bucket's largest one are compared with all members of other
 components by longer signatures (1024 minima), which tell close pairs from links
 well enough that few false ones are left to confirm. A pair is put out by the
 first bucket it shares only. At a similarity of 0.85 two documents share no
-bucket with probability 4e-7, and a cut of an estimate loses them with about 1e-6.
+bucket with probability 4e-7 (at 0.8: 5e-5), and the cut of an estimate loses
+them with about 1e-6.
 
 Defined cases: null texts and texts without words have an empty set and are
 linked with nothing. Documents without an id are linked with nothing, have no
@@ -40,18 +41,16 @@ BAND = 5
 BANDS = MINIMA // BAND
 BITS = 2
 WORDS = MINIMA * BITS // 64
-#: Agreeing two-bit values a candidate must have. At 0.85 the expectation is 113.6 and the
-#: deviation 3.6, so true links lie over 5.5 deviations above; it estimates 0.61.
-AGREE = 92
+#: A candidate must agree in as many values as a pair at the threshold less so many deviations.
+DEVIATIONS = 5.5
 #: Best candidates of a node that are confirmed before whole components are told apart.
 BEST = 3
 LOOK_BACK = 3
 #: Shingles of texts that a task remembers while it confirms pairs.
 HELD_SHINGLES = 1 << 21
 PASSES = 3
-#: The longer signatures: expectation 908.8 and deviation 10.1 at 0.85; the cut estimates 0.78.
+#: Minima of the longer signatures.
 FINE_MINIMA = 1024
-FINE_AGREE = 853
 
 SIGNATURE = [f"s{i}" for i in range(WORDS)]
 FINE = [f"f{i}" for i in range(FINE_MINIMA * BITS // 64)]
@@ -98,10 +97,14 @@ def agreeing(left: str, right: str) -> Column:
     return F.expr(f"{FINE_MINIMA} - ({' + '.join(differ)})")
 
 
-def estimate(agreed: float, n: int = MINIMA) -> float:
-    """Similarity from agreeing values, corrected for agreement by chance."""
+def least_agreeing(similarity: int, n: int) -> int:
+    """Values of ``n`` that a pair of the given similarity (in percent) agrees in, with a wide margin.
+
+    Values of different minima agree by chance too, one in four of two bits each.
+    """
     chance = 1 / (1 << BITS)
-    return (agreed / n - chance) / (1 - chance)
+    share = similarity / 100 * (1 - chance) + chance
+    return int(n * share - DEVIATIONS * (n * share * (1 - share)) ** 0.5)
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
@@ -137,7 +140,7 @@ def in_parts(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return placed.withColumn("part", F.coalesce("part", "node"))
 
 
-def adjacent(members: DataFrame, turn: int) -> DataFrame:
+def adjacent(members: DataFrame, turn: int, agree: int) -> DataFrame:
     """a, b, agreed of members of different parts that follow each other closely in a bucket.
 
     The order is that of the signatures, from word ``turn`` on. Rows are ranged over
@@ -158,7 +161,7 @@ def adjacent(members: DataFrame, turn: int) -> DataFrame:
             for other, at, its in last:
                 if its != part:
                     differ = sum((((x := a ^ b) | x >> 1) & odd).bit_count() for a, b in zip(words, other, strict=True))
-                    if MINIMA - differ >= AGREE:
+                    if MINIMA - differ >= agree:
                         yield max(node, at), min(node, at), MINIMA - differ
             last = [*last[-LOOK_BACK + 1 :], (words, node, part)]
 
@@ -218,7 +221,7 @@ def fine_signatures(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     return materialise(rows.dropDuplicates(["node"]), "fine-signatures")
 
 
-def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, agree: int) -> DataFrame:
     """a, b of candidates in different parts, from buckets that hold several.
 
     Members of a bucket's largest part are connected already, so only the others
@@ -241,7 +244,7 @@ def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) ->
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.part") != F.col("y.part"))
         & ((F.col("y.part") == F.col("y.largest")) | (F.col("x.node") > F.col("y.node")))
-        & (agreeing("x", "y") >= FINE_AGREE)
+        & (agreeing("x", "y") >= agree)
         & first,
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
@@ -266,7 +269,10 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     labels = None
     for turn in range(PASSES + 1):
         placed = materialise(in_parts(members, labels), "placed")
-        pairs = best_of(adjacent(placed, turn)) if turn < PASSES else across(placed, nodes, docs, size)
+        if turn < PASSES:
+            pairs = best_of(adjacent(placed, turn, least_agreeing(similarity, MINIMA)))
+        else:
+            pairs = across(placed, nodes, docs, size, least_agreeing(similarity, FINE_MINIMA))
         new = confirmed(pairs, docs, size, similarity).where("linked").select("a", "b")
         if labels is None or not new.isEmpty():
             links = links.union(new)
@@ -277,3 +283,21 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     return held.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def one_of_each(docs: DataFrame, size: int, similarity: int) -> DataFrame:
+    """``docs`` without all but the first document of each group, and one row per id.
+
+    The rows that go are told by narrow tables; texts move once, to meet the ids that go.
+    """
+    verdicts = materialise(near_duplicates(docs.select("doc_id", "text"), size, similarity), "verdicts")
+    gone = verdicts.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    rest = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    twice = materialise(
+        verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+        "repeated-ids",
+    )
+    if twice.isEmpty():
+        return rest
+    single = rest.join(twice, "doc_id", "left_anti")
+    return single.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*rest.columns))
