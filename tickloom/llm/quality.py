@@ -112,7 +112,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts that the rules refer to."""
     names = (
         "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_stop_words n_unstopped "
-        "n_ellipsis_lines _text _words _windows _lines"
+        "n_ellipsis_lines _counts _text _words _windows _lines"
     ).split()
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
     held = F.coalesce(F.col(text), F.lit(""))
@@ -140,8 +140,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def n(expression: str) -> Column:
         return F.expr(expression).cast("long")
 
-    return windows.select(
-        *rest,
+    counts = F.struct(
         n("size(_words)").alias("n_words"),
         n("char_length(array_join(_words, ''))").alias("word_chars"),
         n("char_length(regexp_replace(_text, '[^#*$%&|<>]+', ''))").alias("n_symbols"),
@@ -150,7 +149,12 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         repeat_words().alias("n_repeat_words"),
         n("size(filter(_lines, l -> l LIKE '%...' OR l LIKE '%…'))").alias("n_ellipsis_lines"),
         n(f"size(array_intersect(_words, array({stop})))").alias("n_stop_words"),
-    ).withColumn("n_unstopped", F.when(F.col("n_stop_words") < 2, F.col("n_words")).otherwise(F.lit(0)).cast("long"))
+    )
+    # A filter on a verdict would be moved down to the texts, with a copy of the whole
+    # expression at each place it names a count; a generated row keeps it above.
+    counted = windows.select(*rest, F.explode(F.array(counts)).alias("_counts")).select(*rest, "_counts.*")
+    unstopped = F.when(F.col("n_stop_words") < 2, F.col("n_words")).otherwise(F.lit(0)).cast("long")
+    return counted.withColumn("n_unstopped", unstopped)
 
 
 BLANK_SQL = r"\\x20\\x09-\\x0D"
