@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html, mixing, near, pieces, quality, repeats, tokenstore, toxicity, warc
+from tickloom.llm import ann, html, mixing, near, pieces, quality, repeats, tokenstore, toxicity, warc
 from tickloom.llm.common import materialise, scratch_path, table, word_count
 from tickloom.llm.paths import vocabulary
 
@@ -146,6 +146,11 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.summary(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query()
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), every=50, k=5)
+
+
 @query()
 def op9_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
