@@ -28,17 +28,17 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import arrow_map, materialise
 
-NEIGHBOURS = 24
+NEIGHBOURS = 32
 #: Neighbours, and nodes naming it, that a node introduces to each other in a round.
-SAMPLE = 12
+SAMPLE = 16
 ROUNDS = 4
 TABLES = 6
 #: Members of a first group, about.
 GROUP = 96
 PIVOTS = 256
 STARTS = 8
-BEAM = 96
-EXPAND = 48
+BEAM = 256
+EXPAND = 128
 SEARCH_ROUNDS = 8
 #: Nodes per query that are scored exactly.
 FINAL = 24
@@ -186,7 +186,10 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     own = measured(queries.where("node IS NOT NULL").select("query", "node"))
     state = state.union(own).dropDuplicates(["query", "node"]).withColumn("done", F.lit(False))
     state = materialise(state, "search")
-    adjacency = graph.select("node", "other")
+    # Links are walked both ways: nodes that name another are reached from it too.
+    backward = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near")
+    backward = best_per(backward, "node", NEIGHBOURS, F.col("near").desc(), "other")
+    adjacency = materialise(graph.union(backward).select("node", "other").distinct(), "adjacency")
     for _ in range(SEARCH_ROUNDS):
         beam = best_per(state, "query", BEAM, F.col("near").desc(), "node")
         ahead = materialise(

@@ -20,7 +20,10 @@ def write_cells(df: DataFrame, path: str, *folders: str) -> None:
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """path, content of each file that is not empty."""
+    """path, content of each file that is not empty; a folder that no task wrote to has none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "path string, content binary")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

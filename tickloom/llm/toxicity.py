@@ -29,7 +29,7 @@ SAMPLE_ROWS = 10_000
 ORDERS = (3, 4, 5)
 BITS = 20
 #: Features kept for the regression.
-KEPT = 1 << 14
+KEPT = 1 << 12
 SMOOTHING = 1.0
 RIDGE = 1e-3
 STEPS = 250
@@ -132,16 +132,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def regress(columns: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on log-count ratios, by Adam steps over all rows of the sample."""
     lengths = np.array([len(c) for c in columns])
-    column, row = np.concatenate(columns), np.repeat(np.arange(len(columns)), lengths)
-    value = ratios[column]
+    column, row = np.concatenate(columns), np.repeat(np.arange(len(columns), dtype=np.int32), lengths)
     rows, width = len(columns), len(ratios)
     betas, intercept = np.zeros(width), float(np.log(toxic.mean() / (1 - toxic.mean())))
     moment, square = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row, weights=value * betas[column], minlength=rows) + intercept
+        margin = np.bincount(row, weights=(ratios * betas)[column], minlength=rows) + intercept
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) / rows
         gradient = np.append(
-            np.bincount(column, weights=value * error[row], minlength=width) + RIDGE * betas, error.sum()
+            ratios * np.bincount(column, weights=error[row], minlength=width) + RIDGE * betas, error.sum()
         )
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
