@@ -161,7 +161,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             at = features(text)
             at = np.unique(at[table[at] != 0])
             margin = float(table[at].sum(dtype=np.float64)) + intercept
-            yield doc_id, out, float(1 / (1 + np.exp(-np.clip(margin, -700, 700))))
+            yield doc_id, out, float(1 / (1 + np.exp(-np.clip(margin, -700, 700)))) if np.isfinite(margin) else float(margin > 0)
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")), "text")
     result = arrow_map(rows, scored, "doc_id long, held_out boolean, score double")
