@@ -304,3 +304,13 @@ def test_distance_expression(spark):
     from tickloom.functions.columns import l2_squared
 
     assert math.isclose(df.select(l2_squared(F.col("a"), F.col("b")).alias("d")).first()["d"], 25.0)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 16])
+def test_nearest_passes_over_broken_vectors_and_keeps_ids(spark, limit):
+    nan, inf = float("nan"), float("inf")
+    data = [("a", [1.0, 0.0]), ("c\0", [0.0, 1.0]), ("n", [nan, 0.0]), ("i", [inf, 0.0]), ("z", [None, 1.0]), (None, [1.0, 0.0]), ("w", None)]
+    held = spark.createDataFrame(data, "id string, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 0.1]), (None, [0.0, 2.0]), (3, [nan, 1.0])], "query_id long, embedding array<double>")
+    got = sorted((r.query_id or 0, r.rank, r.id) for r in neighbours.nearest(held, asked, 2, max_query_bytes=limit).collect())
+    assert got == [(0, 1, "c\0"), (0, 2, "a"), (1, 1, "a"), (1, 2, "c\0")]

@@ -47,7 +47,7 @@ def _best_per_query(k: int):
                 if held[start + j] is not None:
                     distances = np.concatenate([held[start + j][0], distances])
                     names = np.concatenate([held[start + j][1], names])
-                first = np.lexsort((names, distances))[:k]
+                first = np.lexsort((np.unique(names, return_inverse=True)[1], distances))[:k]
                 held[start + j] = (distances[first], names[first])
         return held
 
@@ -67,8 +67,9 @@ def _readers():
     def names(column):
         import numpy as np
 
-        values = column.to_numpy() if hasattr(column, "combine_chunks") else column.to_numpy(zero_copy_only=False)
-        return values.astype(str) if values.dtype == object else np.asarray(values)
+        held = np.empty(len(column), dtype=object)
+        held[:] = column.to_pylist()
+        return held
 
     def batch(held, query_ids, schema):
         import numpy as np
@@ -83,7 +84,7 @@ def _readers():
             np.concatenate([pair[1] for _, pair in rows]),
             np.concatenate([pair[0] for _, pair in rows]),
         ]
-        arrays = [pa.array(list(c) if c.dtype.kind == "U" else c, type=f.type) for c, f in zip(columns, schema)]
+        arrays = [pa.array(list(c) if c.dtype == object else c, type=f.type) for c, f in zip(columns, schema)]
         return pa.Table.from_arrays(arrays, schema=schema)
 
     return matrix, names, batch
@@ -99,13 +100,18 @@ def nearest(
     """(query_id, rank, id, distance): the ``k`` nearest corpus rows of each query, ties by id.
 
     ``corpus`` has (id, embedding) with unique ids, ``queries`` (query_id, embedding).
+    Vectors that are null or hold null or non-finite elements, and corpus rows without
+    an id, take no part; a query without an id is answered under the null id.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql import types as T
 
     vectors = F.col("embedding").cast("array<double>").alias("embedding")
-    corpus = corpus.filter(F.col("embedding").isNotNull()).select("id", vectors)
-    queries = queries.filter(F.col("embedding").isNotNull()).select("query_id", vectors)
+    finite = F.col("embedding").isNotNull() & F.forall(
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    )
+    corpus = corpus.select("id", vectors).filter(F.col("id").isNotNull() & finite)
+    queries = queries.select("query_id", vectors).filter(finite)
     found = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
