@@ -188,6 +188,17 @@ rates AS (
   GROUP BY ALL)"""
 
 
+def step_rate_sql(seconds: int, step: int, condition: str = "true") -> str:
+    """Every series at every instant of a grid of its own, beside the samples in the range that ends there."""
+    return rate_sql(seconds, condition) + f""", grid AS (
+  SELECT make_timestamp(unnest(generate_series(epoch_us(min(ts)) // {step}000000 * {step}000000,
+    epoch_us(max(ts)) + {seconds}000000, {step}000000))) AS t FROM counter),
+step_rates AS (
+  SELECT b.endpoint, b.status, g.t AS ts, CASE WHEN count(*) >= 2 THEN
+    coalesce(sum(b.step) FILTER (WHERE b.prior_ts > g.t - INTERVAL {seconds} SECOND), 0) / {seconds}.0 END AS rate
+  FROM grid g JOIN stepped b ON b.ts <= g.t AND b.ts > g.t - INTERVAL {seconds} SECOND GROUP BY ALL)"""
+
+
 SAMPLE = "endpoint, status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
 
 
@@ -202,23 +213,24 @@ def counter_rate(spark, sf_dir):
 
 
 @query(
-    f"""WITH {rate_sql(3600)} SELECT endpoint, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(sum(rate), 10) AS rate
-FROM rates WHERE rate IS NOT NULL GROUP BY 1, 2"""
+    f"""WITH {step_rate_sql(3600, 900)}
+SELECT endpoint, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(sum(rate), 10) AS rate
+FROM step_rates WHERE rate IS NOT NULL GROUP BY 1, 2"""
 )
 def rate_by_endpoint(spark, sf_dir):
-    rates = monitor.counter_rate(request_counter(spark, sf_dir), 3600, ["endpoint", "status"])
+    rates = monitor.counter_rate(request_counter(spark, sf_dir), 3600, ["endpoint", "status"], step_seconds=900)
     return rounded(sample_text(monitor.rate_by_label(rates, ["endpoint"])), 10, "rate")
 
 
 @query(
-    f"""WITH {rate_sql(7200, "status LIKE '4__' OR status LIKE '5__'")}
+    f"""WITH {step_rate_sql(7200, 1800, "status LIKE '4__' OR status LIKE '5__'")}
 SELECT status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(sum(rate), 10) AS rate
-FROM rates WHERE rate IS NOT NULL GROUP BY 1, 2"""
+FROM step_rates WHERE rate IS NOT NULL GROUP BY 1, 2"""
 )
 def rate_by_label(spark, sf_dir):
     """Failing requests by status: the label filter comes before the rate, as on the panel."""
     failing = C.status_filter(request_counter(spark, sf_dir))
-    rates = monitor.counter_rate(failing, 7200, ["endpoint", "status"])
+    rates = monitor.counter_rate(failing, 7200, ["endpoint", "status"], step_seconds=1800)
     return rounded(sample_text(monitor.rate_by_label(rates, ["status"])), 10, "rate")
 
 
@@ -243,11 +255,15 @@ stepped AS (
   SELECT *, lag(ts) OVER s AS prior_ts,
     CASE WHEN value < lag(value) OVER s THEN value ELSE value - lag(value) OVER s END AS step
   FROM counter WINDOW s AS (PARTITION BY method, endpoint, le ORDER BY ts)),
+grid AS (
+  SELECT make_timestamp(unnest(generate_series(epoch_us(min(ts)), epoch_us(max(ts)) + 21600000000, 3600000000))) AS t
+  FROM counter),
+series_rates AS (
+  SELECT b.method, b.endpoint, b.le, g.t AS ts, CASE WHEN count(*) >= 2 THEN
+    coalesce(sum(b.step) FILTER (WHERE b.prior_ts > g.t - INTERVAL 21600 SECOND), 0) / 21600.0 END AS rate
+  FROM grid g JOIN stepped b ON b.ts <= g.t AND b.ts > g.t - INTERVAL 21600 SECOND GROUP BY ALL),
 rates AS (
-  SELECT a.endpoint, a.le, a.ts, CASE WHEN count(*) >= 2 THEN
-    coalesce(sum(b.step) FILTER (WHERE b.prior_ts > a.ts - INTERVAL 21600 SECOND), 0) / 21600.0 END AS rate
-  FROM stepped a JOIN stepped b ON a.method = b.method AND a.endpoint = b.endpoint AND a.le = b.le
-    AND b.ts <= a.ts AND b.ts > a.ts - INTERVAL 21600 SECOND GROUP BY ALL),
+  SELECT endpoint, le, ts, sum(rate) AS rate FROM series_rates WHERE rate IS NOT NULL GROUP BY ALL),
 placed AS (
   SELECT *, lag(rate, 1, 0) OVER w AS below, lag(le) OVER w AS lower_le,
     max(rate) OVER (PARTITION BY endpoint, ts) * 0.5 AS target
@@ -263,18 +279,18 @@ FROM hits WHERE rn = 1"""
 @query(QUANTILE_OF_RATES)
 def quantile_of_rates(spark, sf_dir):
     counters = bucket_counter(spark, sf_dir)
-    medians = monitor.quantile_of_rates(counters, 21600, 0.5, ["method", "endpoint"], ["endpoint"])
+    medians = monitor.quantile_of_rates(counters, 21600, 0.5, ["method", "endpoint"], ["endpoint"], 3600)
     return rounded(sample_text(medians), 8, "quantile")
 
 
 PUSHED = """WITH pushed AS (
   SELECT event_id, ts, event_type AS job, 'gauge_' || user_id AS name,
-    CASE WHEN user_id % 3 = 0 THEN 's3://bars' ELSE CAST(value AS VARCHAR) END AS value FROM events)"""
+    CASE WHEN user_id % 3 = 0 THEN 'text' ELSE CAST(value AS VARCHAR) END AS value FROM events)"""
 
 
 def pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pushed job metrics: some values are numbers, some are text."""
-    text = F.when(F.col("user_id") % 3 == 0, F.lit("s3://bars")).otherwise(F.col("value").cast("string"))
+    text = F.when(F.col("user_id") % 3 == 0, F.lit("text")).otherwise(F.col("value").cast("string"))
     return table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_type").alias("job"),

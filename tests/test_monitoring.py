@@ -78,3 +78,14 @@ def test_quantile_of_nothing_is_null(spark):
     df = spark.createDataFrame([("a", 1.0, 0), ("a", float("inf"), 0), ("b", 1.0, 3)], "l string, le double, bucket long")
     q = {r["l"]: r["quantile"] for r in rows(monitor.histogram_quantile(df, 0.5, ["l"]))}
     assert q == {"a": None, "b": None}
+
+
+def test_rates_of_series_sampled_at_different_seconds_add_up(spark):
+    """Two counters, read 7 seconds apart, rising 0.5 and 1.0 a second."""
+    data = [("/a", "200", 1_000 + 30 * i, 15.0 * i) for i in range(80)] + [("/a", "500", 1_007 + 30 * i, 30.0 * i) for i in range(80)]
+    df = spark.createDataFrame(data, "endpoint string, status string, at long, value double").withColumn("ts", F.timestamp_seconds("at")).drop("at")
+    rates = monitor.counter_rate(df, 600, ["endpoint", "status"], step_seconds=60)
+    found = sorted((r.ts.timestamp(), r.rate) for r in monitor.rate_by_label(rates, ["endpoint"]).collect())
+    assert [t % 60 for t, _ in found] == [0] * len(found)
+    steady = [rate for t, rate in found if 1_700 <= t <= 3_300]
+    assert len(steady) > 20 and all(abs(r - 1.5 * 570 / 600) < 1e-9 for r in steady)

@@ -74,9 +74,14 @@ def counter_rate(
     labels: Sequence[str],
     ts: str = "ts",
     value: str = "value",
+    step_seconds: float | None = None,
 ) -> DataFrame:
     """Per-second rate of a counter at each sample, over the trailing range ending there.
 
+    With ``step_seconds`` the rate is taken at whole multiples of that step instead, the
+    same instants for every series, and (labels, ts, rate) comes back for each instant
+    whose range holds a sample. Sum rates of several series in that form only.
+
     The increase is the sum of the steps between neighbouring samples inside
     (t - range, t]; a drop means the counter restarted, so the step is the new
     value. Null with fewer than two samples in the range. Nothing is
@@ -103,12 +108,30 @@ def counter_rate(
     step = F.when(F.col(value) < previous, F.col(value)).otherwise(F.col(value) - previous)
     stepped = blocks.withColumn("_step", F.coalesce(step.cast("double"), F.lit(0.0)))
     increase = F.sum("_step").over(frame) - F.first("_step").over(frame)
+    if step_seconds is not None:
+        return _rates_at_steps(stepped, labels, ts, span, width, int(step_seconds * 1_000_000))
     rate = F.when(F.count(F.lit(1)).over(frame) >= 2, increase / F.lit(float(range_seconds)))
     return stepped.withColumn("rate", rate).filter(~F.col("_carried")).select(*samples.columns, "rate")
 
 
+def _rates_at_steps(
+    stepped: DataFrame, labels: Sequence[str], ts: str, span: int, width: int, step: int
+) -> DataFrame:
+    """Each sample goes to the instants of its block whose range covers it; they add up its steps."""
+    first = F.ceil(F.col("_at") / step) * step
+    first = F.greatest(first, F.ceil(F.col("_block") * width / step) * step)
+    last = F.least(F.col("_at") + span, (F.col("_block") + 1) * width) - 1
+    instants = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("long")))
+    spread = stepped.withColumn("_instant", F.explode(instants))
+    summed = spread.groupBy(*labels, "_instant").agg(
+        F.count(F.lit(1)).alias("_n"), (F.sum("_step") - F.min_by("_step", "_at")).alias("_increase")
+    )
+    rate = F.when(F.col("_n") >= 2, F.col("_increase") / F.lit(span / 1_000_000))
+    return summed.select(*labels, F.timestamp_micros("_instant").alias(ts), rate.alias("rate"))
+
+
 def rate_by_label(rates: DataFrame, label: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Sum of the rates sharing a label at an instant."""
+    """Sum of the rates sharing a label at an instant; take them at common steps before."""
     return rates.filter(F.col("rate").isNotNull()).groupBy(*label, ts).agg(F.sum("rate").alias("rate"))
 
 
@@ -147,13 +170,14 @@ def quantile_of_rates(
     quantile: float,
     labels: Sequence[str],
     by: Sequence[str],
+    step_seconds: float,
     ts: str = "ts",
 ) -> DataFrame:
-    """Quantile at each instant from the rates of cumulative bucket counters.
+    """Quantile at each step from the rates of cumulative bucket counters.
 
     ``bucket_counters`` has one counter per (labels, le); the rates are summed
     over the labels not in ``by`` before the quantile is taken.
     """
-    rates = counter_rate(bucket_counters, range_seconds, [*labels, "le"], ts)
+    rates = counter_rate(bucket_counters, range_seconds, [*labels, "le"], ts, step_seconds=step_seconds)
     summed = rate_by_label(rates, [*by, "le"], ts)
     return histogram_quantile(summed, quantile, [*by, ts], count="rate")
