@@ -135,3 +135,22 @@ def test_seed_prices(spark):
     )
     got = {r.Ticker: r.seed_price for r in lookups.seed_prices(portfolio, bars).collect()}
     assert got == {"AAA": 1.0, "BBB": 5.0, "CCC": 100.0}
+
+
+@pytest.mark.parametrize("left_over", ["commits/commit=1/_temporary", "commits/commit=1-dead/_temporary/0"])
+def test_a_write_that_died_in_its_commit_does_not_stop_the_next(spark, left_over):
+    from pathlib import Path
+
+    path = scratch_path(spark, "v")
+    assert tables.append_version(numbers(spark, 1), path) == 0
+    Path(path.removeprefix("file:"), left_over).mkdir(parents=True)
+    assert tables.append_version(numbers(spark, 2), path) == 1
+    assert read(spark, path) == [1, 2]
+
+
+def test_rows_of_another_type_are_refused(spark):
+    path = scratch_path(spark, "v")
+    tables.append_version(numbers(spark, 1), path)
+    with pytest.raises(ValueError, match="differ from the table in n"):
+        tables.append_version(spark.createDataFrame([("x",)], "n string"), path)
+    assert read(spark, path) == [1]

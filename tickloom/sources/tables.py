@@ -1,14 +1,16 @@
 """Versioned Parquet tables: each write is one new version.
 
 Layout under a table's path: ``data/_version=n`` holds the rows of write ``n``
-and ``commits/commit=n`` one row that describes it, written last. A version
-without its commit row is invisible and is replaced by the next write, so a job
-that dies half-way leaves nothing behind. One writer per table.
+and a folder of its own below ``commits`` one row that describes it, written last
+and under a fresh name each time. A version without a readable commit row is
+invisible and is replaced by the next write, so a job that dies at any point
+leaves nothing behind that stops the next. One writer per table.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -89,6 +91,14 @@ def data_path(path: str, version: int) -> str:
     return f"{path}/data/{VERSION}={version}"
 
 
+def _same_columns(new: T.StructType, old: T.StructType) -> None:
+    """Raise unless both have the same names and types, in any order."""
+    mine, theirs = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (new, old))
+    if mine != theirs:
+        differ = sorted(n for n in mine.keys() | theirs.keys() if mine.get(n) != theirs.get(n))
+        raise ValueError(f"rows to append differ from the table in {', '.join(differ)}")
+
+
 def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int | None) -> int | None:
     spark = df.sparkSession
     number, base, before = 0, 0, 0
@@ -100,12 +110,15 @@ def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int |
         seen = F.max(F.when(F.col("app") == F.lit(app), F.col("batch_id")))
         last = log.agg(
             F.max("version").alias("version"),
-            F.max_by(F.struct("base", "total_rows"), "version").alias("last"),
+            F.max_by(F.struct("base", "total_rows", "schema"), "version").alias("last"),
             seen.alias("batch_id"),
         ).first()
         if batch_id is not None and last["batch_id"] is not None and batch_id <= last["batch_id"]:
             return None
-        number, base, before = last["version"] + 1, last["last"]["base"], last["last"]["total_rows"]
+        if last["version"] is not None:
+            number, base, before = last["version"] + 1, last["last"]["base"], last["last"]["total_rows"]
+            if mode == "append":
+                _same_columns(df.schema, T.StructType.fromJson(json.loads(last["last"]["schema"])))
     if mode == "overwrite":
         base, before = number, 0
     target = data_path(path, number)
@@ -126,7 +139,7 @@ def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int |
     }
     kinds = T.StructType.fromDDL(COMMITS)
     one = spark.range(0, 1, 1, 1).select(*[F.lit(entry[k.name]).cast(k.dataType).alias(k.name) for k in kinds])
-    one.write.mode("errorifexists").parquet(f"{path}/commits/commit={number}")
+    one.write.mode("errorifexists").parquet(f"{path}/commits/commit={number}-{uuid.uuid4().hex[:12]}")
     return number
 
 
