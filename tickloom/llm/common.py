@@ -17,6 +17,8 @@ BLANK_CHARS = "' \\t\\n\\u000B\\u000C\\r'"
 U64 = np.uint64
 #: Rows of a batch that are turned into Python objects at a time.
 SLICE = 256
+#: Bits of the map that keeps rows without a partner out of a shuffle (8 MB).
+FILTER_BITS = 1 << 26
 #: Characters of text that are split into words at a time.
 BATCH_CHARS = 2 << 20
 
@@ -62,6 +64,38 @@ def arrow_map(
     return df.mapInArrow(run, struct)
 
 
+def likely(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` is in the one column of ``ids``, and a few others.
+
+    A map of ``FILTER_BITS`` bits, one per hash value, goes to all tasks, so that rows
+    ahead of an exact join need not be shuffled to find out that they have no partner.
+    Its size is fixed. With more ids than bits it lets more rows through; it never
+    loses one, so the join after it gives the same rows. Null keys are in no ``ids``.
+    """
+    slot = f"pmod(xxhash64(cast({{}} AS BIGINT)), {FILTER_BITS}L)"
+    words = (
+        ids.select(F.expr(slot.format(f"`{ids.columns[0]}`")).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS INT)))").alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(FILTER_BITS // 64, dtype=U64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(U64)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def kept(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in found:
+            slots = batch.column(batch.num_columns - 1).to_numpy().astype(U64)
+            hit = (held[slots >> U64(6)] >> (slots & U64(63))) & U64(1)
+            part = batch.filter(pa.array(hit.astype(bool))).select(range(batch.num_columns - 1))
+            if part.num_rows:
+                yield part
+
+    placed = rows.where(F.col(key).isNotNull()).withColumn("_slot", F.expr(slot.format(f"`{key}`")))
+    return placed.mapInArrow(kept, rows.schema)
+
+
 def to_batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*held, strict=True)
     return pa.RecordBatch.from_arrays(

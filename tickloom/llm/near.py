@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import U64, WordHashes, arrow_map, materialise, mixed, run_hashes
+from tickloom.llm.common import U64, WordHashes, arrow_map, likely, materialise, mixed, run_hashes
 from tickloom.llm.components import components
 
 MINIMA = 128
@@ -173,13 +173,14 @@ def best_of(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= BEST).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """a, b, linked: whether 100 * intersection >= similarity * union of the full sets."""
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
+    """a, b, linked: whether 100 * intersection >= similarity * union of the full sets.
+
+    ``texts`` has (id, text) of every id in ``pairs``, and may have others.
+    """
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = materialise(
-        docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi"), "pair-texts"
-    )
+    rights = likely(texts, "id", pairs.select("b")).withColumnsRenamed({"id": "b", "text": "right"})
+    lefts = likely(texts, "id", pairs.select("a")).withColumnsRenamed({"id": "a", "text": "left"})
 
     def measured(found: Iterator[tuple]) -> Iterable[tuple]:
         hashes, held, size_held = WordHashes(), {}, 0
@@ -199,29 +200,24 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: int) ->
             common = len(np.intersect1d(mine, other, assume_unique=True))
             yield a, b, common > 0 and 100 * common >= similarity * (len(mine) + len(other) - common)
 
-    both = (
-        pairs.join(texts.withColumnsRenamed({"id": "b", "text": "right"}), "b")
-        .join(texts.withColumnsRenamed({"id": "a", "text": "left"}), "a")
-        .select("a", "b", "left", "right")
-    )
+    both = pairs.join(rights, "b").join(lefts, "a").select("a", "b", "left", "right")
     rows = arrow_map(both, measured, "a long, b long, linked boolean")
     return materialise(rows.groupBy("a", "b").agg(F.max("linked").alias("linked")), "confirmed")
 
 
-def fine_signatures(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """node and long signature of the given nodes, from their texts."""
+def fine_signatures(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """node and long signature of the given nodes (and maybe of others), from their texts."""
 
     def signed(found: Iterator[tuple]) -> Iterable[tuple]:
         hashes = WordHashes()
         for node, text in found:
             yield node, *packed(minima(shingle_set(text, hashes, size), FINE_MINIMA)).tolist()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(ids, "node", "left_semi")
-    rows = arrow_map(texts, signed, ", ".join(["node long", *[f"{f} long" for f in FINE]]))
+    rows = arrow_map(likely(texts, "id", ids), signed, ", ".join(["node long", *[f"{f} long" for f in FINE]]))
     return materialise(rows.dropDuplicates(["node"]), "fine-signatures")
 
 
-def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, agree: int) -> DataFrame:
+def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, agree: int) -> DataFrame:
     """a, b of candidates in different parts, from buckets that hold several.
 
     Members of a bucket's largest part are connected already, so only the others
@@ -235,7 +231,7 @@ def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, agr
         .select("bucket", "largest")
     )
     open_ = materialise(members.select("bucket", "node", "part").join(mixed_buckets, "bucket"), "open-buckets")
-    fine = fine_signatures(open_.select("node").distinct(), docs, size)
+    fine = fine_signatures(open_.select("node"), texts, size)
     open_ = materialise(open_.join(nodes.select("node", "keys"), "node").join(fine, "node"), "open-members")
     few, every = open_.where("part != largest").alias("x"), open_.alias("y")
     first = F.expr("get(filter(x.keys, k -> array_contains(y.keys, k)), 0) = x.bucket")
@@ -261,6 +257,9 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
         known.join(equal, "digest").where("doc_id = node").select("node", *SIGNATURE, "keys").distinct(), "nodes"
     )
     members = materialise(bucket_members(nodes), "bucket-members")
+    # The texts that any later step looks at; they are told apart without moving the others.
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = materialise(likely(whole, "id", members.select("node")), "texts")
     # Rows that share an id are one node; their other sets hang on it.
     shared = known.select("doc_id", "digest").distinct().join(equal, "digest").where("doc_id != node")
     links = shared.join(equal.select(F.col("node").alias("doc_id")).distinct(), "doc_id").select(
@@ -272,8 +271,8 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
         if turn < PASSES:
             pairs = best_of(adjacent(placed, turn, least_agreeing(similarity, MINIMA)))
         else:
-            pairs = across(placed, nodes, docs, size, least_agreeing(similarity, FINE_MINIMA))
-        new = confirmed(pairs, docs, size, similarity).where("linked").select("a", "b")
+            pairs = across(placed, nodes, texts, size, least_agreeing(similarity, FINE_MINIMA))
+        new = confirmed(pairs, texts, size, similarity).where("linked").select("a", "b")
         if labels is None or not new.isEmpty():
             links = links.union(new)
             labels = components(links)
