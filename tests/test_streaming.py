@@ -101,6 +101,22 @@ def test_lag(spark):
     assert rows(stats.consumer_lag(samples)) == [{"app": "a", "consumer_lag_max": 6, "consumer_lag_final": 0}]
 
 
+def test_live_lag_adds_up_partitions():
+    class Running:
+        lastProgress = {
+            "sources": [
+                {"latestOffset": {"t": {str(p): 30 for p in range(4)}}, "endOffset": '{"t": {"0": 20, "1": 20, "2": 20, "3": 20}}'},
+                {"latestOffset": None, "endOffset": {"logOffset": 3}},
+            ]
+        }
+
+    assert S.live_lag(Running()) == 40
+    Running.lastProgress = None
+    assert S.live_lag(Running()) is None
+    Running.lastProgress = {"sources": [{"latestOffset": None, "endOffset": {"logOffset": 3}}]}
+    assert S.live_lag(Running()) is None
+
+
 def test_kafka_source_asks_for_its_connector(spark):
     with pytest.raises(Exception, match="[Kk]afka"):
         S.read_tick_topic(spark, "localhost:1", "t")
