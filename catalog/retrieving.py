@@ -75,9 +75,8 @@ def chunking_off(spark, sf_dir):
 
 @query("SELECT doc_id, text FROM documents WHERE length(text) >= 80")
 def min_length(spark, sf_dir):
-    from tickloom.schemas import MIN_CHUNK_CHARS
-
-    return table(spark, sf_dir, "documents").filter(F.length("text") >= MIN_CHUNK_CHARS).select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
+    return docs.filter(X.long_enough(F.col("text"))).select("doc_id", "text")
 
 
 @query(f"WITH {MARKDOWN} SELECT source, raw FROM markdown ORDER BY source")

@@ -107,6 +107,12 @@ def expected_sections(body):
     return [(h, t) for h, t in out if t]
 
 
+def test_heading_after_a_no_break_space(spark):
+    df = spark.createDataFrame([("intro\n##\u00a0Head\nbody",)], "body string")
+    got = df.select(X.sections(F.col("body")).alias("s")).first()["s"]
+    assert [(s["heading"], s["text"]) for s in got] == [("", "intro"), ("Head", "body")]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(LINES, min_size=20, max_size=40))
 def test_sections_against_brute_force(spark, bodies):

@@ -17,7 +17,7 @@ BLANKS = (
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 FRONT_OPEN = "---\n"
 FRONT_CLOSE = "\n---\n"
-HEADING = r"(?md)^##+\s+(.*)$"
+HEADING = f"(?md)^##+[{BLANKS}]+(.*)$"
 BULLET = r"(?md)^- "
 WORD = "[a-z0-9]+"
 NO_SOURCES = "none"
@@ -147,7 +147,11 @@ def chunk_texts(title: Column, body: Column) -> Column:
             lambda header: F.transform(s["pieces"], lambda piece: _titled(header, piece)),
         ),
     )
-    return F.filter(F.flatten(titled), lambda c: F.length(c) >= F.lit(MIN_CHUNK_CHARS))
+    return F.filter(F.flatten(titled), long_enough)
+
+
+def long_enough(chunk: Column) -> Column:
+    return F.length(chunk) >= F.lit(MIN_CHUNK_CHARS)
 
 
 def n_grams(text: Column, n: int = 5) -> Column:
