@@ -73,6 +73,36 @@ def test_main_text_of_whole_pages(spark):
         assert r.text == " ".join(plain.split()) and r.n_chars == len(r.text)
 
 
+LONG = ["All of this is text of the page, " * n for n in (4, 6, 5, 7)]
+BODY = "".join(f"<p>{x}</p>" for x in LONG)
+CARD = "<article><h3>Read this next</h3><p>A short teaser.<a href=x>More</a></article>"
+REFERENCES = "<ol>" + "".join(f"<li><a href=x>Author, title of the cited work, {n}</a></li>" for n in range(3)) + "</ol>"
+MENU = "<ul><li><a href=x>Home</a></li><li><a href=x>All topics</a></li><li><a href=x>Us</a></li></ul>"
+WHOLE = " ".join(" ".join(LONG).split())
+CITED = " ".join(f"Author, title of the cited work, {n}" for n in range(3))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><div id=a>{MENU}</div><div><h1>Title</h1>{BODY}</div>{CARD}</body>", f"Title {WHOLE}"),
+        (f"<body>{CARD}<div><h1>Title</h1>{BODY}</div></body>", f"Title {WHOLE}"),
+        (f"<body><main><h1>Title</h1><div>{BODY}</div>{CARD}</main></body>", f"Title {WHOLE}"),
+        (f"<body>{MENU}<div><h1>Title</h1>{BODY}<h2>Cited</h2>{REFERENCES}</div>{MENU}</body>", f"Title {WHOLE} Cited {CITED}"),
+        (f"<body>{MENU}<h1>Title</h1>{BODY}{REFERENCES}{BODY}<p>End.</p>{MENU}</body>", f"Title {WHOLE} {CITED} {WHOLE} End."),
+        (f"<body>{MENU}<article><h1>Title</h1>{BODY}{REFERENCES}</article>{CARD}</body>", f"Title {WHOLE} {CITED}"),
+        (f"<body><article>{BODY}</article><article>{BODY}</article>{MENU}</body>", f"{WHOLE} {WHOLE}"),
+    ],
+)
+def test_main_text_is_chosen_by_ratios_and_marks_only_bound_it(page, text):
+    assert html.main_text(page) == text
+
+
+def test_main_text_of_pages_without_a_mark(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        assert html.main_text(re.sub("</?article>", "", r.html)) == html.main_text(r.html)
+
+
 def test_token_store_round_trip(spark, odd):
     from tokenizers import Tokenizer
 

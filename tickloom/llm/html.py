@@ -6,9 +6,13 @@ characters of each. Lines inside menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments (told by element, role and
 class or id names) never become content. The remaining lines get a
 text-to-tag ratio, a Gaussian smooths the ratios along the page, and a two-means
-threshold parts content regions from the rest. If the page marks its article,
-the article's lines are the region; otherwise the cluster of high ratios is,
-closed over the gaps between its lines.
+threshold parts content regions from the rest. On every page the cluster of high
+ratios chooses the region. A marked article only closes or clips it: the mark
+that holds most of the cluster's text gives the region its ends, and articles
+beside a cluster that lies mostly outside of them (teaser cards) are left out.
+Without such a mark the cluster is closed over the gaps between its lines and
+grows over the headings and siblings next to it, up to the first link of a menu.
+Lines of links inside the region belong to it.
 
 Defined cases: null or empty html, and pages without any line, give an empty
 text. Unclosed and stray tags are tolerated; an unclosed boilerplate element ends
@@ -32,6 +36,8 @@ from tickloom.llm.common import clear_of
 #: Standard deviation, in lines, of the smoothing window.
 SIGMA = 1.0
 PIECE = 1 << 16
+#: Lines of links at the ends of a region are entries of a menu up to so many words, references beyond.
+MENU_WORDS = 4
 
 # HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +51,8 @@ BLOCKS = frozenset(
     .split()
 )
 PARAGRAPH_ENDERS = BLOCKS - {"br"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("article center details div main section td".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Names of classes and ids of boilerplate, matched on whole parts of a name.
 BOILERPLATE = re.compile(
@@ -58,17 +66,22 @@ BLANKS = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects lines of [text pieces, tags, linked characters, in article]."""
+    """Collects lines of [text pieces, tags, linked characters, heading, container], and the lines that elements span.
+
+    ``spans`` has [first line, line after the last, name, marks an article] of every container and mark.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
-        self.skipping = self.articles = self.links = 0
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # name, boilerplate, article, span or -1, outer container
+        self.skipping = self.articles = self.links = self.headings = 0
+        self.spans: list[list] = []
+        self.container = -1
         self.lines: list[list] = []
         self.line = self.fresh()
 
     def fresh(self) -> list:
-        return [[], 0, 0, False]
+        return [[], 0, 0, False, -1]
 
     def end_line(self) -> None:
         if self.line[0]:
@@ -97,10 +110,17 @@ class Lines(HTMLParser):
             or "display:none" in named.get("style", "").replace(" ", "")
         )
         article = tag in ("article", "main") or named.get("role") == "main" or bool(ARTICLE_NAME.search(names))
-        self.open.append((tag, skips, article))
+        span, outer = -1, self.container
+        if article or tag in CONTAINERS:
+            span = len(self.spans)
+            self.spans.append([len(self.lines), -1, tag, article])
+            if tag in CONTAINERS:
+                self.container = span
+        self.open.append((tag, skips, article, span, outer))
         self.skipping += skips
         self.articles += article
         self.links += tag == "a"
+        self.headings += tag in HEADINGS
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCKS:
@@ -118,10 +138,15 @@ class Lines(HTMLParser):
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][0]
             if name == tag:
-                for gone, skips, article in self.open[at:]:
+                end = len(self.lines) + bool(self.line[0])
+                for gone, skips, article, span, _ in self.open[at:]:
                     self.skipping -= skips
                     self.articles -= article
                     self.links -= gone == "a"
+                    self.headings -= gone in HEADINGS
+                    if span >= 0:
+                        self.spans[span][1] = end
+                self.container = self.open[at][4]
                 del self.open[at:]
                 return
             if not blocks and name in BLOCKS and name != "p":
@@ -132,7 +157,8 @@ class Lines(HTMLParser):
             return
         if self.line[0] or not data.isspace():
             self.line[0].append(data)
-            self.line[3] |= self.articles > 0
+            self.line[3] |= self.headings > 0
+            self.line[4] = self.container
             if self.links:
                 self.line[2] += len(data.strip())
 
@@ -160,6 +186,61 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2 if high > 4 * max(low, 1.0) else low - 1.0
 
 
+def region(
+    core: np.ndarray, texts: list[str], linked: list[bool], headings: list[bool], homes: list[int], spans: list[tuple]
+) -> np.ndarray:
+    """Which lines the main text has, from the cluster of high ratios ``core``.
+
+    ``spans`` are (first, after, name, marks an article) of elements, outer ones before inner ones.
+    """
+    held = np.concatenate([[0], np.cumsum(np.where(core, [len(t) for t in texts], 0))])
+    most = held[-1] / 2
+    marks = [(x, y, tag) for x, y, tag, mark in spans if mark and held[y] - held[x] > most]
+    articles = [m for m in marks if m[2] == "article"]
+    scope = articles[-1] if articles else marks[0] if marks else (0, len(texts), "")
+    cards = np.zeros(len(texts), dtype=bool)
+    if scope[2] != "article":
+        reach = 0
+        for x, y, tag, _ in spans:
+            if tag == "article" and scope[0] <= x and reach < y <= scope[1]:
+                cards[x:y] = True
+                reach = y
+        if np.diff(held)[cards].sum() >= most:  # a page of several articles
+            cards[:] = False
+    kept = np.zeros(len(texts), dtype=bool)
+    if marks:
+        kept[scope[0] : scope[1]] = True
+        return kept & ~cards
+    core = core & ~cards
+    menu = [link and len(t.split()) <= MENU_WORDS for t, link in zip(texts, linked, strict=True)]
+    found = [k for k in np.flatnonzero(core).tolist() if not menu[k]]
+    if not found:
+        return kept
+    low, high = found[0], found[-1] + 1
+    near = {homes[k] for k in found}
+    # The innermost element around the cluster, if the page has lines beside it.
+    around = [(x, y) for x, y, *_ in spans if x <= low and high <= y and y - x < len(texts)]
+    start, end = around[-1] if around else (0, len(texts))
+
+    def joins(k: int) -> bool:
+        if menu[k] or cards[k]:
+            return False
+        return bool(around) or headings[k] or (homes[k] in near and not linked[k])
+
+    while low > start and joins(low - 1):
+        low -= 1
+    while high < end and joins(high):
+        high += 1
+    kept[low:high] = True  # short lines between content lines belong to it
+    reach = 0
+    for x, y, _, mark in spans:
+        if mark and reach < y:
+            reach = y
+            if core[x:y].any():  # what one of several marks holds is taken whole
+                kept[x:y] = True
+    return kept & ~cards
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page: its content lines in order, joined by one space."""
     if not html:
@@ -169,25 +250,25 @@ def main_text(html: str | None) -> str:
         parser.feed(html[at : at + PIECE])
     parser.close()
     parser.end_line()
-    texts, ratios, article, linked = [], [], [], []
-    for pieces, tags, link_chars, inside in parser.lines:
+    texts, ratios, linked, headings, homes, places = [], [], [], [], [], []
+    for place, (pieces, tags, link_chars, heading, home) in enumerate(parser.lines):
         text = BLANKS.sub(" ", "".join(pieces)).strip()
         if text:
             texts.append(text)
             ratios.append(len(text) / max(1, tags))
-            article.append(inside)
             linked.append(2 * link_chars > len(text))
+            headings.append(heading)
+            homes.append(home)
+            places.append(place)
     if not texts:
         return ""
-    marked = np.array(article)
-    if marked.any():
-        kept = marked
-    else:
-        smooth = smoothed(np.array(ratios))
-        kept = smooth > threshold(smooth)
-        found = np.flatnonzero(kept)
-        kept[found[0] : found[-1] + 1] = True  # short lines between content lines belong to it
-        kept &= ~np.array(linked)
+    smooth = smoothed(np.array(ratios))
+    core = smooth > threshold(smooth)
+    ends = [end if end >= 0 else len(parser.lines) for _, end, *_ in parser.spans]
+    first = np.searchsorted(places, [span[0] for span in parser.spans]).tolist()
+    after = np.searchsorted(places, ends).tolist()
+    spans = [(x, y, tag, mark) for x, y, (*_, tag, mark) in zip(first, after, parser.spans, strict=True) if x < y]
+    kept = region(core, texts, linked, headings, homes, spans)
     return " ".join(t for t, keep in zip(texts, kept.tolist(), strict=True) if keep)
 
 
