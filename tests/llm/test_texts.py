@@ -98,6 +98,33 @@ def test_main_text_is_chosen_by_ratios_and_marks_only_bound_it(page, text):
     assert html.main_text(page) == text
 
 
+SIDE = "<div class='right-sidebar'><p>Beside the text.</p></div>"
+THREAD = "<ol class=comment-list>" + f"<li><article class=comment-body><p>{LONG[0]}</p></article></li>" * 9 + "</ol>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='content has-sidebar'><article>{BODY}</article>{SIDE}</div>", WHOLE),
+        (f"<div id=with-sidebar><article>{BODY}</article></div>{SIDE}", WHOLE),
+        (f"<article><header class=entry-header><h1>T</h1></header>{BODY}</article>{SIDE}", f"T {WHOLE}"),
+        (f"<article><div class=header><h1 class=banner>T</h1></div>{BODY}</article>{SIDE}", f"T {WHOLE}"),
+        (f"<article>{BODY}<section class=legal-notice><p>The law.</p></section></article>", f"{WHOLE} The law."),
+        (f"<article>{BODY}<div class=share-price-table><p>Up by one.</p></div></article>", f"{WHOLE} Up by one."),
+        (f"<div class=sidebar><h1>T</h1>{BODY}</div>{SIDE}", f"T {WHOLE}"),
+        (f"<article><h1>T</h1><div class=widget>{BODY}</div>{SIDE}</article>", f"T {WHOLE}"),
+        (f"<div id=overlay><article>{BODY}<div class=ads>Buy</div></article></div>", WHOLE),
+        # What names still keep out.
+        (f"<article><p>Text of it.</p></article><div class=sidebar>{BODY}</div>", "Text of it."),
+        (f"<article><p>Text of it.</p></article>{THREAD}", "Text of it."),
+        (f"<div class='site-header'>S</div>{SIDE}<div class='Main_Nav'>M</div><p>{LONG[3]}</p><p>x <b class=ad-300x250>buy</b> y</p>", f"{LONG[3].strip()} x y"),
+        (f"<article>{BODY}<div class='entry-share social-links'>Tell</div><p class=post-comments>9</p></article>", WHOLE),
+    ],
+)
+def test_main_text_and_names_of_boilerplate(page, text):
+    assert html.main_text(page) == text
+
+
 def test_main_text_of_pages_without_a_mark(spark):
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
         assert html.main_text(re.sub("</?article>", "", r.html)) == html.main_text(r.html)

@@ -4,7 +4,8 @@ The standard library's streaming parser turns a page into lines, one per run of
 text between block tags, with the number of characters, tags and linked
 characters of each. Lines inside menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments (told by element, role and
-class or id names) never become content. The remaining lines get a
+class or id names) never become content, unless only a name says so and the
+element holds most of the page's text. The remaining lines get a
 text-to-tag ratio, a Gaussian smooths the ratios along the page, and a two-means
 threshold parts content regions from the rest. On every page the cluster of high
 ratios chooses the region. A marked article only closes or clips it: the mark
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -54,34 +56,76 @@ PARAGRAPH_ENDERS = BLOCKS - {"br"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article center details div main section td".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: Names of classes and ids of boilerplate, matched on whole parts of a name.
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|respond|cookies?|consent|disqus|footer|"
-    r"header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|popup|promo\w*|"
-    r"related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget|skip|legal|copyright)(?=$|[\s_-])",
-    re.IGNORECASE,
+#: Words of class and id names of boilerplate. A name is one only as a whole: the rest of its words must be PLAIN.
+LAYOUT = frozenset("footer menu modal nav navbar navigation overlay popup sidebar skip toolbar widget".split())
+#: Those that an article has of its own: inside of one they are no boilerplate.
+OWN = frozenset("header masthead banner notice notices legal copyright".split())
+#: Those of text that is not the page's own, however much it is.
+FOREIGN = frozenset(
+    "ad ads breadcrumb breadcrumbs comment comments commentlist respond cookie cookies consent disqus newsletter "
+    "pagination related share sharing social subscribe".split()
 )
+FOREIGN_STEMS = ("advert", "promo", "sponsor")
+PLAIN = frozenset(
+    "archive archives area articles author bar block body bottom box btn button buttons canvas categories closed col "
+    "column container content count date desktop email facebook fixed float floating form global google group icon "
+    "icons info inner instagram item items latest law left link linkedin links list local main media mega message meta "
+    "mobile network next off outer page panel popular posts prev previous primary recent reply right row secondary "
+    "section sense signup site slot sticky stories sub tab tabs tags text thread title toggle tools top twitter unit "
+    "view whatsapp widgets wrap wrapper youtube".split()
+)
+SIZE = re.compile(r"\d+(?:x\d+)?")
+#: Words that may stand before others, and then say what the element belongs to.
+OF_ARTICLE = frozenset("article entry post story".split())
+NAME_PARTS = re.compile(r"[_-]+")
 ARTICLE_NAME = re.compile(r"(?:^|\s)(?:article|post|entry|story)[_-]?(?:body|content|text)(?=$|\s)", re.IGNORECASE)
 BLANKS = re.compile(r"\s+")
 
 
+def is_foreign(word: str) -> bool:
+    return word in FOREIGN or word.startswith(FOREIGN_STEMS)
+
+
+@lru_cache(1 << 12)
+def named_boilerplate(names: str, in_article: bool) -> str:
+    """Whether class or id names say boilerplate: "" (no), "layout" or "foreign"."""
+    kind = ""
+    for name in names.lower().split():
+        words = [w for w in NAME_PARTS.split(name) if w]
+        of_article = len(words) > 1 and words[0] in OF_ARTICLE
+        words = words[of_article:]
+        if not all(w in LAYOUT or w in OWN or w in PLAIN or SIZE.fullmatch(w) or is_foreign(w) for w in words):
+            continue
+        if any(map(is_foreign, words)):
+            return "foreign"
+        if any(w in LAYOUT or (w in OWN and not in_article and not of_article) for w in words):
+            kind = "layout"
+    return kind
+
+
 class Lines(HTMLParser):
-    """Collects lines of [text pieces, tags, linked characters, heading, container], and the lines that elements span.
+    """Collects lines of [text pieces, tags, heading, container], and the lines that elements span.
 
+    A piece is (text, linked, innermost open element with a name of boilerplate, or 0).
     ``spans`` has [first line, line after the last, name, marks an article] of every container and mark.
+    ``named`` has [outer one, kind, in an article, characters, of those in an article, holds a main part
+    or main heading] of every element with a name of boilerplate; the first stands for the page.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, int, int]] = []  # name, boilerplate, article, span or -1, outer container
+        # name, boilerplate, article, span or -1, outer container, outer element with a name of boilerplate
+        self.open: list[tuple[str, bool, bool, int, int, int]] = []
         self.skipping = self.articles = self.links = self.headings = 0
         self.spans: list[list] = []
         self.container = -1
+        self.named: list[list] = [[0, "", False, 0, 0, False]]
+        self.inside = 0
         self.lines: list[list] = []
         self.line = self.fresh()
 
     def fresh(self) -> list:
-        return [[], 0, 0, False, -1]
+        return [[], 0, False, -1]
 
     def end_line(self) -> None:
         if self.line[0]:
@@ -98,25 +142,30 @@ class Lines(HTMLParser):
         self.line[1] += 1
         if tag in VOID:
             return
-        named = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
-        names = f"{named.get('class', '')} {named.get('id', '')}"
+        given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
+        names = f"{given.get('class', '')} {given.get('id', '')}"
         main = tag in ("article", "main", "body", "html")
         skips = (
             (tag in SKIPPED and not (tag == "header" and self.articles))
-            or named.get("role", "").lower() in ROLES
-            or (not main and bool(BOILERPLATE.search(names)))
-            or "hidden" in named
-            or named.get("aria-hidden") == "true"
-            or "display:none" in named.get("style", "").replace(" ", "")
+            or given.get("role", "").lower() in ROLES
+            or "hidden" in given
+            or given.get("aria-hidden") == "true"
+            or "display:none" in given.get("style", "").replace(" ", "")
         )
-        article = tag in ("article", "main") or named.get("role") == "main" or bool(ARTICLE_NAME.search(names))
-        span, outer = -1, self.container
+        article = tag in ("article", "main") or given.get("role") == "main" or bool(ARTICLE_NAME.search(names))
+        span, outer, inside = -1, self.container, self.inside
+        if not self.skipping:
+            kind = "" if main or names == " " or (tag == "h1" and self.articles) else named_boilerplate(names, self.articles > 0)
+            if kind and not skips:
+                self.inside = len(self.named)
+                self.named.append([inside, kind, self.articles > 0, 0, 0, False])
+            self.named[self.inside][5] |= tag in ("h1", "main")
         if article or tag in CONTAINERS:
             span = len(self.spans)
             self.spans.append([len(self.lines), -1, tag, article])
             if tag in CONTAINERS:
                 self.container = span
-        self.open.append((tag, skips, article, span, outer))
+        self.open.append((tag, skips, article, span, outer, inside))
         self.skipping += skips
         self.articles += article
         self.links += tag == "a"
@@ -139,14 +188,14 @@ class Lines(HTMLParser):
             name = self.open[at][0]
             if name == tag:
                 end = len(self.lines) + bool(self.line[0])
-                for gone, skips, article, span, _ in self.open[at:]:
+                for gone, skips, article, span, *_ in self.open[at:]:
                     self.skipping -= skips
                     self.articles -= article
                     self.links -= gone == "a"
                     self.headings -= gone in HEADINGS
                     if span >= 0:
                         self.spans[span][1] = end
-                self.container = self.open[at][4]
+                *_, self.container, self.inside = self.open[at]
                 del self.open[at:]
                 return
             if not blocks and name in BLOCKS and name != "p":
@@ -156,11 +205,30 @@ class Lines(HTMLParser):
         if self.skipping:
             return
         if self.line[0] or not data.isspace():
-            self.line[0].append(data)
-            self.line[3] |= self.headings > 0
-            self.line[4] = self.container
-            if self.links:
-                self.line[2] += len(data.strip())
+            self.line[0].append((data, self.links > 0, self.inside))
+            self.line[2] |= self.headings > 0
+            self.line[3] = self.container
+            if self.inside or not data.isspace():
+                n = len(data.strip())
+                self.named[self.inside][3] += n
+                self.named[self.inside][4] += n * (self.articles > 0)
+
+    def dropped(self) -> list[bool]:
+        """Of every element with a name of boilerplate: whether its text is left out.
+
+        It is not if it holds most of the page's text and also the main heading, or, unless its name is that of
+        foreign text, if it lies in the article or no article lies beside it.
+        """
+        for outer, _, _, n, in_article, marked in self.named[:0:-1]:
+            self.named[outer][3] += n
+            self.named[outer][4] += in_article
+            self.named[outer][5] |= marked
+        _, _, _, total, total_in_article, _ = self.named[0]
+        out = [False]
+        for outer, kind, within, n, in_article, marked in self.named[1:]:
+            fits = marked or (kind == "layout" and (within or in_article == total_in_article))
+            out.append(out[outer] or not (2 * n > total and fits))
+        return out
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
@@ -251,12 +319,14 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.end_line()
     texts, ratios, linked, headings, homes, places = [], [], [], [], [], []
-    for place, (pieces, tags, link_chars, heading, home) in enumerate(parser.lines):
-        text = BLANKS.sub(" ", "".join(pieces)).strip()
+    dropped = parser.dropped()
+    for place, (pieces, tags, heading, home) in enumerate(parser.lines):
+        pieces = [piece for piece in pieces if not dropped[piece[2]]]
+        text = BLANKS.sub(" ", "".join(data for data, *_ in pieces)).strip()
         if text:
             texts.append(text)
             ratios.append(len(text) / max(1, tags))
-            linked.append(2 * link_chars > len(text))
+            linked.append(2 * sum(len(data.strip()) for data, link, _ in pieces if link) > len(text))
             headings.append(heading)
             homes.append(home)
             places.append(place)
