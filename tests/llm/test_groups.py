@@ -65,6 +65,35 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert near.near_duplicates(none, 3, 85).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    words = [f"v{i}" for i in range(3_000)]
+    a, b, c, d = (rng.choices(words, k=200) for _ in range(4))
+    near_a, near_b = [*a[:-1], "x"], [*b[:-1], "y"]
+    rows = [(1, a), (2, near_a), (2, b), (3, near_b), (3, c), (4, d), (4, d), (4, c), (5, []), (5, d), (6, a), (6, near_a)]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.component_id) for r in near.near_duplicates(docs, 3, 85).collect()}
+    assert got == {(i, 1) for i in range(1, 7)} | {(5, 5)}  # an empty text is linked with nothing
+    left = sorted((r.doc_id, r.text) for r in near.one_of_each(docs, 3, 85).collect())
+    assert left == sorted([(1, rows[0][1]), (2, rows[2][1]), (3, rows[4][1]), (4, rows[5][1]), (5, "")])
+
+
+def test_every_text_of_an_id_is_linked(spark):
+    rng = random.Random(4)
+    words = [f"u{i}" for i in range(3_000)]
+    rows = []
+    for i in range(40):
+        one, other = rng.choices(words, k=120), rng.choices(words, k=120)
+        rows += [(i, one), (i, other), (1_000 + i, [*one[:-1], "x"]), (2_000 + i, [*other[:-1], "y"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs, 3, 85).collect()}
+    assert got == {i: i % 1_000 for i, _ in rows}
+    shared = near.groups(docs, 3, 85)
+    assert shared.roots.count() == 160 and shared.roots.select("root").distinct().count() == 80
+    assert sorted(r.doc_id for r in near.one_of_each(docs, 3, 85).collect()) == sorted([*range(40)] * 2)
+
+
 def cut(rows):
     split, seen, out = {i: (t or "").encode().split() for i, t in rows}, {}, {}
     for i in sorted(split):

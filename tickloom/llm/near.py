@@ -20,14 +20,18 @@ them with about 1e-6.
 
 Defined cases: null texts and texts without words have an empty set and are
 linked with nothing. Documents without an id are linked with nothing, have no
-component and are kept. Rows that share an id are one document: they share all
-links. Empty tables give empty results. Other columns are ignored.
+component and are kept. Texts under one id are told apart by their sets, each is
+linked by its own; the component of an id then joins what any of its texts is
+linked with (they share all links). ``one_of_each`` looks at the texts: one that is
+linked with nothing stays, whatever else goes by its id. Empty tables give empty
+results. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -118,8 +122,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 yield doc_id, 0, None, *[None] * WORDS, None
                 continue
             least = minima(shingles)
-            digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-            yield doc_id, len(shingles), digest, *packed(least).tolist(), bucket_keys(least).tolist()
+            yield doc_id, len(shingles), digest_of(shingles), *packed(least).tolist(), bucket_keys(least).tolist()
 
     fields = ["doc_id long", "n_shingles long", "digest binary", *[f"{s} long" for s in SIGNATURE], "keys array<long>"]
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), signed, ", ".join(fields))
@@ -214,6 +217,7 @@ def fine_signatures(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             yield node, *packed(minima(shingle_set(text, hashes, size), FINE_MINIMA)).tolist()
 
     rows = arrow_map(likely(texts, "id", ids), signed, ", ".join(["node long", *[f"{f} long" for f in FINE]]))
+    # The texts of a node have one set, so the rows of a node are equal.
     return materialise(rows.dropDuplicates(["node"]), "fine-signatures")
 
 
@@ -245,27 +249,64 @@ def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, ag
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
+def digest_of(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
-    ``size`` is the words of a shingle, ``similarity`` a percentage of 80 or more.
+
+def digests(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (id, text) with the digest of the text's set, null if that is empty."""
+
+    def signed(found: Iterator[tuple]) -> Iterable[tuple]:
+        hashes = WordHashes()
+        for doc_id, text in found:
+            yield doc_id, text, digest_of(shingle_set(text, hashes, size))
+
+    return arrow_map(rows.select("id", "text"), signed, "id long, text string, digest binary")
+
+
+class Groups(NamedTuple):
+    """What near_duplicates and one_of_each make their answers from.
+
+    ``signed`` has (doc_id, n_shingles, digest) of every row, ``roots`` (digest, id, root) of every set with its
+    smallest id, ``repeated`` (doc_id, keeper) of the ids with several sets, or is None if there are none.
     """
+
+    signed: DataFrame
+    roots: DataFrame
+    repeated: DataFrame | None
+
+
+def groups(docs: DataFrame, size: int, similarity: int) -> Groups:
     signed = materialise(signatures(docs, size), "signatures")
     known = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    equal = materialise(known.groupBy("digest").agg(F.min("doc_id").alias("node")), "equal-sets")
+    spread = known.groupBy("doc_id").agg(F.min("digest").alias("keeper"), F.max("digest").alias("last"))
+    repeated = materialise(spread.where("keeper != last").select("doc_id", "keeper"), "repeated-ids")
+    if repeated.isEmpty():
+        repeated = None
+    # A node is a set, named by its smallest id; the further sets of an id get names of their own.
+    equal = known.groupBy("digest").agg(F.min("doc_id").alias("id"))
+    if repeated is None:
+        equal = equal.withColumn("node", F.col("id"))
+    else:
+        further = F.col("digest") != F.col("keeper")
+        equal = equal.join(repeated.withColumnRenamed("doc_id", "id"), "id", "left").select(
+            "digest", "id", F.when(further, F.xxhash64("id", "digest")).otherwise(F.col("id")).alias("node")
+        )
+    equal = materialise(equal, "equal-sets")
     nodes = materialise(
-        known.join(equal, "digest").where("doc_id = node").select("node", *SIGNATURE, "keys").distinct(), "nodes"
+        known.join(equal, "digest").where("doc_id = id").select("node", *SIGNATURE, "keys").distinct(), "nodes"
     )
     members = materialise(bucket_members(nodes), "bucket-members")
     # The texts that any later step looks at; they are told apart without moving the others.
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = materialise(likely(whole, "id", members.select("node")), "texts")
-    # Rows that share an id are one node; their other sets hang on it.
-    shared = known.select("doc_id", "digest").distinct().join(equal, "digest").where("doc_id != node")
-    links = shared.join(equal.select(F.col("node").alias("doc_id")).distinct(), "doc_id").select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b")
-    )
-    labels = None
+    texts = likely(whole, "id", members.select("node"))
+    if repeated is not None:
+        several = repeated.select(F.col("doc_id").alias("id"))
+        theirs = digests(likely(whole, "id", several).join(several, "id", "left_semi"), size)
+        own = theirs.join(equal, ["id", "digest"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
+        texts = texts.join(several, "id", "left_anti").unionByName(own)
+    texts = materialise(texts, "texts")
+    labels, links = None, None
     for turn in range(PASSES + 1):
         placed = materialise(in_parts(members, labels), "placed")
         if turn < PASSES:
@@ -274,9 +315,32 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
             pairs = across(placed, nodes, texts, size, least_agreeing(similarity, FINE_MINIMA))
         new = confirmed(pairs, texts, size, similarity).where("linked").select("a", "b")
         if labels is None or not new.isEmpty():
-            links = links.union(new)
+            links = new if links is None else links.union(new)
             labels = components(links)
-    roots = equal.join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    roots = equal.join(labels, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
+    return Groups(signed, roots, repeated)
+
+
+def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
+
+    ``size`` is the words of a shingle, ``similarity`` a percentage of 80 or more.
+    """
+    signed, roots, repeated = groups(docs, size, similarity)
+    if repeated is None:
+        roots = roots.select("digest", F.col("root").alias("component_id"))
+    else:
+        # Rows that share an id share all links; a component has the name of its smallest id.
+        known = signed.where("digest IS NOT NULL").select("doc_id", "digest").distinct().join(repeated, "doc_id")
+        held = materialise(known.join(roots, "digest").select("doc_id", "root").distinct(), "roots-of-ids")
+        least = held.groupBy("doc_id").agg(F.min("root").alias("b"))
+        merged = components(held.join(least, "doc_id").select(F.col("root").alias("a"), "b"))
+        merged = merged.select(F.col("node").alias("root"), F.col("root").alias("joined"))
+        roots = materialise(
+            roots.join(merged, "root", "left").select("digest", "id", F.coalesce("joined", "root").alias("root")), "roots"
+        )
+        names = roots.groupBy("root").agg(F.min("id").alias("component_id"))
+        roots = roots.join(names, "root").select("digest", "component_id")
     held = signed.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
     return held.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -285,18 +349,38 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """``docs`` without all but the first document of each group, and one row per id.
+    """``docs`` without all but the first document of each group, and one row per id and set.
 
     The rows that go are told by narrow tables; texts move once, to meet the ids that go.
     """
-    verdicts = materialise(near_duplicates(docs.select("doc_id", "text"), size, similarity), "verdicts")
-    gone = verdicts.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    twice = materialise(
-        verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-        "repeated-ids",
+    signed, roots, _ = groups(docs.select("doc_id", "text"), size, similarity)
+    best = roots.groupBy("root").agg(F.min(F.struct("id", "digest")).alias("best"))
+    firsts = roots.join(best, "root").select("digest", F.col("best.id").alias("_id"), F.col("best.digest").alias("_of"))
+    first = F.col("digest").isNull() | ((F.col("doc_id") == F.col("_id")) & (F.col("digest") == F.col("_of")))
+    verdicts = materialise(
+        signed.where("doc_id IS NOT NULL")
+        .select("doc_id", "digest")
+        .join(firsts, "digest", "left")
+        .select("doc_id", "digest", first.alias("kept")),
+        "verdicts",
     )
+    by_id = verdicts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("any"))
+    by_id = materialise(by_id.where("n > 1 OR NOT any").select(F.col("doc_id").alias("_gone"), "any"), "ids-not-whole")
+    key = docs["doc_id"].cast("long")
+    rest = docs.join(by_id.select("_gone"), key == F.col("_gone"), "left_anti")
+    twice = by_id.where("any").select("_gone")
     if twice.isEmpty():
         return rest
-    single = rest.join(twice, "doc_id", "left_anti")
-    return single.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*rest.columns))
+    # Of rows that share an id, one of each kept set stays: the one whose text has the smallest hash.
+    text_key = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    several = twice.select(F.col("_gone").alias("id"))
+    narrow = likely(docs.select(key.alias("id"), "text"), "id", several).join(several, "id", "left_semi")
+    keyed = digests(narrow, size).select(F.col("id").alias("doc_id"), "digest", text_key.alias("_key"))
+    kept = verdicts.where("kept").distinct().select(F.col("doc_id").alias("_id"), F.col("digest").alias("_of"))
+    chosen = keyed.join(kept, (F.col("doc_id") == F.col("_id")) & F.col("digest").eqNullSafe(F.col("_of"))).groupBy(
+        "_id", "_of"
+    ).agg(F.min("_key").alias("_chosen"))
+    chosen = materialise(chosen.select("_id", "_chosen"), "chosen-texts")
+    stays = (key == F.col("_id")) & (text_key == F.col("_chosen"))
+    single = docs.join(chosen, stays).dropDuplicates(["_id", "_chosen"]).select(*[docs[c] for c in docs.columns])
+    return rest.unionByName(single)
