@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, html, mixing, near, pieces, quality, repeats, tokenstore, toxicity, warc
+from tickloom.llm import ann, html, mixing, near, pieces, quality, repeats, tokenstore, toxicity, warc, whitening
 from tickloom.llm.common import materialise, scratch_path, table, word_count
 from tickloom.llm.paths import vocabulary
 
@@ -165,3 +165,20 @@ def op10_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.on_grid(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    model = whitening.fit(rows.select("vec_id", "x"), k=8)
+    done = whitening.whiten(rows.select(F.col("vec_id").cast("long"), "x"), model)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    return done.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
