@@ -7,9 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, html, mixing, near, pieces, quality, repeats, tokenstore, toxicity, warc, whitening
+from tickloom.llm import (
+    aligned,
+    ann,
+    html,
+    mixing,
+    near,
+    ordered,
+    pieces,
+    quality,
+    repeats,
+    tokenstore,
+    toxicity,
+    warc,
+    whitening,
+)
 from tickloom.llm.common import materialise, scratch_path, table, word_count
-from tickloom.llm.paths import vocabulary
+from tickloom.llm.paths import vocabulary, word_pattern
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,3 +196,29 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(explained, F.col("at")).alias("explained"),
         F.lit(model.identity_error).alias("identity_error"),
     )
+
+
+@query()
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The place in its file tells rows under one id apart, and is the same at every read.
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long"), "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index")
+    )
+    found = ordered.edits(docs, by=["doc_id", "file", "row_index"])
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        ordered.as_text(F.col("components")).alias("fingerprint"),
+        ordered.as_text(F.col("edited_components")).alias("edited_fingerprint"),
+        ordered.likeness(F.col("components"), F.col("edited_components")).alias("near_edited"),
+        ordered.likeness(F.col("components"), F.col("next_components")).alias("near_next"),
+    )
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return aligned.summary(
+        docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), word_pattern()
+    )
