@@ -94,18 +94,6 @@ def read_table(spark, sf_dir):
     return stored.rows.withColumn("table_version", F.lit(stored.version).cast("long"))
 
 
-@query(f"WITH {LATEST_BARS} SELECT {OHLCV}, ingested_at_utc FROM bars UNION ALL SELECT * FROM raw_bars")
-def compact_table(spark, sf_dir):
-    path = two_appends(spark, sf_dir)
-    tables.compact(spark, path, ["Ticker", "Date"])
-    return tables.read_table(spark, path).rows
-
-
-STATUS = f"""WITH {LATEST_BARS}, n AS (SELECT (SELECT count(*) FROM bars) AS kept, (SELECT count(*) FROM raw_bars) AS raw)
-SELECT 'bars' AS name, true AS available, kept + raw AS rows, CAST(1 AS BIGINT) AS version FROM n
-UNION ALL SELECT 'ticks', false, NULL, NULL"""
-
-
 @query(STATUS)
 def table_stats(spark, sf_dir):
     named = {"bars": two_appends(spark, sf_dir), "ticks": scratch_path(spark, "never-written")}

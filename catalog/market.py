@@ -173,7 +173,7 @@ def as_text(spark, sf_dir):
   PARTITION BY "Ticker" ORDER BY "Date", ingested_at_utc) AS rn FROM raw_bars) WHERE rn = 1"""
 )
 def first_bar(spark, sf_dir):
-    return ordering.first_row(raw_bars(spark, sf_dir), ["Ticker"], ["Date", "ingested_at_utc"])
+    return checks.first_bar(raw_bars(spark, sf_dir))
 
 
 @query(
@@ -184,7 +184,7 @@ SELECT * FROM prior WHERE "SMA_20" < previous"""
 )
 def monotonic_violations(spark, sf_dir):
     averaged = tidy(I.sma(bars(spark, sf_dir), "SMA_20", 20).select("Ticker", "Date", "SMA_20"))
-    return checks.monotonic_violations(averaged, ["Ticker"], ["Date"], "SMA_20", split_rows=None)
+    return checks.monotonic_violations(averaged, ["Ticker"], ["Date"], "SMA_20", bounded=True)
 
 
 @query(

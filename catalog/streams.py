@@ -10,6 +10,7 @@ from catalog.registry import query, rounded
 from tickloom.functions import text as X
 from tickloom.functions import times as TM
 from tickloom.operators import ordering, summaries
+from tickloom.schemas import LIMIT_RANGE, within
 from tickloom.session import scratch_path
 from tickloom.sources import tables
 from tickloom.streaming import stats
@@ -40,15 +41,76 @@ def tick_stream(spark, sf_dir):
     return stamped(tables.read_table(spark, path).rows)
 
 
-@query("""SELECT 'rows_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM events
-UNION ALL SELECT 'batches_total', 4.0""")
+#: Messages in four parts by the second they were sent in, streamed one after another.
+QUARTER = F.pmod(F.unix_seconds("timestamp"), F.lit(4))
+
+
+@query(f"""WITH {PARSED}, quarters AS (SELECT *, CAST(floor(epoch(kafka_timestamp)) AS BIGINT) % 4 AS part FROM parsed),
+last AS (SELECT * FROM quarters WHERE part = (SELECT max(part) FROM quarters))
+SELECT 'rows_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM parsed
+UNION ALL SELECT 'batches_total', CAST(count(DISTINCT part) AS DOUBLE) FROM quarters
+UNION ALL SELECT 'last_batch_rows', CAST(count(*) AS DOUBLE) FROM last
+UNION ALL SELECT 'last_batch_mean_event_time',
+  round(avg(epoch_us(CAST(replace(event_time, '+00:00', '') AS TIMESTAMP))) / 1e6, 3) FROM last""")
 def batch_metrics(spark, sf_dir):
-    """The stream's own gauges after its last batch."""
+    """The stream's own gauges after its last batch; the latency gauge as the mean event time it implies."""
     from tickloom.operators import monitor
 
-    _, metrics = run_once(spark, sf_dir)
-    gauges = monitor.run_gauges(monitor.read_metrics(spark, metrics))
-    return gauges.filter(F.col("name").isin("rows_total", "batches_total")).select("name", "value")
+    root = scratch_path(spark, "batches")
+    for part in range(4):
+        S.publish_to_files(wire(spark, sf_dir).filter(QUARTER == part), f"{root}/topic")
+        events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
+        S.append_stream(
+            events, f"{root}/table", "ticks", f"{root}/offsets", f"{root}/metrics", available_now=True
+        ).awaitTermination()
+    gauges = monitor.run_gauges(monitor.read_metrics(spark, f"{root}/metrics")).select("name", "value")
+    ended = tables.commits(spark, f"{root}/table").agg(F.max(F.unix_micros("committed_at")) / 1e6).first()[0]
+    late = F.col("name") == "write_latency_avg_seconds"
+    return gauges.select(
+        F.when(late, F.lit("last_batch_mean_event_time")).otherwise(F.col("name")).alias("name"),
+        F.when(late, F.round(F.lit(ended) - F.col("value"), 3)).otherwise(F.col("value")).alias("value"),
+    )
+
+
+@query("SELECT count(*) AS rows, 4::BIGINT AS batches, true AS latencies_in_order, true AS rate_fits FROM events")
+def run_summary(spark, sf_dir):
+    """The report of a bounded run, with what the clock decides reduced to its rules."""
+    root = scratch_path(spark, "bounded")
+    S.publish_to_files(wire(spark, sf_dir).repartition(4), f"{root}/topic")
+    events = S.expand_event(S.read_tick_files(spark, f"{root}/topic", files_per_batch=1))
+    run = S.run_stream(events, f"{root}/table", "ticks", f"{root}/offsets", None, available_now=True)
+    waits = [run[f"write_latency_{k}_seconds"] for k in ("p50", "max")]
+    fits = abs(run["events_per_second"] * run["duration_seconds"] - run["rows"]) <= 0.01 * run["rows"] + 1
+    return spark.range(1).select(
+        F.lit(run["rows"]).cast("long").alias("rows"),
+        F.lit(run["batches"]).cast("long").alias("batches"),
+        F.lit(waits == sorted(waits) and waits[-1] >= run["write_latency_avg_seconds"]).alias("latencies_in_order"),
+        F.lit(fits).alias("rate_fits"),
+    )
+
+
+@query(f"WITH {PARSED} SELECT ticker, price, size, event_time, {STAMP} FROM parsed")
+def trigger(spark, sf_dir):
+    """A query on a clock instead of one pass: it lands all there is and goes on waiting until stopped."""
+    root = scratch_path(spark, "clock")
+    S.publish_to_files(wire(spark, sf_dir), f"{root}/topic")
+    events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
+    running = S.append_stream(events, f"{root}/table", "ticks", f"{root}/offsets", interval="1 second")
+    try:
+        running.processAllAvailable()
+        if not running.isActive:
+            raise RuntimeError("the query ended by itself")
+    finally:
+        running.stop()
+    return stamped(tables.read_table(spark, f"{root}/table").rows)
+
+
+@query("""SELECT "limit", count(*) AS asked, "limit" BETWEEN 1 AND 1000 AS accepted
+FROM (SELECT event_id % 1200 - 100 AS "limit" FROM events) GROUP BY 1""")
+def bounded_arg(spark, sf_dir):
+    """Which of the limits that requests ask for are let through."""
+    asked = table(spark, sf_dir, "events").groupBy((F.col("event_id") % 1200 - 100).alias("limit"))
+    return asked.agg(F.count(F.lit(1)).alias("asked")).withColumn("accepted", within(F.col("limit"), LIMIT_RANGE))
 
 
 @query(f"WITH {PARSED} SELECT ticker, price, size, event_time, {STAMP} FROM parsed")
@@ -197,33 +259,30 @@ def upper_median(spark, sf_dir):
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """End offsets per ticker, ahead of what landed by the batch's dearer ticks, and the batches."""
+    """The topic's end offset at the time of every message, over two partitions, and the batches."""
     rows = landed_ticks(spark, sf_dir).withColumn("app", F.lit("ticks"))
-    per = rows.groupBy("app", "batch_id", "ticker").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("price") > 50, 1)).alias("waiting")
-    )
-    counted = ordering.count_before(per, ["app", "ticker"], "batch_id", "n")
-    end = F.col("_pos") + F.col("n") + F.col("waiting")
-    ends = counted.select("app", "batch_id", "ticker", end.alias("end_offset"))
-    return ends, per.groupBy("app", "batch_id").agg(F.sum("n").alias("rows"))
+    ends = rows.groupBy("app", F.col("kafka_timestamp").alias("sampled_at")).agg(F.max("event_id").alias("last"))
+    first = F.floor((F.col("last") + 1) / 2)
+    ends = ends.select("app", "sampled_at", F.explode(F.array(first, F.col("last") + 1 - first)).alias("end_offset"))
+    return ends, rows.groupBy("app", "batch_id", "committed_at").agg(F.count(F.lit(1)).alias("rows"))
 
 
-LAG = f"""WITH {LANDED}, per AS (
-  SELECT batch_id, ticker, count(*) AS n, count(*) FILTER (WHERE price > 50) AS waiting FROM landed GROUP BY 1, 2),
-ends AS (SELECT batch_id, sum(n) OVER (PARTITION BY ticker ORDER BY batch_id ROWS UNBOUNDED PRECEDING) + waiting
-  AS end_offset FROM per),
-totals AS (SELECT batch_id, sum(end_offset) AS end_offset FROM ends GROUP BY 1),
-batches AS (SELECT batch_id, sum(sum(n)) OVER (ORDER BY batch_id) AS so_far FROM per GROUP BY 1),
-samples AS (SELECT 'ticks' AS app, batch_id, CAST(greatest(0, end_offset - so_far) AS BIGINT) AS lag
-  FROM totals JOIN batches USING (batch_id))"""
+LAG = f"""WITH {LANDED}, ends AS (
+  SELECT kafka_timestamp AS sampled_at, max(event_id) + 1 AS end_offset FROM ticks GROUP BY 1),
+done AS (SELECT DISTINCT committed_at, sum(n) OVER (ORDER BY committed_at) AS so_far FROM (
+  SELECT committed_at, count(*) AS n FROM landed GROUP BY batch_id, committed_at)),
+samples AS (SELECT 'ticks' AS app, e.sampled_at, CAST(greatest(0, end_offset - coalesce(so_far, 0)) AS BIGINT) AS lag
+  FROM ends e ASOF LEFT JOIN done d ON e.sampled_at >= d.committed_at)"""
 
 
-@query(f"{LAG} SELECT * FROM samples")
+@query(f"{LAG} SELECT app, strftime(sampled_at, '%Y-%m-%d %H:%M:%S.%f') AS sampled_at, lag FROM samples")
 def lag_samples(spark, sf_dir):
-    return stats.lag_samples(*offsets(spark, sf_dir))
+    """Samples fall between batches: each sees the rows of the batches committed before it."""
+    samples = stats.lag_samples(*offsets(spark, sf_dir))
+    return samples.withColumn("sampled_at", F.date_format("sampled_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
-@query(f"{LAG} SELECT app, max(lag) AS consumer_lag_max, arg_max(lag, batch_id) AS consumer_lag_final FROM samples GROUP BY 1")
+@query(f"{LAG} SELECT app, max(lag) AS consumer_lag_max, arg_max(lag, sampled_at) AS consumer_lag_final FROM samples GROUP BY 1")
 def consumer_lag(spark, sf_dir):
     return stats.consumer_lag(stats.lag_samples(*offsets(spark, sf_dir)))
 

@@ -80,8 +80,8 @@ def test_blocks_give_the_same_as_one_window(spark):
         for i in range(n)
     ]
     raw = spark.createDataFrame(data, RAW_BARS)
-    plain = indicators.indicators(raw, dedupe=False)
-    cut = indicators.indicators(raw, dedupe=False, split_rows=10, block_rows=64)
+    plain = indicators.indicators(raw, dedupe=False, bounded=True)
+    cut = indicators.indicators(raw, dedupe=False, block_rows=64)
     assert cut.columns == plain.columns
 
     def tidy(df):
@@ -113,19 +113,19 @@ def test_number_rows_counts_every_row_of_every_key(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 6, 101])
-@pytest.mark.parametrize("split_rows", [1_000_000, 0])
-def test_upper_median(spark, n, split_rows):
+@pytest.mark.parametrize("fold_rows", [4096, 2])
+def test_upper_median(spark, n, fold_rows):
     values = [float((i * 37) % 11) for i in range(n)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = ordering.upper_median(df, "v", split_rows=split_rows).collect()
+    got = ordering.upper_median(df, "v", fold_rows=fold_rows).collect()
     assert [r["upper_median"] for r in got] == [sorted(values)[n // 2]]
 
 
 def test_move_violations(spark):
     data = [("A", 100.0, 1), ("A", 100.3, 2), ("A", 101.0, 3), ("B", 50.0, 1), ("B", 49.8, 2)]
     ticks = spark.createDataFrame(data, "ticker string, price double, event_time int")
-    for split in ({}, {"split_rows": 1, "block_rows": 2}):
-        got = rows(checks.move_violations(ticks, **split))
+    for blocks in ({}, {"block_rows": 2}, {"bounded": True}):
+        got = rows(checks.move_violations(ticks, **blocks))
         assert {(r["ticker"], r["event_time"]) for r in got} == {("A", 3), ("B", 2)}
 
 
@@ -134,3 +134,15 @@ def test_trend(spark):
     df = spark.createDataFrame(data, "Ticker string, Close double, SMA_20 double, SMA_50 double")
     got = {r["Ticker"]: r["trend_setup"] for r in indicators.trend(df).collect()}
     assert got == {"A": "bullish", "B": "bearish", "C": "neutral", "D": "neutral"}
+
+
+def test_upper_median_per_key(spark):
+    """Ties, null keys, negative and far values, nulls, and more rows than one fold takes."""
+    data = [("a", i * i % 7919) for i in range(4000)] + [(None, -i) for i in range(31)] + [("b", 5)] * 50 + [("c", None)]
+    data += [("d", 10**15 * (-1) ** i + i) for i in range(1001)]
+    df = spark.createDataFrame(data, "k string, v long").repartition(5)
+    want = {k: sorted(v for q, v in data if q == k and v is not None) for k in ("a", None, "b", "d")}
+    for fold_rows in (4096, 40):
+        got = {r.k: r.upper_median for r in ordering.upper_median(df, "v", ["k"], fold_rows).collect()}
+        assert got == {k: v[len(v) // 2] for k, v in want.items()}
+    assert ordering.upper_median(df.where("false"), "v").collect() == []

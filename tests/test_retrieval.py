@@ -131,7 +131,7 @@ def brute(corpus_rows, query_rows, k):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_query_bytes": 200, "corpus_block_bytes": 900}])
+@pytest.mark.parametrize("limits", [{}, {"query_bytes": 200, "corpus_bytes": 900}, {"pivots": 3}])
 @pytest.mark.parametrize("as_text", [True, False])
 def test_nearest_against_brute_force(spark, limits, as_text):
     rng = np.random.default_rng(7)
@@ -312,11 +312,36 @@ def test_distance_expression(spark):
     assert math.isclose(df.select(l2_squared(F.col("a"), F.col("b")).alias("d")).first()["d"], 25.0)
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 16])
-def test_nearest_passes_over_broken_vectors_and_keeps_ids(spark, limit):
+def test_nearest_passes_over_broken_vectors_and_keeps_ids(spark):
     nan, inf = float("nan"), float("inf")
     data = [("a", [1.0, 0.0]), ("c\0", [0.0, 1.0]), ("n", [nan, 0.0]), ("i", [inf, 0.0]), ("z", [None, 1.0]), (None, [1.0, 0.0]), ("w", None)]
     held = spark.createDataFrame(data, "id string, embedding array<double>").coalesce(1)
     asked = spark.createDataFrame([(1, [1.0, 0.1]), (None, [0.0, 2.0]), (3, [nan, 1.0])], "query_id long, embedding array<double>")
-    got = sorted((r.query_id or 0, r.rank, r.id) for r in neighbours.nearest(held, asked, 2, max_query_bytes=limit).collect())
+    got = sorted((r.query_id or 0, r.rank, r.id) for r in neighbours.nearest(held, asked, 2).collect())
     assert got == [(0, 1, "c\0"), (0, 2, "a"), (1, 1, "a"), (1, 2, "c\0")]
+
+
+def test_nearest_leaves_out_vectors_of_another_length(spark):
+    data = [(1, [1.0, 2.0, 3.0]), (2, [4.0, 5.0, 6.0]), (3, [4.0, 5.0, 6.0, 7.0, 8.0]), (4, []), (5, [9.0, 9.0, 9.0])]
+    held = spark.createDataFrame(data, "id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "query_id long, embedding array<double>")
+    got = [(r.query_id, r.rank, r.id, r.distance) for r in neighbours.nearest(held, asked, 5).orderBy("rank").collect()]
+    assert got == [(1, 1, 1, 0.0), (1, 2, 2, 27.0), (1, 3, 5, 149.0)]
+
+
+def test_queries_visit_only_cells_that_can_hold_a_neighbour(spark, monkeypatch):
+    """Far clusters: the second visit has nothing left to compare."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 6)) * 1000
+    vectors = (centres[:, None, :] + rng.normal(size=(20, 40, 6))).reshape(-1, 6)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    held = spark.createDataFrame(data, "id long, embedding array<double>")
+    asked = held.where("id % 7 = 0").withColumnRenamed("id", "query_id")
+    tables, write = {}, neighbours.materialise
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name: tables.setdefault(name, write(df, name)))
+    got = {}
+    for r in neighbours.nearest(held, asked, 3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
+    assert got == brute(data, [(i, v) for i, v in data if i % 7 == 0], 3)
+    visited = tables["further"].selectExpr("avg(size(cells)) AS n").first().n
+    assert visited < 0.25 * tables["cells"].select("cell").distinct().count()

@@ -74,47 +74,90 @@ def test_bounded_run(spark):
     S.publish_to_files(messages(spark, [GOOD]), f"{root}/topic")
     events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
     run = S.run_stream(events, f"{root}/t", "app", f"{root}/c", timeout_seconds=8, interval="1 second")
-    assert run["duration_seconds"] >= 1
+    assert run["duration_seconds"] >= 1 and (run["rows"], run["batches"]) == (1, 1)
+    assert run["events_per_second"] == round(1 / run["duration_seconds"], 2)
+    assert run["write_latency_p50_seconds"] == run["write_latency_max_seconds"] == run["write_latency_avg_seconds"] > 0
+    assert "consumer_lag_max" not in run and not spark.streams.active
     assert tables.read_table(spark, f"{root}/t").rows.count() == 1
 
 
+def test_run_without_rows_and_run_that_fails(spark):
+    root = scratch_path(spark, "quiet")
+    S.publish_to_files(messages(spark, [GOOD]).where("false"), f"{root}/topic")
+    events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
+    run = S.run_stream(events, f"{root}/t", "app", f"{root}/c", None, available_now=True)
+    assert (run["rows"], run["batches"], run["events_per_second"]) == (0, 0, 0.0)
+    S.publish_to_files(messages(spark, [GOOD]), f"{root}/topic")
+    broken = S.expand_event(S.read_tick_files(spark, f"{root}/topic")).withColumn("price", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        S.run_stream(broken, f"{root}/u", "app", f"{root}/d", None, available_now=True)
+    assert not spark.streams.active
+
+
+def test_lag_of_a_real_query_and_of_a_recorded_report(spark):
+    root = scratch_path(spark, "progress")
+    S.publish_to_files(messages(spark, [GOOD]), f"{root}/topic")
+    events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
+    running = S.append_stream(events, f"{root}/t", "app", f"{root}/c", interval="1 second")
+    try:
+        running.processAllAvailable()
+        assert running.lastProgress is not None and S.live_lag(running) is None
+    finally:
+        running.stop()
+    parts = {str(p): 30 for p in range(4)}
+    report = {"sources": [{"latestOffset": {"t": parts}, "endOffset": {"t": {str(p): 20 for p in range(3)}}}]}
+    assert S.reported_lag(json.dumps(report)) == 60
+    as_text = {"sources": [{k: json.dumps(v) for k, v in report["sources"][0].items()}, {"latestOffset": "None"}]}
+    assert S.reported_lag(json.dumps(as_text)) == 60
+
+
+def test_lag_gauge_after_each_batch(spark):
+    root = scratch_path(spark, "gauge")
+
+    class Event:
+        class progress:
+            id, batchId, numInputRows = "q", 7, 5
+            json = json.dumps({"sources": [{"latestOffset": {"t": {"0": 9}}, "endOffset": {"t": {"0": 4}}}]})
+
+    reports = S.LagReports(spark, f"{root}/m")
+    reports.onQueryProgress(Event)
+    assert reports.samples == {}
+    reports.query_id = "q"
+    reports.onQueryProgress(Event)
+    assert reports.samples == {7: 5}
+    assert [(r.name, r.value) for r in monitor.run_gauges(monitor.read_metrics(spark, f"{root}/m")).collect()] == [("consumer_lag", 5.0)]
+
+
+def test_facts_come_with_the_write(spark):
+    root = scratch_path(spark, "facts")
+    write = S.batch_writer(f"{root}/t", "run")
+    write(spark.createDataFrame(ONE * 3 + [("B", 1.0, 1, None)], TICK), 0)
+    report = S.batch_reports(spark, f"{root}/t").first()
+    latency = rows(stats.batch_latency(S.landed(spark, f"{root}/t")))[0]
+    assert (report["rows"], report["timed"]) == (4, 3)
+    assert abs(report["latency_avg_seconds"] - latency["latency_avg_seconds"]) < 1e-3
+    assert abs(report["latency_max_seconds"] - latency["latency_max_seconds"]) < 1e-3
+
+
 def test_summary(spark):
     data = [(0, f"2026-01-01T00:00:0{i}+00:00", "2026-01-01T00:00:10Z") for i in range(4)]
     landed = spark.createDataFrame(data, "batch_id long, event_time string, c string").select(
         "batch_id", "event_time", F.col("c").cast("timestamp").alias("committed_at")
     )
-    for split in ({}, {"split_rows": 0}):
-        got = rows(stats.stream_summary(landed, **split))[0]
-        assert got["rows"] == 4 and got["batches"] == 1
-        assert got["write_latency_p50_seconds"] == 9.0 and got["write_latency_max_seconds"] == 10.0
-        assert got["write_latency_avg_seconds"] == 8.5 and got["duration_seconds"] == 10.0
+    got = rows(stats.stream_summary(landed))[0]
+    assert got["rows"] == 4 and got["batches"] == 1
+    assert got["write_latency_p50_seconds"] == 9.0 and got["write_latency_max_seconds"] == 10.0
+    assert got["write_latency_avg_seconds"] == 8.5 and got["duration_seconds"] == 10.0
 
 
 def test_lag(spark):
-    ends = spark.createDataFrame([("a", 0, 0, 5), ("a", 0, 1, 4), ("a", 1, 0, 6), ("a", 1, 1, 4)],
-                                 "app string, batch_id long, part int, end_offset long")
-    batches = spark.createDataFrame([("a", 0, 3), ("a", 1, 9)], "app string, batch_id long, rows long")
+    ends = spark.createDataFrame([("a", 5, 0, 5), ("a", 5, 1, 4), ("a", 11, 0, 6), ("a", 11, 1, 4), ("a", 30, 0, 14), ("b", 11, 0, 3)],
+                                 "app string, sampled_at int, part int, end_offset long")
+    batches = spark.createDataFrame([("a", 10, 3), ("a", 11, 4), ("a", 20, 9)], "app string, committed_at int, rows long")
     samples = stats.lag_samples(ends, batches)
-    assert sorted((r.batch_id, r.lag) for r in samples.collect()) == [(0, 6), (1, 0)]
-    laid_out = stats.lag_samples(ends, batches, split_rows=1)
-    assert sorted((r.batch_id, r.lag) for r in laid_out.collect()) == [(0, 6), (1, 0)]
-    assert rows(stats.consumer_lag(samples)) == [{"app": "a", "consumer_lag_max": 6, "consumer_lag_final": 0}]
-
-
-def test_live_lag_adds_up_partitions():
-    class Running:
-        lastProgress = {
-            "sources": [
-                {"latestOffset": {"t": {str(p): 30 for p in range(4)}}, "endOffset": '{"t": {"0": 20, "1": 20, "2": 20, "3": 20}}'},
-                {"latestOffset": None, "endOffset": {"logOffset": 3}},
-            ]
-        }
-
-    assert S.live_lag(Running()) == 40
-    Running.lastProgress = None
-    assert S.live_lag(Running()) is None
-    Running.lastProgress = {"sources": [{"latestOffset": None, "endOffset": {"logOffset": 3}}]}
-    assert S.live_lag(Running()) is None
+    assert sorted((r.app, r.sampled_at, r.lag) for r in samples.collect()) == [("a", 5, 9), ("a", 11, 3), ("a", 30, 0), ("b", 11, 3)]
+    assert sorted(map(repr, rows(stats.consumer_lag(samples)))) == sorted(map(repr, [
+        {"app": "a", "consumer_lag_max": 9, "consumer_lag_final": 0}, {"app": "b", "consumer_lag_max": 3, "consumer_lag_final": 3}]))
 
 
 def test_kafka_source_asks_for_its_connector(spark):

@@ -52,17 +52,6 @@ def test_replayed_batch_adds_nothing_and_a_new_app_does(spark):
     assert read(spark, path) == [1, 2, 3]
 
 
-def test_compact_keeps_rows_and_replay_state(spark):
-    path = scratch_path(spark, "compact")
-    for i in range(4):
-        tables.append_version(numbers(spark, i), path, "a", i)
-    assert tables.compact(spark, path, ["n"]) == 4
-    assert read(spark, path) == [0, 1, 2, 3]
-    assert tables.append_version(numbers(spark, 3), path, "a", 3) is None
-    plan = tables.read_table(spark, path).rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "_version" in plan
-
-
 def test_new_rows_needs_a_baseline(spark):
     path = scratch_path(spark, "fresh")
     baseline = tables.append_version(numbers(spark, 1), path)

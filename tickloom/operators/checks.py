@@ -11,11 +11,11 @@ from tickloom.operators import ordering
 from tickloom.schemas import MAX_TICK_MOVE
 
 
-def _with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **split: int | None):
+def _with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **blocks: int | bool):
     def compute(rows: DataFrame, window: WindowSpec) -> DataFrame:
         return rows.withColumn("previous", F.lag(value).over(window))
 
-    return ordering.over_history(df, keys, order, 1, compute, **split)
+    return ordering.over_history(df, keys, order, 1, compute, **blocks)
 
 
 def first_bar(bars: DataFrame) -> DataFrame:
@@ -23,10 +23,10 @@ def first_bar(bars: DataFrame) -> DataFrame:
 
 
 def monotonic_violations(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **split: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, **blocks: int | bool
 ) -> DataFrame:
     """Rows whose value is below the one before it in their group."""
-    lagged = _with_previous(df, keys, order, value, **split)
+    lagged = _with_previous(df, keys, order, value, **blocks)
     return lagged.filter(F.col(value) < F.col("previous"))
 
 
@@ -35,9 +35,9 @@ def move_violations(
     keys: Sequence[str] = ("ticker",),
     order: Sequence[str] = ("event_time",),
     max_move: float = MAX_TICK_MOVE,
-    **split: int,
+    **blocks: int | bool,
 ) -> DataFrame:
     """Ticks that moved further from the prior price than ``max_move`` of it."""
-    lagged = _with_previous(ticks, keys, order, "price", **split)
+    lagged = _with_previous(ticks, keys, order, "price", **blocks)
     gap = F.abs(F.col("price") - F.col("previous"))
     return lagged.filter(gap > F.col("previous") * F.lit(max_move) + F.lit(1e-9))

@@ -46,18 +46,18 @@ def _all_indicators(df: DataFrame, window: WindowSpec) -> DataFrame:
     )
 
 
-def indicators(bars: DataFrame, dedupe: bool = True, **split: int | None) -> DataFrame:
+def indicators(bars: DataFrame, dedupe: bool = True, **blocks: int) -> DataFrame:
     """The four indicator columns beside every bar.
 
     Frames are partial: they start at a ticker's first bar. With ``dedupe`` a
     ticker has at most one bar per calendar day, which bounds its window; without
-    it, repeated days stay and big tickers are cut into blocks.
+    it, repeated days stay and tickers are cut into blocks.
     """
     if dedupe:
         unique = latest_bars(bars)
         return _all_indicators(unique, Window.partitionBy("Ticker").orderBy("Date"))
     order = ["Date", "ingested_at_utc", "Close"]
-    return ordering.over_history(bars, ["Ticker"], order, LONG_ROWS - 1, _all_indicators, **split)
+    return ordering.over_history(bars, ["Ticker"], order, LONG_ROWS - 1, _all_indicators, **blocks)
 
 
 def day_window() -> WindowSpec:

@@ -1,165 +1,237 @@
-"""Exact nearest neighbours by squared Euclidean distance.
-
-Every task keeps only the ``k`` best rows per query of the data it sees, so no
-pair table is ever built. Queries that fit in memory (measured first) are sent
-to all tasks and the corpus is read in place; more queries than that are cut
-into blocks that meet the corpus blocks in a grid.
+"""Exact nearest neighbours by squared Euclidean distance, through cells around pivots.
+
+A bounded number of corpus vectors serve as pivots; every corpus vector belongs to
+the cell of its nearest one. A query first visits the cells nearest to it that
+hold ``k`` vectors; the k-th distance found there bounds what can still matter. By
+the triangle inequality a cell whose vectors lie between radius ``least`` and
+``most`` of its pivot holds nothing nearer than the pivot's distance less ``most``,
+or ``least`` less that distance; the query then visits just the cells that may hold
+something as near as the bound. Cells and their visitors are cut into blocks of
+bounded size, so a crowded cell is many tasks. Every block keeps ``k`` rows per
+query; no pair table is built.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators import ordering
+from tickloom.session import materialise
 
-QUERY_BYTES = 64 * 1024 * 1024
-CORPUS_BLOCK_BYTES = 128 * 1024 * 1024
+#: Most pivots; with their vectors (dimension x 8 bytes each) they go to all tasks.
+MOST_PIVOTS = 4096
+#: Bytes of query vectors and of corpus vectors that meet in a task.
+QUERY_BYTES = 32 * 1024 * 1024
+CORPUS_BYTES = 128 * 1024 * 1024
 
 
-def _best_per_query(k: int):
-    """A function that merges the ``k`` nearest rows of one block into what was held before.
+def _matrix(column, dimension: int):
+    """An Arrow column of vectors as the rows of a matrix."""
+    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, dimension)
 
-    It is built here, with its imports inside, so that it travels to the tasks
-    whole.
-    """
 
-    def merge(held, queries, ids, vectors):
-        import numpy as np
+def _distances(a, b):
+    """Euclidean distances of all rows of ``a`` to all rows of ``b``, and a bound on their rounding errors."""
+    import numpy as np
 
-        if len(ids) == 0:
-            return held
-        norms = (vectors * vectors).sum(axis=1)
-        sizes = (queries * queries).sum(axis=1)
-        slack = 1e-9 * (norms.max() + sizes) + 1e-12
-        step = max(1, 4_000_000 // len(ids))
-        for start in range(0, len(queries), step):
-            part = queries[start : start + step]
-            rough = norms[:, None] - 2.0 * (vectors @ part.T) + sizes[None, start : start + step]
-            limit = min(k, len(ids))
-            cut = np.partition(rough, limit - 1, axis=0)[limit - 1] + slack[start : start + step]
-            for j in range(len(part)):
-                near = np.flatnonzero(rough[:, j] <= cut[j])
-                gaps = vectors[near] - part[j]
-                distances, names = (gaps * gaps).sum(axis=1), ids[near]
-                if held[start + j] is not None:
-                    distances = np.concatenate([held[start + j][0], distances])
-                    names = np.concatenate([held[start + j][1], names])
-                first = np.lexsort((np.unique(names, return_inverse=True)[1], distances))[:k]
-                held[start + j] = (distances[first], names[first])
-        return held
-
-    return merge
-
-
-def _readers():
-    """Arrow columns to arrays, and held neighbours to an Arrow batch."""
-
-    def matrix(column):
-        import numpy as np
+    sizes, others = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    squares = sizes[:, None] - 2.0 * (a @ b.T) + others[None, :]
+    scale = np.sqrt(sizes) + np.sqrt(others.max(initial=0.0))
+    return np.sqrt(np.maximum(squares, 0.0)), 1e-6 * scale
 
-        column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
-        return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
-    def names(column):
-        import numpy as np
-
-        held = np.empty(len(column), dtype=object)
-        held[:] = column.to_pylist()
-        return held
+def _best(queries, vectors, order, k: int):
+    """(query, vector, squared distance) of the ``k`` nearest vectors of each query; ties by ``order``.
 
-    def batch(held, query_ids, schema):
-        import numpy as np
+    Rough distances of a stretch of queries pick candidates for all of them at once;
+    just these get exact distances.
+    """
+    import numpy as np
+
+    found = []
+    norms, sizes = (vectors * vectors).sum(axis=1), (queries * queries).sum(axis=1)
+    slack = 1e-9 * (norms.max(initial=0.0) + sizes) + 1e-12
+    limit = min(k, len(vectors))
+    step = max(1, 4_000_000 // max(1, len(vectors)))
+    for start in range(0, len(queries) if limit else 0, step):
+        part = queries[start : start + step]
+        rough = sizes[start : start + step, None] - 2.0 * (part @ vectors.T) + norms[None, :]
+        cut = np.partition(rough, limit - 1, axis=1)[:, limit - 1] + slack[start : start + step]
+        asked, near = np.nonzero(rough <= cut[:, None])
+        distances = np.empty(len(asked))
+        for at in range(0, len(asked), 65_536):
+            gaps = vectors[near[at : at + 65_536]] - part[asked[at : at + 65_536]]
+            distances[at : at + 65_536] = (gaps * gaps).sum(axis=1)
+        by = np.lexsort((order[near], distances, asked))
+        asked, near, distances = asked[by], near[by], distances[by]
+        first = np.searchsorted(asked, asked, side="left")
+        kept = np.arange(len(asked)) - first < k
+        found.append((asked[kept] + start, near[kept], distances[kept]))
+    if not found:
+        return tuple(np.empty(0, dtype=kind) for kind in (np.int64, np.int64, np.float64))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _in_range(vectors: DataFrame, dimension: int) -> DataFrame:
+    return vectors.filter(F.size("embedding") == dimension)
+
+
+def _with(df: DataFrame, fields: str, make) -> DataFrame:
+    """``df`` with the columns that ``make(batch)`` gives per Arrow batch, named by ``fields``."""
+    added = T.StructType.fromDDL(fields)
+    schema = T.StructType([*df.schema.fields, *added.fields])
+
+    def run(batches):
         import pyarrow as pa
 
-        rows = [(i, pair) for i, pair in enumerate(held) if pair is not None]
-        if not rows:
-            return pa.Table.from_pydict({n: [] for n in schema.names}, schema=schema)
-        owner = np.repeat([i for i, _ in rows], [len(pair[0]) for _, pair in rows])
-        columns = [
-            query_ids[owner],
-            np.concatenate([pair[1] for _, pair in rows]),
-            np.concatenate([pair[0] for _, pair in rows]),
-        ]
-        arrays = [pa.array(list(c) if c.dtype == object else c, type=f.type) for c, f in zip(columns, schema)]
-        return pa.Table.from_arrays(arrays, schema=schema)
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _shares(counts: dict[int, int], cells: int, rows: int) -> Column:
+    """Per cell, into how many blocks of ``rows`` its rows are dealt; no blocks where it has none."""
+    return F.array(*(F.lit(math.ceil(counts.get(c, 0) / rows)) for c in range(cells)))
 
-    return matrix, names, batch
+
+def _counts(df: DataFrame) -> dict[int, int]:
+    return {r["cell"]: r["n"] for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def nearest(
     corpus: DataFrame,
     queries: DataFrame,
     k: int,
-    max_query_bytes: int = QUERY_BYTES,
-    corpus_block_bytes: int = CORPUS_BLOCK_BYTES,
+    query_bytes: int = QUERY_BYTES,
+    corpus_bytes: int = CORPUS_BYTES,
+    pivots: int = MOST_PIVOTS,
 ) -> DataFrame:
     """(query_id, rank, id, distance): the ``k`` nearest corpus rows of each query, ties by id.
 
     ``corpus`` has (id, embedding) with unique ids, ``queries`` (query_id, embedding).
     Vectors that are null or hold null or non-finite elements, and corpus rows without
-    an id, take no part; a query without an id is answered under the null id.
+    an id, take no part, nor do vectors, of either side, of another length than most of
+    the corpus has; a query without an id is answered under the null id. The number of
+    pivots is the square root of the corpus rows, ``pivots`` at most.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql import types as T
-
     vectors = F.col("embedding").cast("array<double>").alias("embedding")
     finite = F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     )
     corpus = corpus.select("id", vectors).filter(F.col("id").isNotNull() & finite)
     queries = queries.select("query_id", vectors).filter(finite)
-    found = T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField("id", corpus.schema["id"].dataType),
-            T.StructField("distance", T.DoubleType()),
-        ]
-    )
-    out = to_arrow_schema(found)
-    merge, (matrix, names, batch) = _best_per_query(k), _readers()
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    row_bytes = 8 * (size["dim"] or 1)
-
-    if size["n"] * row_bytes <= max_query_bytes:
-        held_queries = queries.toArrow()
-        spark = corpus.sparkSession
-        shared = spark.sparkContext.broadcast(
-            (names(held_queries.column("query_id")), matrix(held_queries.column("embedding")))
+    lengths = corpus.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    most = lengths.filter("size > 0").orderBy(F.desc("n"), F.desc("size")).first()
+    if most is None:
+        return queries.select(
+            "query_id", F.lit(1).alias("rank"), F.lit(None).cast(corpus.schema["id"].dataType).alias("id"),
+            F.lit(0.0).alias("distance"),
+        ).filter("false")
+    dimension = most["size"]
+    cells = max(1, min(pivots, math.isqrt(most["n"])))
+    corpus, queries = _in_range(corpus, dimension), _in_range(queries, dimension)
+    sample = corpus.orderBy(F.xxhash64("id"), "id").limit(cells).select("embedding").toArrow()
+    chosen = _matrix(sample.column("embedding"), dimension)
+    cells = len(chosen)
+    shared = corpus.sparkSession.sparkContext.broadcast(chosen)
+
+    def to_cell(batch):
+        import numpy as np
+        import pyarrow as pa
+
+        away, _ = _distances(_matrix(batch.column("embedding"), dimension), shared.value)
+        cell = away.argmin(axis=1)
+        return pa.array(cell.astype(np.int32)), pa.array(away[np.arange(len(cell)), cell])
+
+    placed = materialise(_with(corpus, "cell int, away double", to_cell), "cells")
+    sizes = placed.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("away").alias("least"), F.max("away").alias("most")
+    ).collect()
+    n, least, furthest = [0] * cells, [0.0] * cells, [0.0] * cells
+    for row in sizes:
+        n[row["cell"]], least[row["cell"]], furthest[row["cell"]] = row["n"], row["least"], row["most"]
+
+    def home(batch):
+        """The nearest cells that hold ``k`` rows together."""
+        import numpy as np
+        import pyarrow as pa
+
+        away, _ = _distances(_matrix(batch.column("embedding"), dimension), shared.value)
+        by = np.argsort(np.where(np.array(n) > 0, away, np.inf), axis=1, kind="stable")
+        before = np.cumsum(np.array(n)[by], axis=1) - np.array(n)[by]
+        needed = (before < k) & (np.array(n)[by] > 0)
+        return (pa.array([row[take].tolist() for row, take in zip(by, needed, strict=True)], pa.list_(pa.int32())),)
+
+    def rest(batch):
+        """The other cells that may hold a row as near as the k-th of those found."""
+        import numpy as np
+        import pyarrow as pa
+
+        away, slack = _distances(_matrix(batch.column("embedding"), dimension), shared.value)
+        bound = np.sqrt(batch.column("reach").to_numpy(zero_copy_only=False)) + slack
+        nearest_there = np.maximum(away - np.array(furthest), np.array(least) - away)
+        open_ = (nearest_there <= bound[:, None] + slack[:, None]) & (np.array(n) > 0)
+        for row, visited in zip(open_, batch.column("cells").to_pylist(), strict=True):
+            row[visited] = False
+        return (pa.array([np.flatnonzero(row).tolist() for row in open_], pa.list_(pa.int32())),)
+
+    numbered = queries.withColumn("_q", F.monotonically_increasing_id())
+    asked = materialise(_with(numbered, "cells array<int>", home), "asked")
+    row_bytes = 8 * dimension
+    blocks = _shares(dict(enumerate(n)), cells, max(1, corpus_bytes // row_bytes))
+    id_type = corpus.schema["id"].dataType
+
+    def visit(visitors: DataFrame, name: str) -> DataFrame:
+        """(_q, id, distance): the ``k`` best rows of every block that a query visits in ``cells``."""
+        at_cell = visitors.select("_q", F.explode("cells").alias("cell"))
+        turns = _shares(_counts(at_cell), cells, max(1, query_bytes // row_bytes))
+        left = (
+            visitors.select("_q", "embedding", F.explode("cells").alias("cell"))
+            .withColumn("turn", F.pmod(F.xxhash64("_q"), F.get(turns, F.col("cell"))).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)))
+        )
+        visits = F.get(turns, F.col("cell"))
+        right = (
+            placed.filter(visits > 0)
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.get(blocks, F.col("cell"))).cast("int"))
+            .withColumn("turn", F.explode(F.sequence(F.lit(0), visits - 1)))
+            .drop("away")
         )
 
-        def scan(batches):
-            query_ids, wanted = shared.value
-            held = [None] * len(query_ids)
-            for part in batches:
-                held = merge(held, wanted, names(part.column(0)), matrix(part.column(1)))
-            yield from batch(held, query_ids, out).to_batches()
-
-        candidates = corpus.mapInArrow(scan, found)
-    else:
-        query_blocks = max(1, math.ceil(size["n"] * row_bytes / max(max_query_bytes, row_bytes)))
-        corpus_blocks = max(1, math.ceil(corpus.count() * row_bytes / max(corpus_block_bytes, row_bytes)))
-
-        def meet(left, right):
-            query_ids = names(left.column("query_id"))
-            held = [None] * len(query_ids)
-            if len(query_ids) and right.num_rows:
-                found_ids = names(right.column("id"))
-                held = merge(held, matrix(left.column("embedding")), found_ids, matrix(right.column("embedding")))
-            return batch(held, query_ids, out)
-
-        def every(blocks: int):
-            return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-        left = queries.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-        right = corpus.withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(corpus_blocks)).cast("int"))
-        left = left.withColumn("_c", every(corpus_blocks))
-        right = right.withColumn("_q", every(query_blocks))
-        candidates = left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(meet, found)
+        def meet(one, other):
+            import numpy as np
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
+            ids = other.column("id").combine_chunks()
+            order = np.empty(len(ids), dtype=np.int64)
+            order[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+            q, near, distances = _best(
+                _matrix(one.column("embedding"), dimension), _matrix(other.column("embedding"), dimension), order, k
+            )
+            return pa.table(
+                {"_q": one.column("_q").combine_chunks().take(pa.array(q)), "id": ids.take(pa.array(near)),
+                 "distance": pa.array(distances)}
+            )
+
+        keys = ["cell", "block", "turn"]
+        schema = T.StructType([
+            T.StructField("_q", T.LongType()), T.StructField("id", id_type), T.StructField("distance", T.DoubleType())
+        ])
+        return materialise(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), name)
 
     order = [F.col("distance"), F.col("id")]
-    ranked = ordering.top_n(candidates, ["query_id"], order, k, "rank")
-    return ranked.select("query_id", "rank", "id", "distance")
+    first = visit(asked, "near")
+    reached = ordering.top_n(first, ["_q"], order, k, "rank").groupBy("_q").agg(F.max("distance").alias("reach"))
+    going_on = _with(asked.join(reached, "_q"), "others array<int>", rest)
+    further = materialise(going_on.drop("cells", "reach").withColumnRenamed("others", "cells"), "further")
+    candidates = first.unionByName(visit(further, "beyond"))
+    ranked = ordering.top_n(candidates, ["_q"], order, k, "rank")
+    return ranked.join(asked.select("_q", "query_id"), "_q").select("query_id", "rank", "id", "distance")

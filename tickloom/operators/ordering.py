@@ -5,15 +5,15 @@ helpers here keep the exact result without that:
 
 * ``latest_n`` / ``first_n`` rank inside salted sub-groups first, so only N rows
   per sub-group meet in the final rank;
-* ``over_history`` runs a plain window when every key is small enough (checked)
-  and otherwise cuts each key into blocks of rows, each block carrying the few
+* ``over_history`` cuts each key into blocks of rows, each block carrying the few
   rows before it that a bounded frame can see;
-* ``upper_median`` pre-counts equal values and locates the middle by position.
+* ``upper_median`` narrows a range around the middle by counting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from tickloom.session import materialise
 
 SALTS = 256
-SPLIT_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
+#: Steps of the quantile grid and accuracy of the sketch behind it.
+GRID = 512
+SKETCH = 20_000
+FOLD_ROWS = 4096
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -75,12 +78,6 @@ def newest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _one_per_key(df, keys, [F.col(c).desc() for c in _all_columns(df, keys, order)])
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest key; reads the key columns only."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
-
-
 def join_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; the right side's key columns are dropped."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -130,18 +127,17 @@ def over_history(
     order: Sequence[str],
     lookback: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
-    split_rows: int | None = SPLIT_ROWS,
+    bounded: bool = False,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` whose frames reach at most ``lookback`` rows back.
 
-    The window is per key. When some key has more than ``split_rows`` rows, each
-    key is cut into blocks of ``block_rows``; the last ``lookback`` rows of a
-    block are also sent to the next one, and dropped after ``compute``. With
-    ``split_rows=None`` the caller vouches that keys are bounded (one row per
-    ticker and day, say) and the sizes are not measured.
+    Each key is cut into blocks of ``block_rows`` by exact position; the last
+    ``lookback`` rows of a block are also sent to the next one, and dropped after
+    ``compute``. With ``bounded`` the caller vouches that a key has few rows by
+    its nature (one per ticker and day, say), and a window per key serves.
     """
-    if split_rows is None or largest_group(df, keys) <= split_rows:
+    if bounded:
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
     block_rows = max(block_rows, lookback + 1)
     numbered = number_rows(df, keys, order)
@@ -159,39 +155,72 @@ def over_history(
     return done.drop("_pos", "_block", "_carried")
 
 
-def count_before(
-    df: DataFrame, keys: Sequence[str], order: str, weight: str, split_rows: int = SPLIT_ROWS
-) -> DataFrame:
-    """Add ``_pos``: the sum of ``weight`` over the earlier rows of the key.
-
-    One running sum per key while keys have at most ``split_rows`` rows, laid
-    over range partitions beyond that.
-    """
-    if largest_group(df, keys) > split_rows:
-        return number_rows(df, keys, [order], weight=weight)
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_pos", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+def count_before(df: DataFrame, keys: Sequence[str], order: str, weight: str) -> DataFrame:
+    """Add ``_pos``: the sum of ``weight`` over the earlier rows of the key, by range partitions."""
+    return number_rows(df, keys, [order], weight=weight)
 
 
-def upper_median(
-    df: DataFrame, value: str, keys: Sequence[str] = (), split_rows: int = SPLIT_ROWS
-) -> DataFrame:
+def upper_median(df: DataFrame, value: str, keys: Sequence[str] = (), fold_rows: int = FOLD_ROWS) -> DataFrame:
     """The value at index n // 2 of the sorted values, per key (or overall), as ``upper_median``.
 
-    Equal values are counted first; the running count then finds the middle.
+    Selection by narrowing ranges: a sketch of quantiles per key names two values that
+    surely enclose the middle. A pass counts the rows below, at and between them; the
+    middle is one of the two, or strictly between, where at most a few grid steps of the
+    rows are left, which the same pass sketched again. At ``fold_rows`` rows the rest is
+    counted by value. Hash aggregates throughout; no key is sorted or brought together.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
-    if not keys:
-        counted = counted.withColumn("_all", F.lit(1))
-    by = list(keys) or ["_all"]
-    placed = count_before(counted, by, "_value", "_count", split_rows)
-    totals = counted.groupBy(*by).agg(F.sum("_count").alias("_total"))
-    middle = F.floor(F.col("_total") / 2)
-    hit = join_by_key(placed, totals, by).filter(
-        (F.col("_pos") <= middle) & (middle < F.col("_pos") + F.col("_count"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    shares = F.array(*(F.lit(i / GRID) for i in range(GRID + 1)))
+
+    def grid(values: Column) -> Column:
+        return F.percentile_approx(values, shares, SKETCH).alias("_grid")
+
+    def narrowed(found: DataFrame, place: Column) -> DataFrame:
+        """The grid values two steps around the middle; the sketch errs by a small part of a step."""
+        at = place / F.col("_inside") * GRID
+        low = F.greatest(F.floor(at).cast("int") - 2, F.lit(0))
+        high = F.least(F.ceil(at).cast("int") + 2, F.lit(GRID))
+        return found.select(*keys, "_rank", F.get("_grid", low).alias("_low"), F.get("_grid", high).alias("_high"))
+
+    def beside(state: DataFrame) -> DataFrame:
+        if keys:
+            return join_by_key(rows, state, keys)
+        only = state.first()
+        cells = {f.name: F.lit(only[f.name] if only else None).cast(f.dataType) for f in state.schema}
+        return rows.withColumns(cells).filter(F.lit(only is not None))
+
+    v, low, high, rank = (F.col(c) for c in ("_value", "_low", "_high", "_rank"))
+    between = (v > low) & (v < high)
+    start = F.col("_below") + F.col("_at_low")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_inside"), grid(v)).filter("_inside > 0")
+    state = narrowed(sizes.withColumn("_rank", F.floor(F.col("_inside") / 2)), rank)
+    settled = []
+    while True:
+        counted = beside(materialise(state, "middle")).groupBy(*keys, "_rank", "_low", "_high").agg(
+            F.count_if(v < low).alias("_below"),
+            F.count_if(v == low).alias("_at_low"),
+            F.count_if(between).alias("_inside"),
+            grid(F.when(between, v)),
+        )
+        counted = materialise(counted, "counted")
+        ends = F.when(rank < start, low).when(rank >= start + F.col("_inside"), high)
+        settled.append(counted.select(*keys, ends.alias("upper_median")).filter("upper_median IS NOT NULL"))
+        left = counted.filter(ends.isNull())
+        if (left.agg(F.max("_inside").alias("n")).first()["n"] or 0) <= fold_rows:
+            break
+        state = narrowed(left, rank - start)
+    place = left.select(*keys, (rank - start).alias("_rank"), "_low", "_high")
+    values = beside(place).filter(between).groupBy(*keys, "_rank", "_value").agg(F.count(F.lit(1)).alias("_count"))
+    folded = values.groupBy(*keys, "_rank").agg(F.sort_array(F.collect_list(F.struct("_value", "_count"))).alias("_all"))
+    # The first value whose running count passes the rank.
+    kind = rows.schema["_value"].dataType
+    hit = F.aggregate(
+        "_all",
+        F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast(kind).alias("value")),
+        lambda acc, x: F.struct(
+            (acc["seen"] + x["_count"]).alias("seen"),
+            F.when(acc["seen"] <= F.col("_rank"), x["_value"]).otherwise(acc["value"]).alias("value"),
+        ),
+        lambda acc: acc["value"],
     )
-    return hit.select(*keys, F.col("_value").alias("upper_median"))
+    return reduce(DataFrame.unionByName, settled, folded.select(*keys, hit.alias("upper_median")))

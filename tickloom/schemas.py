@@ -52,9 +52,14 @@ RETRIEVAL_BUCKETS = (0.5, 1.0, 2.5, 5.0, 7.5, 10.0, 15.0, 30.0)
 BRIEFING_BUCKETS = (30.0, 60.0, 90.0, 120.0, 300.0, 600.0, 900.0)
 
 
+def within(value, allowed: tuple[int, int]):
+    """Whether ``value``, a number or a column of them, lies in ``allowed``."""
+    low, high = allowed
+    return (value >= low) & (value <= high)
+
+
 def bounded_arg(name: str, value: int, allowed: tuple[int, int]) -> int:
     """``value`` when it lies in ``allowed``, else ``ValueError`` before any plan is built."""
-    low, high = allowed
-    if not low <= value <= high:
-        raise ValueError(f"{name} must be between {low} and {high}, got {value}")
+    if not within(value, allowed):
+        raise ValueError(f"{name} must be between {allowed[0]} and {allowed[1]}, got {value}")
     return value

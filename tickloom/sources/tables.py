@@ -10,18 +10,19 @@ leaves nothing behind that stops the next. One writer per table.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMITS = (
     "version long, mode string, rows long, base long, total_rows long, committed_at timestamp, "
-    "app string, batch_id long, schema string"
+    "app string, batch_id long, schema string, facts map<string,double>, batches map<string,bigint>"
 )
 VERSION = "_version"
 
@@ -56,27 +57,53 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
         raise TableUnavailable(f"table {path} is not available yet: nothing was written to it") from missing
 
 
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the folders below ``folder`` named ``prefix`` and a number, newest first."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(base):
+        return []
+    found = [str(f.getPath().toString()) for f in files.listStatus(base) if f.getPath().getName().startswith(prefix)]
+    numbers = [(int(re.match(r"\d+", name.rsplit("/", 1)[1][len(prefix) :])[0]), name) for name in found]
+    return sorted(numbers, reverse=True)
+
+
+def _newest(spark: SparkSession, path: str, version: int | None = None) -> Row | None:
+    """The commit row of the newest version, or of the newest up to ``version``.
+
+    Folder names tell the versions, so one row is read, however long the log is.
+    """
+    for number, folder in _numbered(spark, f"{path}/commits", "commit="):
+        if version is None or number <= version:
+            row = spark.read.schema(COMMITS).parquet(folder).first()
+            if row is not None:
+                return row
+    return None
+
+
 def _read_back(spark: SparkSession, path: str, head: Head) -> DataFrame:
+    """The rows of the live versions; folders that a replacing write left behind are not opened."""
     stored = T.StructType([*head.schema.fields, T.StructField(VERSION, T.LongType())])
-    data = spark.read.schema(stored).parquet(f"{path}/data")
+    reader = spark.read.schema(stored).option("basePath", f"{path}/data")
+    if head.base:
+        live = [f for n, f in _numbered(spark, f"{path}/data", f"{VERSION}=") if head.base <= n <= head.version]
+        data = reader.parquet(*live)
+    else:
+        data = reader.parquet(f"{path}/data")
     return data.filter((F.col(VERSION) >= head.base) & (F.col(VERSION) <= head.version))
 
 
 def read_head(spark: SparkSession, path: str, version: int | None = None) -> Head:
     """The newest version, or the table as it was at ``version``."""
-    log = commits(spark, path)
-    if version is not None:
-        log = log.filter(F.col("version") <= version)
-    newest = log.agg(
-        F.max("version").alias("version"),
-        F.max_by(F.struct("base", "total_rows", "schema"), "version").alias("last"),
-    ).first()
-    if newest["version"] is None:
-        raise TableUnavailable(f"table {path} has no version at or before {version}")
-    last = newest["last"]
-    return Head(
-        newest["version"], last["base"], last["total_rows"], T.StructType.fromJson(json.loads(last["schema"]))
-    )
+    last = _newest(spark, path, version)
+    if last is None:
+        raise TableUnavailable(
+            f"table {path} is not available yet: nothing was written to it"
+            if version is None
+            else f"table {path} has no version at or before {version}"
+        )
+    schema = T.StructType.fromJson(json.loads(last["schema"]))
+    return Head(last["version"], last["base"], last["total_rows"], schema)
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None, keep_version: bool = False) -> Snapshot:
@@ -99,31 +126,28 @@ def _same_columns(new: T.StructType, old: T.StructType) -> None:
         raise ValueError(f"rows to append differ from the table in {', '.join(differ)}")
 
 
-def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int | None) -> int | None:
+def _write(
+    df: DataFrame, path: str, mode: str, app: str | None, batch_id: int | None, facts: dict[str, Column]
+) -> int | None:
     spark = df.sparkSession
-    number, base, before = 0, 0, 0
-    try:
-        log = commits(spark, path)
-    except TableUnavailable:
-        pass
-    else:
-        seen = F.max(F.when(F.col("app") == F.lit(app), F.col("batch_id")))
-        last = log.agg(
-            F.max("version").alias("version"),
-            F.max_by(F.struct("base", "total_rows", "schema"), "version").alias("last"),
-            seen.alias("batch_id"),
-        ).first()
-        if batch_id is not None and last["batch_id"] is not None and batch_id <= last["batch_id"]:
+    last = _newest(spark, path)
+    number, base, before, batches = 0, 0, 0, {}
+    if last is not None:
+        number, base, before, batches = last["version"] + 1, last["base"], last["total_rows"], dict(last["batches"] or {})
+        if batch_id is not None and batch_id <= batches.get(app, -1):
             return None
-        if last["version"] is not None:
-            number, base, before = last["version"] + 1, last["last"]["base"], last["last"]["total_rows"]
-            if mode == "append":
-                _same_columns(df.schema, T.StructType.fromJson(json.loads(last["last"]["schema"])))
+        if mode == "append":
+            _same_columns(df.schema, T.StructType.fromJson(json.loads(last["schema"])))
     if mode == "overwrite":
         base, before = number, 0
-    target = data_path(path, number)
-    df.write.mode("overwrite").parquet(target)
-    rows = spark.read.schema(df.schema).parquet(target).count()
+    if batch_id is not None:
+        batches[app] = batch_id
+    # The write's own pass counts the rows and takes the facts; nothing is read again.
+    taken = Observation(f"write-{uuid.uuid4().hex}")
+    measured = [F.count(F.lit(1)).alias("rows"), *(c.cast("double").alias(name) for name, c in facts.items())]
+    df.observe(taken, *measured).write.mode("overwrite").parquet(data_path(path, number))
+    found = dict(taken.get)
+    rows = found.pop("rows")
     if rows == 0 and mode == "append":
         return None
     entry = {
@@ -136,35 +160,42 @@ def _write(df: DataFrame, path: str, mode: str, app: str | None, batch_id: int |
         "app": app,
         "batch_id": batch_id,
         "schema": df.schema.json(),
+        "facts": _as_map(found),
+        "batches": _as_map(batches),
     }
     kinds = T.StructType.fromDDL(COMMITS)
-    one = spark.range(0, 1, 1, 1).select(*[F.lit(entry[k.name]).cast(k.dataType).alias(k.name) for k in kinds])
+    cells = [
+        (v if isinstance(v, Column) else F.lit(v)).cast(k.dataType).alias(k.name)
+        for k, v in ((k, entry[k.name]) for k in kinds)
+    ]
+    one = spark.range(0, 1, 1, 1).select(*cells)
     one.write.mode("errorifexists").parquet(f"{path}/commits/commit={number}-{uuid.uuid4().hex[:12]}")
     return number
 
 
-def append_version(df: DataFrame, path: str, app: str | None = None, batch_id: int | None = None) -> int | None:
+def _as_map(values: dict) -> Column:
+    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair)) if values else F.lit(None)
+
+
+def append_version(
+    df: DataFrame,
+    path: str,
+    app: str | None = None,
+    batch_id: int | None = None,
+    facts: dict[str, Column] | None = None,
+) -> int | None:
     """Append ``df`` as one version and return it; ``None`` when nothing was added.
 
     Nothing is added when ``df`` is empty, or when this ``app`` already
-    committed ``batch_id`` or a later one (a replayed micro-batch).
+    committed ``batch_id`` or a later one (a replayed micro-batch). ``facts``
+    are aggregates of the rows, taken by the write itself into the commit row.
     """
-    return _write(df, path, "append", app, batch_id)
+    return _write(df, path, "append", app, batch_id, facts or {})
 
 
 def overwrite_version(df: DataFrame, path: str) -> int:
     """Replace the table's rows by ``df`` as one new version and return it."""
-    return _write(df, path, "overwrite", None, None)
-
-
-def compact(spark: SparkSession, path: str, by: list[str]) -> int:
-    """Rewrite the newest version as one write, ranged over ``by``; reads then open one folder.
-
-    Rows then carry the rewrite's commit time, so take latency figures of a tick table first.
-    """
-    keys = [F.col(c) for c in by]
-    rows = read_table(spark, path).rows
-    return overwrite_version(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), path)
+    return _write(df, path, "overwrite", None, None, {})
 
 
 def new_rows(spark: SparkSession, path: str, baseline: int | None) -> int:

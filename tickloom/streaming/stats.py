@@ -29,7 +29,7 @@ def batch_latency(landed: DataFrame) -> DataFrame:
     )
 
 
-def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
+def stream_summary(landed: DataFrame) -> DataFrame:
     """One row: rows, batches, duration, rate, and mean, upper-median and largest latency.
 
     The duration runs from the first event to the last commit.
@@ -50,7 +50,7 @@ def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
         F.round(F.try_divide(F.sum("waited"), F.sum("timed")) / F.lit(1e6), 2).alias("write_latency_avg_seconds"),
         F.round(F.max("longest") / F.lit(1e6), 2).alias("write_latency_max_seconds"),
     )
-    median = ordering.upper_median(timed, "latency_micros", **split).select(
+    median = ordering.upper_median(timed, "latency_micros").select(
         F.round(F.col("upper_median") / F.lit(1e6), 2).alias("write_latency_p50_seconds")
     )
     rate = F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds")).otherwise(F.lit(0.0))
@@ -65,21 +65,26 @@ def stream_summary(landed: DataFrame, **split: int | None) -> DataFrame:
     return summaries.beside([whole, median])
 
 
-def lag_samples(end_offsets: DataFrame, batches: DataFrame, **split: int) -> DataFrame:
-    """Lag after each batch: the topic's end offsets then, minus the rows landed so far, at least 0.
+def lag_samples(end_offsets: DataFrame, batches: DataFrame) -> DataFrame:
+    """Lag at each sample: the topic's end offsets then, minus the rows landed by then, at least 0.
 
-    ``end_offsets`` has one row per batch and topic partition; ``batches`` one
-    per batch, with its rows. The running total goes over batches, not events.
+    ``end_offsets`` (app, sampled_at, end_offset) has a row per sample and topic
+    partition, taken at times of their own; ``batches`` (app, committed_at, rows) one
+    per batch. A sample sees the batches committed at or before its time: both lie in
+    one order of time, cut into ranges, and every range starts from the rows that
+    landed before it. No app is brought together in one task.
     """
-    ends = end_offsets.groupBy("app", "batch_id").agg(F.sum("end_offset").alias("end_offset"))
-    counted = ordering.count_before(batches, ["app"], "batch_id", "rows", **split)
-    rows = counted.select("app", "batch_id", (F.col("_pos") + F.col("rows")).alias("rows_landed"))
-    lag = F.greatest(F.lit(0), F.col("end_offset") - F.col("rows_landed"))
-    return ends.join(rows, ["app", "batch_id"]).select("app", "batch_id", lag.alias("lag"))
+    ends = end_offsets.groupBy("app", F.col("sampled_at").alias("at")).agg(F.sum("end_offset").alias("end_offset"))
+    none = F.lit(None).cast("long")
+    both = batches.select("app", F.col("committed_at").alias("at"), F.lit(0).alias("kind"), "rows", none.alias("end_offset"))
+    both = both.unionByName(ends.withColumns({"kind": F.lit(1), "rows": F.lit(0).cast("long")}))
+    placed = ordering.number_rows(both, ["app"], ["at", "kind"], weight="rows").where("kind = 1")
+    lag = F.greatest(F.lit(0), F.col("end_offset") - F.col("_pos"))
+    return placed.select("app", F.col("at").alias("sampled_at"), lag.cast("long").alias("lag"))
 
 
 def consumer_lag(samples: DataFrame) -> DataFrame:
     """Largest and last lag per run."""
     return samples.groupBy("app").agg(
-        F.max("lag").alias("consumer_lag_max"), F.max_by("lag", "batch_id").alias("consumer_lag_final")
+        F.max("lag").alias("consumer_lag_max"), F.max_by("lag", "sampled_at").alias("consumer_lag_final")
     )
