@@ -160,10 +160,10 @@ EVERY_VECTOR = "every AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FR
 
 @query(f"WITH {EVERY_VECTOR}, {ranking_sql('every', 6)} SELECT {NEAREST} FROM ranking")
 def nearest_of_every_vector(spark, sf_dir):
-    """Every vector asks: more queries than are sent to all tasks, so blocks meet in a grid."""
+    """Every vector asks, in small blocks, so cells are cut on both sides."""
     asked = vectors(spark, sf_dir).select(F.col("id").alias("query_id"), "embedding")
     found = neighbours.nearest(
-        vectors(spark, sf_dir), asked, TOP_K, max_query_bytes=64 * 1024, corpus_block_bytes=128 * 1024
+        vectors(spark, sf_dir), asked, TOP_K, query_bytes=16 * 1024, corpus_bytes=16 * 1024
     )
     return rounded(found, 6, "distance")
 

@@ -41,10 +41,6 @@ def tick_stream(spark, sf_dir):
     return stamped(tables.read_table(spark, path).rows)
 
 
-#: Messages in four parts by the second they were sent in, streamed one after another.
-QUARTER = F.pmod(F.unix_seconds("timestamp"), F.lit(4))
-
-
 @query(f"""WITH {PARSED}, quarters AS (SELECT *, CAST(floor(epoch(kafka_timestamp)) AS BIGINT) % 4 AS part FROM parsed),
 last AS (SELECT * FROM quarters WHERE part = (SELECT max(part) FROM quarters))
 SELECT 'rows_total' AS name, CAST(count(*) AS DOUBLE) AS value FROM parsed
@@ -57,8 +53,10 @@ def batch_metrics(spark, sf_dir):
     from tickloom.operators import monitor
 
     root = scratch_path(spark, "batches")
+    # Four parts by the second a message was sent in, streamed one after another.
+    quarter = F.pmod(F.unix_seconds("timestamp"), F.lit(4))
     for part in range(4):
-        S.publish_to_files(wire(spark, sf_dir).filter(QUARTER == part), f"{root}/topic")
+        S.publish_to_files(wire(spark, sf_dir).filter(quarter == part), f"{root}/topic")
         events = S.expand_event(S.read_tick_files(spark, f"{root}/topic"))
         S.append_stream(
             events, f"{root}/table", "ticks", f"{root}/offsets", f"{root}/metrics", available_now=True

@@ -19,7 +19,9 @@ def _with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 
 def first_bar(bars: DataFrame) -> DataFrame:
-    return ordering.first_row(bars, ["Ticker"], ["Date"])
+    """The bar of the first day per ticker, the first ingested where a day has several."""
+    stamp = [c for c in ("ingested_at_utc",) if c in bars.columns]
+    return ordering.first_row(bars, ["Ticker"], ["Date", *stamp])
 
 
 def monotonic_violations(

@@ -49,15 +49,43 @@ def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def quoted_questions(questions: DataFrame, corpus: DataFrame, run: int = 5) -> DataFrame:
-    """Questions with a run of ``run`` words found verbatim in a text of their expected source."""
-    grams = questions.withColumn("grams", X.n_grams(F.col("question"), run))
-    texts = corpus.select(F.col("source").alias("expected"), F.lower(F.col("text")).alias("low"))
-    pairs = grams.join(texts, "expected")
-    quoted = F.filter("grams", lambda g: F.contains(F.col("low"), g))
-    found = pairs.withColumn("quotes", F.size(quoted)).filter("quotes > 0")
-    return found.groupBy("id").agg(
-        F.max("quotes").alias("quotes"), F.count(F.lit(1)).alias("matching_texts")
+    """Questions with a run of ``run`` words found verbatim in a text of their expected source.
+
+    The inner words of a run stand in a text between single blanks, so they are an exact
+    key: texts are indexed by (source, inner words), with the token before and behind,
+    which end and start with the run's outer words where the run is found. Questions and
+    texts meet on that key alone, so a source that holds much of the corpus is spread
+    over its runs, and only postings that some question asks for go on.
+    """
+    if run < 3:
+        raise ValueError("a run needs inner words: three words at least")
+    parts = F.split("gram", " ")
+    wanted = questions.select(
+        "id", F.col("expected").alias("source"), F.posexplode(X.n_grams(F.col("question"), run)).alias("place", "gram")
+    ).select(
+        "id",
+        "source",
+        "place",
+        F.array_join(F.slice(parts, 2, run - 2), " ").alias("inner"),
+        F.get(parts, F.lit(0)).alias("first"),
+        F.get(parts, F.lit(run - 1)).alias("last"),
     )
+    # A text's number serves to tell texts apart within this plan only.
+    numbered = corpus.select("source", F.split(F.lower("text"), " ").alias("tokens"), F.monotonically_increasing_id().alias("text_no"))
+    at = F.explode(F.sequence(F.lit(0), F.size("tokens") - run)).alias("at")
+    windows = numbered.filter(F.size("tokens") >= run).select("source", "text_no", "tokens", at)
+    postings = windows.select(
+        "source",
+        "text_no",
+        F.array_join(F.slice("tokens", F.col("at") + 2, run - 2), " ").alias("inner"),
+        F.get("tokens", F.col("at")).alias("before"),
+        F.get("tokens", F.col("at") + run - 1).alias("behind"),
+    )
+    met = wanted.join(postings, ["source", "inner"])
+    quoted = met.filter(F.endswith("before", "first") & F.startswith("behind", "last"))
+    found = quoted.groupBy("id", "source", "text_no", "place").agg(F.lit(1).alias("quote"))
+    per_text = found.groupBy("id", "source", "text_no").agg(F.sum("quote").alias("quotes"))
+    return per_text.groupBy("id").agg(F.max("quotes").alias("quotes"), F.count(F.lit(1)).alias("matching_texts"))
 
 
 def reconcile(ingest_runs: DataFrame, transform_runs: DataFrame) -> DataFrame:
