@@ -147,23 +147,6 @@ def run_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
         width *= 2
 
 
-
-BASE = 0x2545F4914F6CDD1D
-BACK = pow(BASE, -1, 1 << 64)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=U64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=U64)
-
-
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of 64-bit values, from running sums over the whole of them."""
-    sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(values * powers(BASE, len(values)), dtype=U64)])
-    return mixed((sums[ends] - sums[starts]) * powers(BACK, len(values))[starts] + (ends - starts).astype(U64))
-
-
 def batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
     """Rows (any, text) in groups of about ``BATCH_CHARS`` characters, a longer text alone."""
     group, size = [], 0

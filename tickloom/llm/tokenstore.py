@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.cells import read_cells, write_cells
-from tickloom.llm.common import U64, arrow_map, batches, materialise, mixed, span_hashes
+from tickloom.llm.common import U64, arrow_map, batches, materialise, mixed
 
 MAGIC = b"TOKS"
 HEADER = struct.Struct("<4sBQQQQ")  # magic, bytes of an id, documents, null keys, ids, bytes of the index
@@ -64,7 +64,7 @@ class Encoder:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if suffix:
             self.closes[[i for name, i in names.items() if name.endswith(suffix)]] = True
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     @staticmethod
     def lowered(text: str | None) -> bytes:
@@ -79,27 +79,28 @@ class Encoder:
             return raw
         return text.lower().encode()
 
-    def learn(self, new: dict[int, bytes]) -> None:
+    def learn(self, new: list[bytes]) -> None:
         """Encode words not seen yet: runs of letters in one call, the rest one by one."""
-        words = [(h, w.decode()) for h, w in new.items()]
-        plain = [(h, t) for h, t in words if t.isalpha()]
+        words = [(w, w.decode()) for w in new]
+        plain = [(w, t) for w, t in words if t.isalpha()]
         if plain:
-            found = self.tokenizer.encode_batch_fast([" ".join([t for _, t in plain])], add_special_tokens=False)
+            whole = " ".join([t for _, t in plain])
+            found = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)
             ids = np.array(found[0].ids, dtype=self.kind)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(plain):  # every run of letters ends in a token that closes a word
                 packed, at = ids.tobytes(), 0
-                for (h, _), end in zip(plain, (ends * self.width).tolist(), strict=True):
-                    self.known[h] = packed[at:end]
+                for (w, _), end in zip(plain, (ends * self.width).tolist(), strict=True):
+                    self.known[w] = packed[at:end]
                     at = end
             else:
                 plain = []
-        held = {h for h, _ in plain}
-        rest = [(h, t) for h, t in words if h not in held]
+        held = {w for w, _ in plain}
+        rest = [(w, t) for w, t in words if w not in held]
         if rest:
             found = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
-            for (h, _), one in zip(rest, found, strict=True):
-                self.known[h] = np.array(one.ids, dtype=self.kind).tobytes()
+            for (w, _), one in zip(rest, found, strict=True):
+                self.known[w] = np.array(one.ids, dtype=self.kind).tobytes()
 
     def encode(self, texts: list[str | None]) -> tuple[bytes, np.ndarray]:
         """Packed ids of the texts, each with the end id, and how many each text has."""
@@ -107,17 +108,13 @@ class Encoder:
         blob = b"\n".join([*raws, b""])
         data = np.frombuffer(blob, dtype=np.uint8)
         starts, ends = word_spans(data)
-        hashes = span_hashes(BYTES[data], starts, ends)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        words = [blob[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+        number: dict[bytes, int] = {}
+        which = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
         if len(self.known) > HELD:
             self.known.clear()
-        names = distinct.tolist()
-        found = list(map(self.known.get, names))
-        if None in found:
-            at = [i for i, x in enumerate(found) if x is None]
-            self.learn({names[i]: blob[starts[first[i]] : ends[first[i]]] for i in at})
-            for i in at:
-                found[i] = self.known[names[i]]
+        self.learn([w for w in number if w not in self.known])
+        found = [self.known[w] for w in number]
         # Lay each word's ids, and an end id behind each text, at their places.
         pool = np.frombuffer(b"".join(found), dtype=self.kind)
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.width
@@ -157,9 +154,6 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-BYTES = mixed(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
-
-
 @lru_cache(maxsize=1)
 def encoder_of(vocabulary: str) -> Encoder:
     """The Python worker's encoder: a reused worker keeps its words from task to task."""
