@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import html, pieces, quality, tokenstore, toxicity
+from tickloom.llm import html, pieces, quality, queries, tokenstore, toxicity
 from tickloom.llm.common import scratch_path
 from tickloom.llm.paths import vocabulary
 
@@ -165,12 +165,43 @@ def test_key_index_is_minimal_and_knows_absent_keys():
     assert (again.find(keys + 1)[1] == 0).sum() > len(keys) - 5
 
 
-def test_pieces_equal_the_library(spark, odd):
+def doubled(n):
+    """Two different words of 2^n letters whose polynomial hashes are equal modulo 2^64 for every odd base."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+LONG_TEXTS = [
+    *doubled(10), " ".join(doubled(11)), "x" * 70_000, "日本語" * 9_000, "é" * 30_000 + " and " + "\u2581" * 5, "  a   b ",
+    "a\n\n\tb\r c", "\x00z", "word " * 30_000,
+]
+
+
+@pytest.mark.parametrize("stretch", [None, 7])
+def test_pieces_equal_the_library(spark, odd, monkeypatch, stretch):
+    from sentencepiece import SentencePieceProcessor
+
+    if stretch:
+        monkeypatch.setattr(pieces, "STRETCH", stretch)
+        monkeypatch.setattr(pieces, "HELD", 50)
+    model = vocabulary("piece_bpe_32k.model")
+    sp = SentencePieceProcessor(model_file=model)
+    v = pieces.Vocabulary(model)
+    texts = LONG_TEXTS + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
+    ids, counts = pieces.encode_batch(texts, v)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == sp.encode(texts)
+    assert pieces.decode_batch(ids, counts, v) == [sp.decode(x).replace("\u2581", " ") for x in sp.encode(texts)]
+
+
+def test_encoded_and_decoded_rows(spark, odd):
     from sentencepiece import SentencePieceProcessor
 
     model = vocabulary("piece_bpe_32k.model")
     sp = SentencePieceProcessor(model_file=model)
-    docs = odd.union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source"))
+    more = spark.createDataFrame([(100 + i, t, "xx", "l") for i, t in enumerate(LONG_TEXTS)], odd.schema)
+    docs = odd.union(more).union(spark.read.parquet(f"{SF}/documents.parquet").select(*odd.columns))
     docs = docs.withColumn("again", F.col("text")).withColumn("ids", F.lit("old"))
     encoded = pieces.encode(docs, model)
     rows = encoded.collect()
@@ -178,10 +209,38 @@ def test_pieces_equal_the_library(spark, odd):
     for r in rows:
         assert r.ids == sp.encode(r.again or "")
     for r in pieces.decode(encoded, model).collect():
-        assert r.text == sp.decode(sp.encode(r.again or ""))
+        assert r.text == sp.decode(sp.encode(r.again or "")).replace("\u2581", " ")
     assert pieces.encode(odd.where("false"), model).count() == 0
 
 
+def test_registered_piece_digests_equal_the_library(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in queries.op6_sentencepiece(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        ids = sp.encode(text)
+        assert got[doc_id].n_tokens == len(ids)
+        assert got[doc_id].ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert got[doc_id].text_crc32 == zlib.crc32(sp.decode(ids).encode())
+
+
+def test_words_of_equal_polynomial_hash_keep_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    words = doubled(10)
+    docs = spark.createDataFrame([(i, f"start {w} end") for i, w in enumerate(words)], "doc_id long, text string").coalesce(1)
+    file = vocabulary("word_bpe_49k.json")
+    path = scratch_path(spark, "equal-hashes")
+    tokenstore.write_store(docs, path, file)
+    library = Tokenizer.from_file(file)
+    for r in tokenstore.read_store(spark, path).collect():
+        ids = library.encode(f"start {words[r.key]} end", add_special_tokens=False).ids + [1]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
 def test_toxicity_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -1,23 +1,25 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The texts of a batch are cut into segments that no piece can cross, and the
-different segments are laid end to end. A suffix array indexes that text as deep
-as the longest piece, a binary search gives every piece its range of
-occurrences, and the occurrences, laid out by position and length, are the edges
-along which symbols are joined. The vocabulary is a BPE model, so relaxing means
-joining in the model's order: in every segment the pair whose edge has the best
-score, the leftmost of equals, until no pair has an edge. The ids equal those of
-the sentencepiece library.
+Texts are cut into segments that no piece can cross. A worker remembers the ids of
+segments, up to a bound; the segments of a batch that it does not know yet are laid
+end to end. A suffix array indexes that text as deep as the longest piece, a binary
+search gives every piece its range of occurrences, and the occurrences, laid out by
+position and length, are the edges along which symbols are joined. The vocabulary is
+a BPE model, so relaxing means joining in the model's order: in every segment the
+pair whose edge has the best score, the leftmost of equals, until no pair has an
+edge. The ids equal those of the sentencepiece library.
 
 Defined cases: null and empty texts have no ids and decode to the empty text.
 Characters without a piece become their UTF-8 bytes. A space and U+2581 are the
 same to the model, so both decode to a space. Repeated rows get equal ids; input
-columns that share a name with a result are replaced.
+columns that share a name with a result are replaced. A long text is cut into
+segments a stretch at a time.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -27,12 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tickloom.llm.common import U64, batches, clear_of, mixed, rows_of, span_hashes
+from tickloom.llm.common import batches, clear_of, rows_of
 
 MARK = "▁"
 #: Segments longer than this are joined with a heap, one at a time.
 LONG = 256
 NONE = np.iinfo(np.int64).max
+#: Segments a worker remembers, their characters, and the longest that is worth it.
+HELD = 1 << 18
+HELD_CHARS = 8 << 20
+#: Segments looked up at a time, and characters of a text cut at a time.
+FLUSH = 1 << 18
+STRETCH = 1 << 20
 
 
 class Vocabulary:
@@ -55,15 +63,19 @@ class Vocabulary:
                 self.byte_ids[int(name[3:5], 16)] = i
                 self.raw[i] = bytes([int(name[3:5], 16)])
             elif not sp.is_control(i):
-                self.raw[i] = name.encode()
+                self.raw[i] = name.replace(MARK, " ").encode()
         self.depth = max(len(names[i]) for i in plain)
         # Characters as dense symbols: 0 parts segments, 1 is any character without a piece.
         chars = sorted({c for i in plain for c in names[i]})
         self.symbols = np.ones(0x110000, dtype=np.uint16)
         self.symbols[[ord(c) for c in chars]] = np.arange(2, len(chars) + 2)
-        joined = {c for i in plain if len(names[i]) > 1 for c in names[i]}
-        self.alone = np.ones(0x110000, dtype=bool)
-        self.alone[[ord(c) for c in joined]] = False
+        # Marks begin a segment; a character that no longer piece has is one of its own.
+        joined = "".join(re.escape(c) for c in sorted({c for i in plain if len(names[i]) > 1 for c in names[i]} - {MARK}))
+        self.segment = re.compile(f"{MARK}+[{joined}]*|[{joined}]+|.", re.DOTALL)
+        self.raw_sizes = np.array([len(r) for r in self.raw], dtype=np.int64)
+        self.raw_at = np.cumsum(self.raw_sizes) - self.raw_sizes
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
+        self.forget()
         self.ids = np.array(plain, dtype=np.int64)
         self.lengths = np.array([len(names[i]) for i in plain], dtype=np.int64)
         low = np.zeros((len(plain), self.depth), dtype=np.uint16)
@@ -76,6 +88,26 @@ class Vocabulary:
         scores = np.array([sp.get_score(i) for i in range(len(names))])
         self.ranks = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
 
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.chars = 0
+        self.pool = np.empty(0, dtype=np.int32)
+        self.sizes = np.empty(0, dtype=np.int64)
+
+    def numbered(self, segments: list[str]) -> np.ndarray:
+        """The place of each segment in ``sizes``, after encoding those not known yet."""
+        distinct = set(segments)
+        new = sorted(distinct - self.numbers.keys())
+        if len(self.numbers) + len(new) > HELD or self.chars > HELD_CHARS:
+            self.forget()
+            new = sorted(distinct)
+        if new:
+            ids, sizes = encode_segments(new, self)
+            self.numbers.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+            self.chars += sum(map(len, new))
+            self.pool, self.sizes = np.concatenate([self.pool, ids]), np.concatenate([self.sizes, sizes])
+        return np.fromiter(map(self.numbers.__getitem__, segments), dtype=np.int64, count=len(segments))
+
 
 def as_keys(matrix: np.ndarray) -> np.ndarray:
     """Rows of symbols as big-endian byte strings, whose order is that of the symbols."""
@@ -182,32 +214,13 @@ def join_long(start: int, end: int, table: np.ndarray, v: Vocabulary) -> tuple[l
     return places, [size[i] for i in places]
 
 
-def encode_batch(texts: list[str | None], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts, one after another, and how many each text has."""
-    held = [(MARK + t).replace(" ", MARK) if t else "" for t in texts]
-    sizes = np.array([len(t) for t in held])
-    points = np.frombuffer("".join(held).encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    if not len(points):
-        return np.empty(0, dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
-    marks, alone = points == ord(MARK), v.alone[points]
-    cuts = np.concatenate([[True], (marks[1:] & ~marks[:-1]) | alone[1:] | alone[:-1]])
-    text_starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    cuts[text_starts] = True
-    starts = np.flatnonzero(cuts)
-    ends = np.append(starts[1:], len(points))
-    hashes = span_hashes(mixed(points.astype(U64) + U64(1)), starts, ends)
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    # The different segments end to end, a zero symbol behind each.
-    n = ends[first] - starts[first]
+def encode_segments(segments: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of different segments, one after another, and how many each has."""
+    n = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
     offsets = np.cumsum(n + 1) - (n + 1)
-    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    place = np.repeat(offsets, n) + inner
-    text = np.zeros(int((n + 1).sum()), dtype=np.int64)
-    text[place] = points[np.repeat(starts[first], n) + inner]
+    text = np.frombuffer("\0".join([*segments, ""]).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     symbols = v.symbols[text]
-    inside = np.zeros(len(text), dtype=bool)
-    inside[place] = True
-    symbols[~inside] = 0
+    symbols[offsets + n] = 0
     table = edges(symbols, v)
     short = n <= LONG
     at, length = join_all(offsets[short], (offsets + n)[short], table, v)
@@ -216,7 +229,7 @@ def encode_batch(texts: list[str | None], v: Vocabulary) -> tuple[np.ndarray, np
         at, length = np.concatenate([at, more[0]]), np.concatenate([length, more[1]])
     order = np.argsort(at, kind="stable")
     at, length = at[order], length[order]
-    ids = table[at * v.depth + length - 1].astype(np.int64)
+    ids = table[at * v.depth + length - 1].astype(np.int32)
     # A single character without a piece becomes its bytes.
     counts = np.ones(len(ids), dtype=np.int64)
     bare = np.flatnonzero(ids < 0)
@@ -225,81 +238,132 @@ def encode_batch(texts: list[str | None], v: Vocabulary) -> tuple[np.ndarray, np
     pool = np.repeat(ids, counts)
     if len(bare):
         pool[np.repeat(np.isin(np.arange(len(ids)), bare), counts)] = np.concatenate(spelled)
-    per_segment = np.bincount(np.searchsorted(offsets, at, side="right") - 1, weights=counts, minlength=len(n))
-    per_segment = per_segment.astype(np.int64)
-    pool_at = np.cumsum(per_segment) - per_segment
-    # Lay the ids of every segment occurrence behind one another.
-    m = per_segment[which]
-    inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-    out = pool[np.repeat(pool_at[which], m) + inner]
-    owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
-    return out, np.bincount(owner, weights=m, minlength=len(texts)).astype(np.int64)
+    owner = np.searchsorted(offsets, at, side="right") - 1
+    return pool, np.bincount(owner, weights=counts, minlength=len(n)).astype(np.int64)
 
 
-def decoded(ids: list[int], v: Vocabulary) -> str:
-    text = b"".join(map(v.raw.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-    return text[1:] if text.startswith(" ") else text
+def segments_of(text: str, v: Vocabulary) -> Iterator[list[str]]:
+    """The segments of a text, a stretch at a time; a segment at the end of a stretch goes on in the next."""
+    at, width = 0, STRETCH
+    while at < len(text):
+        found = v.segment.findall(text, at, at + width)
+        if at + width < len(text):
+            if len(found) == 1:
+                width *= 2
+                continue
+            at -= len(found.pop())
+        at, width = at + width, STRETCH
+        yield found
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with the ids of each text."""
-    held = clear_of(docs, "ids") if text != "ids" else docs
+def laid_out(pool: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Stretches of ``pool``, one behind another."""
+    return pool[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
+def encode_batch(texts: list[str | None], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts, one after another, and how many each text has."""
+    done, counts = [np.empty(0, dtype=np.int32)], np.zeros(len(texts), dtype=np.int64)
+    held: list[str] = []
+    owners: list[int] = []
+    sizes: list[int] = []
+
+    def flush() -> None:
+        numbers = v.numbered(held)
+        n = v.sizes[numbers]
+        done.append(laid_out(v.pool, (np.cumsum(v.sizes) - v.sizes)[numbers], n))
+        np.add.at(counts, np.repeat(owners, sizes), n)
+        for x in (held, owners, sizes):
+            x.clear()
+
+    for i, text in enumerate(texts):
+        if text:
+            for found in segments_of((MARK + text).replace(" ", MARK), v):
+                held += found
+                owners.append(i)
+                sizes.append(len(found))
+                if len(held) >= FLUSH:
+                    flush()
+    if held:
+        flush()
+    return np.concatenate(done), counts
+
+
+def decode_batch(ids: np.ndarray, counts: np.ndarray, v: Vocabulary) -> list[str]:
+    """The texts that ``counts`` ids each stand for; bytes of all ids by one lookup."""
+    data = laid_out(v.raw_bytes, v.raw_at[ids], v.raw_sizes[ids]).tobytes()
+    ends = np.concatenate([[0], np.cumsum(v.raw_sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+    texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    return [t[1:] if t.startswith(" ") else t for t in texts]
+
+
+def _per_text(docs: DataFrame, model: str, text: str, added: list[StructField], make) -> DataFrame:
+    """``docs`` without ``text``, with the columns that ``make(texts, vocabulary)`` gives for a batch of texts."""
+    held = clear_of(docs, *(f.name for f in added if f.name != text))
     fields = [f for f in held.schema.fields if f.name != text]
     names = [f.name for f in fields]
-    schema = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
+    schema = StructType([*fields, *added])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         v = vocabulary_of(model)
         for whole in found:
             places = ((i, t) for i, (t,) in enumerate(rows_of(whole.select([text]))))
             for group in batches(places):
-                ids, counts = encode_batch([t for _, t in group], v)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
                 part = whole.slice(group[0][0], len(group))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in names), lists], names=[*names, "ids"]
-                )
+                new = make([t for _, t in group], v)
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *new], names=schema.names)
 
     return held.select(*names, text).mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` without ``ids``, with the text they stand for."""
-    return _read_ids(encoded, model, digest=False)
+def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` without ``text``, with the ids of each text."""
 
+    def make(texts: list[str | None], v: Vocabulary) -> list[pa.Array]:
+        ids, counts = encode_batch(texts, v)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
 
-def digests(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` with ids replaced by their number, their checksum and that of the decoded text.
+    return _per_text(docs, model, text, [StructField("ids", ArrayType(IntegerType()))], make)
+
+
+def digests(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` without ``text``, with the number and checksum of its ids and the checksum of the text they stand for.
 
     ids_crc32 covers the ids as little-endian 32-bit integers, text_crc32 the decoded text in UTF-8.
     """
-    return _read_ids(encoded, model, digest=True)
+
+    def make(texts: list[str | None], v: Vocabulary) -> list[pa.Array]:
+        ids, counts = encode_batch(texts, v)
+        raw, ends = ids.astype("<u4").tobytes(), (4 * np.concatenate([[0], np.cumsum(counts)])).tolist()
+        return [
+            pa.array(counts),
+            pa.array([zlib.crc32(raw[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.int64()),
+            pa.array([zlib.crc32(t.encode()) for t in decode_batch(ids, counts, v)], pa.int64()),
+        ]
+
+    added = [StructField(n, LongType()) for n in ("n_tokens", "ids_crc32", "text_crc32")]
+    return _per_text(docs, model, text, added, make)
 
 
-def _read_ids(encoded: DataFrame, model: str, digest: bool) -> DataFrame:
-    added = ["n_tokens", "ids_crc32", "text_crc32"] if digest else ["text"]
-    held = clear_of(encoded, *added)
+def decode(encoded: DataFrame, model: str) -> DataFrame:
+    """``encoded`` without ``ids``, with the text they stand for."""
+    held = clear_of(encoded, "text")
     fields = [f for f in held.schema.fields if f.name != "ids"]
     names = [f.name for f in fields]
-    kind = LongType() if digest else StringType()
-    schema = StructType([*fields, *(StructField(n, kind) for n in added)])
+    schema = StructType([*fields, StructField("text", StringType())])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         v = vocabulary_of(model)
         for whole in found:
-            for at in range(0, whole.num_rows, 256):
-                part = whole.slice(at, 256)
-                ids = [x or [] for x in part.column("ids").to_pylist()]
-                texts = [decoded(x, v) for x in ids]
-                if digest:
-                    new = [
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([zlib.crc32(np.array(x, dtype="<u4").tobytes()) for x in ids], pa.int64()),
-                        pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
-                    ]
-                else:
-                    new = [pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *new], names=[*names, *added])
+            for at in range(0, whole.num_rows, 1024):
+                part = whole.slice(at, 1024)
+                lists = part.column("ids")
+                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                texts = decode_batch(ids, counts, v)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(n) for n in names), pa.array(texts, pa.string())], names=schema.names
+                )
 
     return held.select(*names, "ids").mapInArrow(run, schema)

@@ -151,8 +151,7 @@ def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode(docs, vocabulary("piece_bpe_32k.model"))
-    return pieces.digests(encoded, vocabulary("piece_bpe_32k.model"))
+    return pieces.digests(docs, vocabulary("piece_bpe_32k.model"))
 
 
 @query()
