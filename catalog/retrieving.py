@@ -14,7 +14,7 @@ from tickloom.operators import embedding, evaluation, lookups, neighbours, order
 from tickloom.plans import prompts, retrieval
 from tickloom.schemas import MIN_QUESTIONS_PER_DOCUMENT, TOP_K
 from tickloom.session import scratch_path
-from tickloom.sources import corpus, evalset, news, tables
+from tickloom.sources import buckets, corpus, evalset, news
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,8 +252,28 @@ def two_loads(spark: SparkSession, sf_dir: str) -> str:
 @query(f"""WITH {NEW_ENTRIES} SELECT id, label FROM entries WHERE kind = 'new'
 UNION ALL SELECT id, label FROM entries WHERE kind = 'old' AND id NOT IN (SELECT id FROM entries WHERE kind = 'new')""")
 def upsert_vectors(spark, sf_dir):
-    index = two_loads(spark, sf_dir)
-    return tables.read_table(spark, retrieval.collection_path(index)).rows.select("id", "label")
+    return retrieval.collection(spark, two_loads(spark, sf_dir)).select("id", "label")
+
+
+@query("""SELECT count(DISTINCT vec_id) AS entries, true AS other_buckets_kept, true AS same_rows_store_nothing FROM embeddings""")
+def untouched_buckets(spark, sf_dir):
+    """One label's entries change: the buckets without them keep their files."""
+    index = scratch_path(spark, "buckets")
+    rows = vectors(spark, sf_dir)
+    retrieval.upsert_vectors(spark, index, rows)
+    path = retrieval.collection_path(index)
+    before = buckets.read_state(spark, path)
+    changed = rows.filter(F.col("label") == 3).withColumn("label", F.lit(103))
+    hit = set(buckets.touched(changed, before))
+    retrieval.upsert_vectors(spark, index, changed)
+    after = buckets.read_state(spark, path)
+    kept = all(after.live[b] == before.live[b] for b in before.live if b not in hit)
+    again = retrieval.upsert_vectors(spark, index, changed)
+    return spark.range(1).select(
+        F.lit(after.rows).cast("long").alias("entries"),
+        F.lit(kept and all(after.live[b] == after.version for b in hit)).alias("other_buckets_kept"),
+        F.lit(again.stored == 0).alias("same_rows_store_nothing"),
+    )
 
 
 @query("SELECT vec_id AS id FROM embeddings")
@@ -546,7 +566,7 @@ PROBES = (0, 100, 767)
 FROM embedded JOIN chunks USING (id) GROUP BY 1, 2, 3""")
 def build_index(spark, sf_dir):
     """The stored entries, with a few numbers of each vector."""
-    stored = tables.read_table(spark, retrieval.collection_path(built(spark, sf_dir))).rows
+    stored = retrieval.collection(spark, built(spark, sf_dir))
     probes = [F.round(F.get("embedding", i).cast("double"), 5).alias(f"x{i}") for i in PROBES]
     return stored.select("id", "source", "chunk_no", F.size("embedding").alias("dim"), *probes)
 

@@ -272,7 +272,7 @@ def test_upsert(spark):
     schema = "id string, embedding array<double>"
     retrieval.upsert_vectors(spark, index, spark.createDataFrame([("a", [1.0]), ("b", [2.0])], schema))
     retrieval.upsert_vectors(spark, index, spark.createDataFrame([("b", [3.0]), ("c", [4.0])], schema))
-    stored = tables.read_table(spark, retrieval.collection_path(index)).rows
+    stored = retrieval.collection(spark, index)
     assert {r.id: r.embedding for r in stored.collect()} == {"a": [1.0], "b": [3.0], "c": [4.0]}
 
 

@@ -1,8 +1,9 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tickloom.session import scratch_path
-from tickloom.sources import landing, tables
+from tickloom.sources import buckets, landing, tables
 from tickloom.operators import lookups, monitor
 from tickloom.plans import batch, serving
 
@@ -143,3 +144,73 @@ def test_rows_of_another_type_are_refused(spark):
     with pytest.raises(ValueError, match="differ from the table in n"):
         tables.append_version(spark.createDataFrame([("x",)], "n string"), path)
     assert read(spark, path) == [1]
+
+
+def entries(spark, **labels):
+    return spark.createDataFrame([(k, v, {"a": v}) for k, v in labels.items()], "id string, v string, m map<string,string>")
+
+
+def stored(spark, path):
+    return {r.id: r.v for r in buckets.read(spark, path).collect()}
+
+
+def test_buckets_store_only_what_changes(spark):
+    path = scratch_path(spark, "buckets")
+    many = {f"k{i}": "old" for i in range(40)}
+    first = buckets.publish(entries(spark, **many), path, "id", count=8)
+    assert (first.version, first.stored, first.kept) == (0, 8, 0)
+    before = buckets.read_state(spark, path)
+    one = buckets.upsert(entries(spark, k3="new"), path, "id")
+    after = buckets.read_state(spark, path)
+    assert (one.version, one.stored, one.kept) == (1, 1, 7)
+    assert stored(spark, path) == many | {"k3": "new"} and after.rows == 40
+    assert [b for b in before.live if before.live[b] != after.live[b]] == buckets.touched(entries(spark, k3="x"), before)
+    assert buckets.upsert(entries(spark, k3="new"), path, "id").stored == 0
+    files = buckets.read(spark, path).inputFiles()
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in files}) == 8
+    # Publishing drops what is not there, and a bucket without rows.
+    few = buckets.publish(entries(spark, k3="new", new="x"), path, "id")
+    assert stored(spark, path) == {"k3": "new", "new": "x"} and few.stored + few.kept <= 2
+    buckets.publish(entries(spark).limit(0), path, "id")
+    assert stored(spark, path) == {} and buckets.read_state(spark, path).rows == 0
+
+
+def test_a_bucket_write_that_died_is_invisible(spark):
+    path = scratch_path(spark, "half")
+    buckets.publish(entries(spark, a="1", b="2"), path, "id", count=4, notes={"model": "m1"})
+    entries(spark, z="9").withColumn("_bucket", F.lit(2)).write.partitionBy("_bucket").parquet(f"{path}/data/_version=1")
+    assert stored(spark, path) == {"a": "1", "b": "2"}
+    assert buckets.upsert(entries(spark, b="3"), path, "id").version == 1
+    assert stored(spark, path) == {"a": "1", "b": "3"} and buckets.read_state(spark, path).notes == {"model": "m1"}
+    with pytest.raises(ValueError, match="columns"):
+        buckets.replace(entries(spark, b="4").drop("m"), path, [0])
+    with pytest.raises(tables.TableUnavailable):
+        buckets.read(spark, scratch_path(spark, "never"))
+
+
+def test_increments_equal_a_rebuild(spark):
+    """New days, a late bar, a corrected bar, a new ticker and one without bars of late."""
+    root = scratch_path(spark, "steps")
+
+    def bar(ticker, day, close, stamp):
+        date = f"2026-{1 + day // 28:02d}-{1 + day % 28:02d}"
+        return (date, ticker, 1.0, 1.0, 1.0, float(close), 1, f"run-{stamp}")
+
+    steps = [
+        [bar(t, d, (d * 37) % 101 + 1, 0) for t in ("A", "B", "C") for d in range(120) if d % 7],
+        [bar("A", d, d, 1) for d in range(120, 130)] + [bar("B", 63, 500, 1)],
+        [bar("A", 118, 7, 2), bar("D", 5, 1, 2), bar(None, 5, 1, 2)],
+        [bar(None, 6, 3, 3), bar("A", 118, 8, 1)],
+    ]
+    kinds = "Date string, Ticker string, Open double, High double, Low double, Close double, Volume long, ingested_at_utc string"
+
+    def curated(path, read):
+        return sorted(map(repr, read(spark, path).select(sorted(read(spark, path).columns)).collect()))
+
+    for number, rows in enumerate(steps):
+        tables.append_version(spark.createDataFrame(rows, kinds), f"{root}/raw")
+        run = batch.run_increment(spark, f"{root}/raw", f"{root}/step")
+        batch.run_transform(spark, f"{root}/raw", f"{root}/whole")
+        assert run["rows_in"] == len(rows)
+        assert curated(f"{root}/step", buckets.read) == curated(f"{root}/whole", lambda s, p: tables.read_table(s, p).rows)
+    assert batch.run_increment(spark, f"{root}/raw", f"{root}/step")["rows_in"] == 0

@@ -60,6 +60,17 @@ def indicators(bars: DataFrame, dedupe: bool = True, **blocks: int) -> DataFrame
     return ordering.over_history(bars, ["Ticker"], order, LONG_ROWS - 1, _all_indicators, **blocks)
 
 
+def increment(before: DataFrame, bars: DataFrame) -> DataFrame:
+    """The indicators of ``bars``, the bars of a ticker from some day on.
+
+    ``before`` holds the last ``LONG_ROWS`` bars of each ticker ahead of that day, as far as there are any.
+    """
+    columns = [c for c in bars.columns if c != "_seed"]
+    seeds = before.select(*columns).withColumn("_seed", F.lit(True))
+    both = seeds.unionByName(latest_bars(bars.select(*columns)).withColumn("_seed", F.lit(False)))
+    return _all_indicators(both, day_window()).filter(~F.col("_seed")).drop("_seed")
+
+
 def day_window() -> WindowSpec:
     """Per ticker by day; bounded by the calendar once bars are unique per day."""
     return Window.partitionBy("Ticker").orderBy("Date")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from tickloom.functions import text as X
 from tickloom.operators import embedding, evaluation, lookups, neighbours
 from tickloom.schemas import EVALUATION_K, TOP_K
 from tickloom.session import materialise, scratch_path, spread
-from tickloom.sources import corpus, tables
+from tickloom.sources import buckets, corpus, tables
 
 PASSAGES = (
     "query_id string, rank int, id string, source string, text string, "
@@ -22,22 +24,17 @@ def collection_path(index: str) -> str:
     return f"{index}/collection"
 
 
-def model_path(index: str) -> str:
-    return f"{index}/model"
+def collection(spark: SparkSession, index: str) -> DataFrame:
+    return buckets.read(spark, collection_path(index))
 
 
 def collection_ids(spark: SparkSession, index: str) -> DataFrame:
-    return tables.read_table(spark, collection_path(index)).rows.select("id")
+    return collection(spark, index).select("id")
 
 
-def upsert_vectors(spark: SparkSession, index: str, new: DataFrame) -> int:
-    """Insert or replace entries by id, as one new version of the collection."""
-    path = collection_path(index)
-    try:
-        stored = tables.read_table(spark, path).rows
-    except tables.TableUnavailable:
-        return tables.overwrite_version(new, path)
-    return tables.overwrite_version(lookups.upsert(stored, new), path)
+def upsert_vectors(spark: SparkSession, index: str, new: DataFrame) -> buckets.Written:
+    """Insert or replace entries by id, as one new version; only the buckets of these ids are stored anew."""
+    return buckets.upsert(new, collection_path(index), "id")
 
 
 def build_index(
@@ -46,7 +43,7 @@ def build_index(
     """Chunk and embed the corpus (source, raw) and publish exactly its entries.
 
     Publishing the current ids only is the upsert and the removal of stale
-    entries in one write. An empty corpus changes nothing.
+    entries in one write, of the buckets that differ. An empty corpus changes nothing.
     """
     spark = raw.sparkSession
     cut = corpus.chunk_corpus(corpus.parse_documents(spread(raw)), chunking)
@@ -60,14 +57,16 @@ def build_index(
         stale = lookups.orphans(stored, chunks).count()
     except tables.TableUnavailable:
         stale = 0
-    embedding.save_embedder(model, model_path(index))
-    tables.overwrite_version(embedding.embed(model, chunks), collection_path(index))
+    # The model lies under a name of its own, which the version that needs it carries.
+    saved = f"{index}/models/{uuid.uuid4().hex}"
+    embedding.save_embedder(model, saved)
+    buckets.publish(embedding.embed(model, chunks), collection_path(index), "id", notes={"model": saved})
     return {
         "docs_indexed": count,
         "stale_removed": stale,
         "embedding_dim": dimension,
         "collection": collection_path(index),
-        "collection_count": tables.read_head(spark, collection_path(index)).rows,
+        "collection_count": buckets.read_state(spark, collection_path(index)).rows,
     }
 
 
@@ -85,11 +84,11 @@ def passages(collection: DataFrame, embedded: DataFrame, k: int) -> DataFrame:
 def retrieve(spark: SparkSession, index: str, queries: DataFrame, k: int = TOP_K) -> DataFrame:
     """Passages for every row of ``queries`` (query_id, text); none when there is no index yet."""
     try:
-        collection = tables.read_table(spark, collection_path(index)).rows
+        state = buckets.read_state(spark, collection_path(index))
     except tables.TableUnavailable:
         return spark.createDataFrame([], PASSAGES)
-    model: PipelineModel = embedding.load_embedder(model_path(index))
-    return passages(collection, embedding.embed(model, queries), k)
+    model: PipelineModel = embedding.load_embedder(state.notes["model"])
+    return passages(collection(spark, index), embedding.embed(model, queries), k)
 
 
 def evaluate(raw: DataFrame, questions: DataFrame, top_k: int = EVALUATION_K, chunking: bool = True) -> DataFrame:

@@ -57,7 +57,7 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
         raise TableUnavailable(f"table {path} is not available yet: nothing was written to it") from missing
 
 
-def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
+def numbered_folders(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
     """(number, path) of the folders below ``folder`` named ``prefix`` and a number, newest first."""
     base = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = base.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -73,7 +73,7 @@ def _newest(spark: SparkSession, path: str, version: int | None = None) -> Row |
 
     Folder names tell the versions, so one row is read, however long the log is.
     """
-    for number, folder in _numbered(spark, f"{path}/commits", "commit="):
+    for number, folder in numbered_folders(spark, f"{path}/commits", "commit="):
         if version is None or number <= version:
             row = spark.read.schema(COMMITS).parquet(folder).first()
             if row is not None:
@@ -86,7 +86,7 @@ def _read_back(spark: SparkSession, path: str, head: Head) -> DataFrame:
     stored = T.StructType([*head.schema.fields, T.StructField(VERSION, T.LongType())])
     reader = spark.read.schema(stored).option("basePath", f"{path}/data")
     if head.base:
-        live = [f for n, f in _numbered(spark, f"{path}/data", f"{VERSION}=") if head.base <= n <= head.version]
+        live = [f for n, f in numbered_folders(spark, f"{path}/data", f"{VERSION}=") if head.base <= n <= head.version]
         data = reader.parquet(*live)
     else:
         data = reader.parquet(f"{path}/data")
