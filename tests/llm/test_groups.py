@@ -202,3 +202,12 @@ def test_neighbours_of_nothing(spark):
     assert ann.nearest(empty, 50, 5).count() == 0
     one = spark.createDataFrame([(0, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert ann.nearest(one, 50, 5).count() == 0
+
+
+def test_very_large_and_very_small_vectors_take_part(spark):
+    data = [(0, [1e200, 1e200]), (50, [1e-200, 0.0]), (3, [1.0, 1.1]), (4, [5e-324, 0.0]), (5, [0.0, 0.0]), (6, [1e308, -1e308])]
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<double>").coalesce(1)
+    got = {(r.query_id, r.rank): (r.vec_id, round(r.score, 6)) for r in ann.nearest(rows, every=50, k=2).collect()}
+    assert got == {
+        (0, 1): (3, 0.998868), (0, 2): (4, 0.707107), (50, 1): (4, 1.0), (50, 2): (0, 0.707107)
+    }

@@ -45,6 +45,16 @@ FINAL = 24
 SEED = 7
 
 
+def scaled(vector: np.ndarray) -> np.ndarray:
+    """The vector with 1 as its largest magnitude, so that squares neither overflow nor vanish."""
+    return vector / np.abs(vector).max()
+
+
+def directed(vector: np.ndarray) -> np.ndarray:
+    held = scaled(vector)
+    return held / np.linalg.norm(held)
+
+
 def usable(rows: DataFrame) -> DataFrame:
     """vec_id, vector (doubles as bytes), digest, unit (half-precision bytes) of the vectors that take part."""
 
@@ -53,10 +63,10 @@ def usable(rows: DataFrame) -> DataFrame:
             if vec_id is None or not values or any(x is None for x in values):
                 continue
             vector = np.array(values, dtype=np.float64)
-            size = np.linalg.norm(vector)
-            if np.isfinite(vector).all() and 0 < size < np.inf:
+            if np.isfinite(vector).all() and vector.any():
                 raw = vector.tobytes()
-                yield vec_id, raw, hashlib.blake2b(raw, digest_size=16).digest(), (vector / size).astype("<f2").tobytes()
+                direction = directed(vector).astype("<f2").tobytes()
+                yield vec_id, raw, hashlib.blake2b(raw, digest_size=16).digest(), direction
 
     fields = "vec_id long, vector binary, digest binary, unit binary"
     read = arrow_map(rows.select(F.col("vec_id").cast("long"), "embedding"), checked, fields)
@@ -230,7 +240,7 @@ def nearest(rows: DataFrame, every: int, k: int) -> DataFrame:
 
     def scored(found: Iterator[tuple]) -> Iterable[tuple]:
         for query, vec_id, mine, theirs in found:
-            a, b = np.frombuffer(mine), np.frombuffer(theirs)
+            a, b = scaled(np.frombuffer(mine)), scaled(np.frombuffer(theirs))
             yield query, vec_id, float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
 
     exact = arrow_map(pairs, scored, "query_id long, vec_id long, score double", 8192)
