@@ -24,11 +24,15 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import U64, arrow_map, materialise, mixed
 
-#: At most so many labelled rows are fitted on, those with the smallest id hashes.
+#: At most so many labelled rows are fitted on: toxic ones first, up to half of it, then
+#: others, each by the smallest id hashes. Their weights restore the shares of all labels.
 SAMPLE_ROWS = 10_000
+#: What a toxic row weighs beyond that: misses are dearer than false alarms.
+TOXIC_WEIGHT = 2.0
 ORDERS = (3, 4, 5)
 BITS = 20
-#: Features kept for the regression.
+#: Features kept for the regression: so many per toxic row of the sample, and at most.
+KEPT_PER_ROW = 3
 KEPT = 1 << 12
 SMOOTHING = 1.0
 RIDGE = 1e-3
@@ -62,18 +66,26 @@ def features(text: str | None) -> np.ndarray:
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, dtype=np.int64)
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic of at most ``SAMPLE_ROWS`` labelled rows outside the held-out fold.
-
-    The sample of ids is bounded, so it can go to every task and the documents stay where they are.
-    """
-    ids = (
+def labelled(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic (1 or 0) of the labels that may be learnt from."""
+    return (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_ROWS)
+        .agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     )
+
+
+def sample(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text, toxic of at most ``SAMPLE_ROWS`` rows of ``known``.
+
+    The sample of ids is bounded, so it can go to every task and the documents stay where they are.
+    """
+
+    def first(toxic: int, n: int) -> DataFrame:
+        return known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+    bad = first(1, SAMPLE_ROWS // 2)
+    ids = bad.union(first(0, SAMPLE_ROWS - bad.count()))
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")
 
 
@@ -95,7 +107,8 @@ def class_counts(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = materialise(sample(docs, labels), "labelled")
+    known = materialise(labelled(labels), "labels")
+    rows = materialise(sample(docs, known), "labelled")
     total, bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("toxic") != 0, 1)), F.lit(0))).first()
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if not 0 < bad < total:
@@ -105,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         F.abs(F.col("toxic") / bad - (F.col("n") - F.col("toxic")) / good)
         / F.sqrt(F.col("n") / total * (1 - F.col("n") / total) + F.lit(1.0 / total))
     )
-    counts = class_counts(rows).where("n >= 3").orderBy(apart.desc(), "feature").limit(KEPT).collect()
+    counts = class_counts(rows).where("n >= 3").orderBy(apart.desc(), "feature").limit(min(KEPT, KEPT_PER_ROW * bad)).collect()
     if not counts:
         return Model(weights, float(np.log(bad / good)))
     kept = np.array([c.feature for c in counts])
@@ -124,21 +137,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     chosen = arrow_map(rows, present, "toxic int, held binary").collect()
     columns = [np.frombuffer(bytes(r.held), dtype="<i4") for r in chosen]
-    betas, intercept = regress(columns, np.array([r.toxic for r in chosen], dtype=float), ratios)
+    toxic = np.array([r.toxic for r in chosen], dtype=float)
+    all_bad, all_good = known.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
+    weighed = np.where(toxic > 0, TOXIC_WEIGHT * all_bad / bad, all_good / good)
+    betas, intercept = regress(columns, toxic, ratios, weighed / weighed.sum())
     weights[kept] = betas * ratios
     return Model(weights, intercept)
 
 
-def regress(columns: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on log-count ratios, by Adam steps over all rows of the sample."""
+def regress(
+    columns: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, weighed: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Logistic regression on log-count ratios, by Adam steps over all rows of the sample; ``weighed`` adds up to 1."""
     lengths = np.array([len(c) for c in columns])
     column, row = np.concatenate(columns), np.repeat(np.arange(len(columns), dtype=np.int32), lengths)
     rows, width = len(columns), len(ratios)
-    betas, intercept = np.zeros(width), float(np.log(toxic.mean() / (1 - toxic.mean())))
+    betas, intercept = np.zeros(width), float(np.log(weighed @ toxic / (weighed @ (1 - toxic))))
     moment, square = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
         margin = np.bincount(row, weights=(ratios * betas)[column], minlength=rows) + intercept
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) / rows
+        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) * weighed
         gradient = np.append(
             ratios * np.bincount(column, weights=error[row], minlength=width) + RIDGE * betas, error.sum()
         )
