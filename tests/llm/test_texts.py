@@ -119,6 +119,19 @@ THREAD = "<ol class=comment-list>" + f"<li><article class=comment-body><p>{LONG[
         (f"<article><p>Text of it.</p></article>{THREAD}", "Text of it."),
         (f"<div class='site-header'>S</div>{SIDE}<div class='Main_Nav'>M</div><p>{LONG[3]}</p><p>x <b class=ad-300x250>buy</b> y</p>", f"{LONG[3].strip()} x y"),
         (f"<article>{BODY}<div class='entry-share social-links'>Tell</div><p class=post-comments>9</p></article>", WHOLE),
+        *(
+            (f"<article>{BODY}<div class={name}><p>me too</p></div></article>", WHOLE)
+            for name in (
+                "user-comments", "reader-comments", "fb-comments", "commentSection", "inline-ad", "adBanner",
+                "gdpr-notice", "site-notice", "notice", "sponsoredBox", "ad-2",
+            )
+        ),
+        # Names that only hold such a word, or say what an element has or lacks.
+        *(
+            (f"<article>{BODY}<div class={name}><p>It stays.</p></div></article>", f"{WHOLE} It stays.")
+            for name in ("ad-free-reading", "no-comments", "has-ads", "comment-free-zone", "notice-period-table", "public-notice", "market-share")
+        ),
+        (f"<div class=notice><h1>T</h1>{BODY}</div>{SIDE}", f"T {WHOLE}"),
     ],
 )
 def test_main_text_and_names_of_boilerplate(page, text):

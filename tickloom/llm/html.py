@@ -74,6 +74,15 @@ PLAIN = frozenset(
     "section sense signup site slot sticky stories sub tab tabs tags text thread title toggle tools top twitter unit "
     "view whatsapp widgets wrap wrapper youtube".split()
 )
+#: Words that decide by themselves what a name says, whatever stands before them, if only words of layout follow.
+HEADS = frozenset("ad ads comment comments commentlist disqus newsletter".split())
+HEAD_STEMS = ("advert", "sponsor")
+NOTICES = frozenset("notice notices".split())
+#: Notices that are a text of their own.
+OF_NOTICE = frozenset("legal public copyright".split())
+#: Words that say what an element has or lacks, not what it is.
+HAVING = frozenset("has have having is no not with without".split())
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 SIZE = re.compile(r"\d+(?:x\d+)?")
 #: Words that may stand before others, and then say what the element belongs to.
 OF_ARTICLE = frozenset("article entry post story".split())
@@ -86,14 +95,29 @@ def is_foreign(word: str) -> bool:
     return word in FOREIGN or word.startswith(FOREIGN_STEMS)
 
 
+def head_of(words: list[str]) -> str:
+    """The last word of a name that is not one of layout; "" for names that say what an element has."""
+    if HAVING.intersection(words):
+        return ""
+    for word in reversed(words):
+        if word in NOTICES or not (word in PLAIN or word in LAYOUT or word in OWN or SIZE.fullmatch(word)):
+            return word
+    return ""
+
+
 @lru_cache(1 << 12)
 def named_boilerplate(names: str, in_article: bool) -> str:
     """Whether class or id names say boilerplate: "" (no), "layout" or "foreign"."""
     kind = ""
-    for name in names.lower().split():
-        words = [w for w in NAME_PARTS.split(name) if w]
+    for name in names.split():
+        words = [w for w in NAME_PARTS.split(CAMEL.sub("-", name).lower()) if w]
         of_article = len(words) > 1 and words[0] in OF_ARTICLE
         words = words[of_article:]
+        head = head_of(words)
+        if head in HEADS or head.startswith(HEAD_STEMS):
+            return "foreign"
+        if head in NOTICES and not OF_NOTICE.intersection(words):
+            kind = "layout"
         if not all(w in LAYOUT or w in OWN or w in PLAIN or SIZE.fullmatch(w) or is_foreign(w) for w in words):
             continue
         if any(map(is_foreign, words)):
