@@ -143,18 +143,20 @@ def bar_view(spark, sf_dir):
     return tidy(serving.bar_view(curated(spark, sf_dir)))
 
 
-@query(f"WITH {TICKS} SELECT ticker, price, size, event_time FROM ticks")
+@query(f"""WITH {TICKS} SELECT ticker, price, size, event_time,
+  strftime(kafka_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS kafka_timestamp FROM ticks""")
 def tick_view(spark, sf_dir):
-    return serving.tick_view(ticks(spark, sf_dir)).drop("kafka_timestamp")
+    stamp = F.date_format("kafka_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return serving.tick_view(ticks(spark, sf_dir)).withColumn("kafka_timestamp", stamp)
 
 
 @query(
-    f"""WITH {CURATED} SELECT "Ticker", "Date",
-  CASE WHEN "Close" < 20000 THEN NULL ELSE "Close" END AS "Close" FROM curated"""
+    f"""WITH {LATEST_BARS} SELECT {OHLCV.replace('"Close"', 'CASE WHEN "Close" < 20000 THEN NULL ELSE "Close" END AS "Close"')},
+  ingested_at_utc FROM bars"""
 )
 def json_safe(spark, sf_dir):
     missing = F.when(F.col("Close") < 20000, F.lit(float("nan"))).otherwise(F.col("Close"))
-    return C.json_safe(bars(spark, sf_dir).select("Ticker", "Date", missing.alias("Close")))
+    return C.json_safe(bars(spark, sf_dir).withColumn("Close", missing))
 
 
 @query(f"WITH {LATEST_BARS} SELECT {OHLCV} FROM bars")
@@ -198,9 +200,9 @@ def move_violations(spark, sf_dir):
     return checks.move_violations(rows, order=["event_time", "event_id"]).drop("event_time")
 
 
-@query(f"WITH {CURATED} SELECT \"Ticker\", \"Date\", \"Close\" FROM curated")
+@query(f"WITH {CURATED} SELECT {OHLCV}, ingested_at_utc, {ROUNDED} FROM curated ORDER BY \"Ticker\", \"Date\"")
 def order_curated(spark, sf_dir):
-    return I.order_curated(bars(spark, sf_dir).select("Ticker", "Date", "Close"))
+    return I.order_curated(tidy(curated(spark, sf_dir)))
 
 
 @query(
