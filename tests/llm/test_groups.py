@@ -116,6 +116,38 @@ def test_repeated_passages_equal_all_windows(spark):
         assert hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest() == got[r.doc_id][2]
 
 
+def test_automata_report_every_place_and_the_windows_around():
+    rng = random.Random(6)
+    words = [bytes([rng.choice(b"abc")]) for _ in range(400)]
+    phrases = {tuple(words[i : i + 10]) for i in (3, 77, 78, 200, 390)}
+    shard = repeats.Shard()
+    assert not len(shard.places(words))
+    for phrase in phrases:
+        shard.add(list(phrase))
+    other = [*words[60:120], b"?", *words[195:215], *words[3:13]]
+    for text in (words, other, other[:9], []):
+        places = [i for i in range(len(text) - 9) if tuple(text[i : i + 10]) in phrases]
+        assert shard.places(text).tolist() == places
+        windows = [s for s in range(len(text) - 49) if any(s <= p <= s + 40 for p in places)]
+        if len(text) >= 50:
+            assert repeats.around(np.array(places, dtype=np.int64), len(text)).tolist() == windows
+
+
+def test_a_passage_of_most_rows_is_hot_and_joined_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3_000)]
+    passage = rng.choices(words, k=90)
+    rows = [(i, " ".join([*rng.choices(words, k=i % 40), *passage[i % 7 :], *rng.choices(words, k=9)])) for i in range(150)]
+    rows += [(i, " ".join(rng.choices(words, k=60))) for i in range(150, 180)]
+    rows += [(200, rows[160][1] + " end"), (201, rows[160][1] + " stop")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot, chars in ((1, 4 << 20), (50, 2_000), (10_000, 500)):  # no key, the passage, every key is hot
+        monkeypatch.setattr(repeats, "HOT", hot)
+        monkeypatch.setattr(repeats, "SHARD_CHARS", chars)
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in repeats.summary(docs).collect()}
+        assert got == cut(rows)
+
+
 def test_repeated_passages_of_odd_rows(odd, none):
     rows = repeats.summary(odd).collect()
     assert len(rows) == odd.count() and not any(r.n_removed for r in rows)

@@ -2,12 +2,14 @@
 
 A passage is a run of ``WINDOW`` words. From every window the phrase of
 ``PHRASE`` words with the smallest hash is picked, so equal windows pick equal
-phrases; phrases picked in two or more documents are confirmed as recurring.
-Documents that hold some are dealt to shards. A shard compiles an automaton over
-the words of just the phrases that its documents hold, streams the documents
-through it and gets every place of a phrase; the windows around these places are
-then compared over all documents by 128-bit hashes. A word goes if a window that
-covers it also starts in a document with a smaller id.
+phrases; phrases picked in two or more documents are confirmed as recurring, and the
+text that holds one first supplies its words. A document without such a phrase holds
+no repeated window. The others are dealt to shards of about ``SHARD_CHARS`` characters
+by a hash, and each confirmed phrase goes to the shards whose documents pick it. A shard compiles
+an automaton over the words of its phrases, streams its documents through it and gets
+every place of a phrase; all windows around these places are then compared over all
+documents by 128-bit hashes. A word goes if a window that covers it also starts in a
+document with a smaller id.
 
 Documents of equal words are compared once: all but the smallest id lose every
 word if they hold a window at all. So a large group of copies costs nothing, and
@@ -22,16 +24,22 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import U64, WordHashes, arrow_map, batches, clear_of, materialise, run_hashes
+from tickloom.llm.common import WordHashes, arrow_map, clear_of, materialise, run_hashes
 
 WINDOW = 50
 PHRASE = 10
+#: Characters of the documents of a shard.
+SHARD_CHARS = 4 << 20
+#: A key is hot if it holds more than one in this many rows.
+HOT = 10_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -73,70 +81,115 @@ def described(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), rows, fields)
 
 
+def sharing(rows: DataFrame, counted: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` joined to ``counted``, whose ``n`` tells how many of the ``total`` rows have a key.
+
+    Keys that hold more than one in ``HOT`` rows are sent to all tasks, fewer than ``HOT``
+    keys by arithmetic; so the rows of a hot key stay where they are.
+    """
+    hot = F.broadcast(counted.where(F.col("n") > total // HOT))
+    rest = counted.where(F.col("n") <= total // HOT)
+    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(rest, keys)).drop("n")
+
+
+def seen_in_two(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, ``low`` (smallest doc_id) and ``n`` (rows) of the keys that two documents hold."""
+    low, high = F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    return rows.groupBy(*keys).agg(low, high, F.count("*").alias("n")).where("low != high").drop("high")
+
+
 def recurring(nodes: DataFrame) -> DataFrame:
-    """doc_id, digest and the phrases that another document holds as well."""
+    """doc_id, digest, the phrases that another document holds as well, and those first held here."""
     held = nodes.select("doc_id", "digest", F.explode("phrases").alias("phrase"))
-    shared = (
-        held.groupBy("phrase")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .where("low != high")
-        .select("phrase")
+    total = nodes.agg(F.coalesce(F.sum(F.size("phrases")), F.lit(0))).first()[0]
+    shared = materialise(seen_in_two(held, ["phrase"]), "phrases")
+    return sharing(held, shared, ["phrase"], total).groupBy("doc_id", "digest").agg(
+        F.collect_list("phrase").alias("phrases"),
+        F.collect_list(F.when(F.col("doc_id") == F.col("low"), F.col("phrase"))).alias("first"),
     )
-    return held.join(shared, "phrase").groupBy("doc_id", "digest").agg(F.collect_list("phrase").alias("phrases"))
+
+
+def confirmed(holders: DataFrame) -> DataFrame:
+    """phrase, words of each recurring phrase, from the text that holds it first."""
+
+    def rows(found: Iterator[tuple]) -> Iterable[tuple]:
+        memory = WordHashes()
+        for text, digest, wanted in found:
+            words = words_of(text)
+            if digest_of(words) == bytes(digest):  # not another text under the same id
+                hashes = run_hashes(memory.of(words), PHRASE).view(np.int64)
+                places = np.flatnonzero(np.isin(hashes, np.array(wanted, dtype=np.int64)))
+                values, first = np.unique(hashes[places], return_index=True)
+                for value, at in zip(values.tolist(), places[first].tolist(), strict=True):
+                    yield value, b" ".join(words[at : at + PHRASE]).decode()
+
+    owners = holders.where(F.size("first") > 0).select("text", "digest", "first")
+    found = arrow_map(owners, rows, "phrase long, words string")
+    return found.groupBy("phrase").agg(F.min("words").alias("words"))  # texts under one id may share one
 
 
 class Shard:
-    """An automaton over the word sequences of phrases, for the documents of a shard."""
+    """An automaton over the word sequences of confirmed phrases."""
 
-    def __init__(self, documents: list[tuple[list[bytes], np.ndarray, np.ndarray]]):
-        """``documents``: words, word hashes, hashes of the confirmed phrases."""
+    def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        for words, hashes, confirmed in documents:
-            starts = np.unique(picked(hashes))
-            phrases = run_hashes(hashes, PHRASE)[starts]
-            for at in starts[np.isin(phrases, confirmed)].tolist():
-                self.automaton.add_word(self.numbered(words[at : at + PHRASE]))
-        if len(self.automaton):
-            self.automaton.make_automaton()
 
-    def numbered(self, words: list[bytes]) -> tuple[int, ...]:
-        return tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in words)
+    def add(self, words: list[bytes]) -> None:
+        self.automaton.add_word(tuple([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]))
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Starts of all phrases in a document."""
         if not len(self.automaton):
             return np.empty(0, dtype=np.int64)
+        if self.automaton.kind != ahocorasick.AHOCORASICK:
+            self.automaton.make_automaton()
         get = self.numbers.get
         ends = [end for end, _ in self.automaton.iter(tuple([get(w, 0) for w in words]))]
         return np.array(ends, dtype=np.int64) - (PHRASE - 1)
 
 
+def around(places: np.ndarray, n_words: int) -> np.ndarray:
+    """Starts of the windows that hold a phrase found at one of ``places``."""
+    n = n_words - WINDOW + 1
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, np.clip(places - (WINDOW - PHRASE), 0, n), 1)
+    np.add.at(edge, np.clip(places + 1, 0, n), -1)
+    return np.flatnonzero(np.cumsum(edge)[:-1] > 0)
+
+
 def candidate_windows(phrases: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, digest, start, h1, h2 of the windows whose picked phrase recurs."""
+    """doc_id, digest and starts and hashes (h1, h2) of the windows around confirmed phrases."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(phrases, "doc_id")
+    holders = materialise(texts, "holders")
+    n = -(-holders.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // SHARD_CHARS) or 1
+    placed = holders.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(n)))
+    dealt = placed.select("shard", F.explode("phrases").alias("phrase")).distinct()
+    patterns = dealt.join(confirmed(holders), "phrase").select(
+        "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"),
+        F.lit(None).cast("binary").alias("digest"), F.col("words").alias("text"),
+    )
+    stream = placed.select("shard", F.lit(1).alias("kind"), "doc_id", "digest", "text")
 
     def rows(found: Iterator[tuple]) -> Iterable[tuple]:
         memory = WordHashes()
-        reordered = ((row, row[1]) for row in found)
-        for group in batches(reordered):
-            members = []
-            for (doc_id, text, digest, confirmed), _ in group:
+        for _, part in groupby(found, key=itemgetter(0)):
+            shard = Shard()
+            for _, kind, doc_id, digest, text in part:
                 words = words_of(text)
-                if digest_of(words) == bytes(digest):  # not another text under the same id
-                    hashes = memory.of(words)
-                    members.append((doc_id, digest, words, hashes, np.array(confirmed, dtype=np.int64).view(U64)))
-            shard = Shard([m[2:] for m in members])
-            for doc_id, digest, words, hashes, _ in members:
-                starts = np.flatnonzero(np.isin(picked(hashes), shard.places(words)))
-                first, second = (run_hashes(hashes, WINDOW, seed)[starts].view(np.int64).tolist() for seed in (0, 77))
-                yield doc_id, digest, starts.tolist(), first, second
-
+                if kind == 0:
+                    shard.add(words)
+                elif digest_of(words) == bytes(digest):
+                    starts = around(shard.places(words), len(words))
+                    if len(starts):
+                        hashes = memory.of(words)
+                        first, second = (run_hashes(hashes, WINDOW, seed)[starts].view(np.int64) for seed in (0, 77))
+                        yield doc_id, digest, starts, first, second
+
+    # Phrases of a shard come ahead of its documents, so these are streamed.
+    sorted_rows = patterns.unionByName(stream).repartition("shard").sortWithinPartitions("shard", "kind")
     fields = "doc_id long, digest binary, start array<int>, h1 array<long>, h2 array<long>"
-    found = arrow_map(texts, rows, fields, rows=64)
-    return found.select("doc_id", "digest", F.explode(F.arrays_zip("start", "h1", "h2")).alias("w")).select(
-        "doc_id", "digest", "w.start", "w.h1", "w.h2"
-    )
+    return arrow_map(sorted_rows, rows, fields, rows=64)
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -148,15 +201,14 @@ def removals(docs: DataFrame) -> DataFrame:
         long.join(owners, "digest").where("doc_id = owner").select("doc_id", "digest", "phrases")
         .dropDuplicates(["digest"])
     )
-    windows = materialise(candidate_windows(recurring(nodes), docs), "windows")
-    first = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .where("low != high")
-        .select("h1", "h2", "low")
+    found = materialise(candidate_windows(recurring(materialise(nodes, "nodes")), docs), "windows")
+    total = found.agg(F.coalesce(F.sum(F.size("start")), F.lit(0))).first()[0]
+    windows = found.select("doc_id", "digest", F.explode(F.arrays_zip("start", "h1", "h2")).alias("w")).select(
+        "doc_id", "digest", "w.start", "w.h1", "w.h2"
     )
+    first = materialise(seen_in_two(windows, ["h1", "h2"]), "first")
     cuts = (
-        windows.join(first, ["h1", "h2"])
+        sharing(windows, first, ["h1", "h2"], total)
         .where("doc_id > low")
         .groupBy("doc_id", "digest")
         .agg(F.sort_array(F.collect_list("start")).alias("starts"))
