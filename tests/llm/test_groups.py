@@ -199,6 +199,23 @@ def test_archives_round_trip(spark):
         assert whole.count(b"WARC/1.1\r\n") >= 1
 
 
+def test_archives_are_bounded_by_bytes_and_still_match_their_sidecars(spark):
+    rng = random.Random(2)
+    rows = [(i, f"http://p/{i}", "".join(rng.choices("abcdefgh <>/", k=20_000))) for i in range(60)]
+    rows += [(100 + i, None, rows[i][2]) for i in range(10)] + [(5, "again", rows[5][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    streams, archives = scratch_path(spark, "streams"), scratch_path(spark, "warc")
+    warc.write_streams(pages, streams, stream_bytes=50_000)
+    sizes = [len(r.content) for r in read_cells(spark, streams).collect()]
+    assert len(sizes) > 8 and max(sizes) < 50_000 + 40_000
+    warc.normalise(spark, streams, archives)
+    assert read_cells(spark, f"{archives}/kind=warc").count() == len(sizes)
+    got = {(r.page_id, r.url, r.record_type, r.refers_to) for r in warc.read_records(spark, archives).collect()}
+    assert got == {
+        (i, u, *(("revisit", i + 100) if i < 10 else ("response", None))) for i, u, _ in rows
+    }
+
+
 def test_archives_of_nothing(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     streams, archives = scratch_path(spark, "streams"), scratch_path(spark, "warc")

@@ -7,16 +7,16 @@ that byte from the cell and lets the separator supply it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = "\0"
 
 
 def write_cells(df: DataFrame, path: str, *folders: str) -> None:
-    """Write the binary column ``value``, a file per task, below ``folders`` columns' values."""
+    """Write the binary column ``value``, a file per cell, below ``folders`` columns' values."""
     raw = df.withColumn("value", F.col("value").cast("string"))
-    raw.write.partitionBy(*folders).option("lineSep", END).text(path)
+    raw.write.partitionBy(*folders).option("lineSep", END).option("maxRecordsPerFile", 1).text(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
@@ -31,8 +31,3 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
         .where("length > 0")
         .select("path", "content")
     )
-
-
-def file_part(path: Column) -> Column:
-    """The task number in a file name; files that one task wrote share it."""
-    return F.regexp_extract(path, r"part-(\d+)", 1).cast("long")

@@ -1,8 +1,8 @@
 """WARC archives: pages to records, whole-file gzip streams to one member per record.
 
-``write_streams`` puts all records of a task into one gzip stream. ``normalise``
-inflates such a stream once, front to back, packs every record as a gzip member
-of its own and writes a sidecar beside each archive with a line per record:
+``write_streams`` puts the records of a task into gzip streams of about ``STREAM_BYTES``,
+a file each. ``normalise`` inflates such a stream once, front to back, packs every record
+as a gzip member of its own and writes a sidecar beside each archive with a line per record:
 offset, length, type, id and digest. ``read_records`` reads archives member by
 member and checks them against the sidecar and the payload digests.
 
@@ -23,13 +23,16 @@ import json
 import zlib
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.cells import file_part, read_cells, write_cells
+from tickloom.llm.cells import read_cells, write_cells
 from tickloom.llm.common import arrow_map
 
 REVISIT_BYTES = 0
+#: Bytes of a gzip stream at which the next one begins; a larger record has one alone.
+STREAM_BYTES = 64 << 20
 #: Bytes that are inflated or fed at a time.
 CHUNK = 1 << 20
 DATE = "2026-01-01T00:00:00Z"
@@ -134,8 +137,13 @@ def ended(gzip_bytes: bytes) -> bytes:
     return gzip_bytes[:-1] if gzip_bytes.endswith(b"\0") else gzip_bytes
 
 
-def write_streams(pages: DataFrame, path: str) -> None:
-    """Write ``pages`` (page_id, url, html) as archives of one gzip stream per task."""
+def archive_of(path: Column) -> Column:
+    """The number of an archive, which its sidecar shares."""
+    return F.regexp_extract(path, r"archive=(\d+)", 1).cast("long")
+
+
+def write_streams(pages: DataFrame, path: str, stream_bytes: int = STREAM_BYTES) -> None:
+    """Write ``pages`` (page_id, url, html) as archives of one gzip stream each."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         "url",
@@ -151,11 +159,16 @@ def write_streams(pages: DataFrame, path: str) -> None:
     linked = rows.join(keepers, "sha", "left").select("page_id", "url", "payload", "keeper")
 
     def streams(found: Iterator[tuple]) -> Iterable[tuple]:
-        packer, out = zlib.compressobj(1, zlib.DEFLATED, GZIP), []
+        packer, out, size = None, [], 0
         for page_id, url, payload, keeper in found:
             revisit = keeper is not None and page_id != keeper
+            packer = packer or zlib.compressobj(1, zlib.DEFLATED, GZIP)
             out.append(packer.compress(render(page_id, url, payload, keeper, revisit)))
-        if out:
+            size += len(out[-1])
+            if size >= stream_bytes:
+                yield (ended(b"".join([*out, packer.flush()])),)
+                packer, out, size = None, [], 0
+        if packer:
             yield (ended(b"".join([*out, packer.flush()])),)
 
     write_cells(arrow_map(linked, streams, "value binary", rows=1), path)
@@ -164,13 +177,14 @@ def write_streams(pages: DataFrame, path: str) -> None:
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite archives of whole-file gzip streams as one member per record, with a sidecar.
 
-    ``target`` gets kind=warc and kind=index; files of equal part numbers belong
-    together. An index file is gzipped JSON lines.
+    ``target`` gets kind=warc and kind=index with a folder per archive; equal archive
+    numbers belong together. An index file is gzipped JSON lines.
     """
 
     def rewritten(found: Iterator[tuple]) -> Iterable[tuple]:
-        members, lines, at = [], [], 0
-        for _, content in found:
+        task = TaskContext.get().partitionId()
+        for nth, (_, content) in enumerate(found):
+            members, lines, at = [], [], 0
             for headers, raw in records(inflated(content)):
                 packer = zlib.compressobj(6, zlib.DEFLATED, GZIP)
                 member = packer.compress(raw) + packer.flush()
@@ -184,13 +198,15 @@ def normalise(spark: SparkSession, source: str, target: str) -> None:
                 lines.append(json.dumps(entry).encode() + b"\n")
                 members.append(member)
                 at += len(member)
-        if members:
-            packer = zlib.compressobj(6, zlib.DEFLATED, GZIP)
-            index = packer.compress(b"".join(lines)) + packer.flush()
-            yield "warc", ended(b"".join(members))
-            yield "index", ended(index)
+            if members:
+                archive = (task << 32) + nth
+                packer = zlib.compressobj(6, zlib.DEFLATED, GZIP)
+                index = packer.compress(b"".join(lines)) + packer.flush()
+                yield "warc", archive, ended(b"".join(members))
+                yield "index", archive, ended(index)
 
-    write_cells(arrow_map(read_cells(spark, source), rewritten, "kind string, value binary", rows=1), target, "kind")
+    fields = "kind string, archive long, value binary"
+    write_cells(arrow_map(read_cells(spark, source), rewritten, fields, rows=1), target, "kind", "archive")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -202,7 +218,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 e = json.loads(line)
                 yield part, e["offset"], e["length"], e["type"], e["id"], e["digest"]
 
-    files = read_cells(spark, f"{path}/kind=index").select(file_part(F.col("path")), "content")
+    files = read_cells(spark, f"{path}/kind=index").select(archive_of(F.col("path")), "content")
     return arrow_map(files, lines, "part long, offset long, length long, type string, id string, digest string")
 
 
@@ -248,7 +264,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     digest, kind, page_of(refers) if refers else None, headers["warc-record-id"],
                 )
 
-    files = read_cells(spark, f"{path}/kind=warc").select(file_part(F.col("path")), "content")
+    files = read_cells(spark, f"{path}/kind=warc").select(archive_of(F.col("path")), "content")
     fields = (
         "part long, offset long, length long, page_id long, url string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to long, id string"
