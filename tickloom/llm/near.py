@@ -51,7 +51,10 @@ DEVIATIONS = 5.5
 BEST = 3
 LOOK_BACK = 3
 #: Shingles of texts that a task remembers while it confirms pairs.
-HELD_SHINGLES = 1 << 21
+HELD_SHINGLES = 1 << 20
+#: Rows that go to a Python worker at a time; texts may be long, and pairs carry two.
+BATCH_ROWS = 512
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PASSES = 3
 #: Minima of the longer signatures.
 FINE_MINIMA = 1024
@@ -63,6 +66,17 @@ FACTORS = _RANDOM.integers(0, 1 << 63, FINE_MINIMA, dtype=np.uint64) * U64(2) +
 OFFSETS = _RANDOM.integers(0, 1 << 63, FINE_MINIMA, dtype=np.uint64)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` and read it back, with small Arrow batches meanwhile, so that few texts are in memory at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(ARROW_ROWS)
+    conf.set(ARROW_ROWS, BATCH_ROWS)
+    try:
+        return materialise(df, name)
+    finally:
+        conf.set(ARROW_ROWS, before)
+
+
 def shingle_set(text: str | None, hashes: WordHashes, size: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; fewer words than ``size`` are one shingle."""
     words = hashes.of((text or "").encode().lower().split())
@@ -181,7 +195,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) ->
 
     ``texts`` has (id, text) of every id in ``pairs``, and may have others.
     """
-    pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
+    pairs = written(pairs.select("a", "b").distinct(), "pairs")
     rights = likely(texts, "id", pairs.select("b")).withColumnsRenamed({"id": "b", "text": "right"})
     lefts = likely(texts, "id", pairs.select("a")).withColumnsRenamed({"id": "a", "text": "left"})
 
@@ -190,11 +204,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) ->
 
         def set_of(text: str) -> np.ndarray:
             nonlocal size_held
-            if (found := held.get(text)) is None:
+            key = hashlib.blake2b((text or "").encode(), digest_size=16).digest()
+            if (found := held.get(key)) is None:
                 if size_held > HELD_SHINGLES:
                     held.clear()
                     size_held = 0
-                found = held[text] = shingle_set(text, hashes, size)
+                found = held[key] = shingle_set(text, hashes, size)
                 size_held += len(found)
             return found
 
@@ -205,7 +220,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) ->
 
     both = pairs.join(rights, "b").join(lefts, "a").select("a", "b", "left", "right")
     rows = arrow_map(both, measured, "a long, b long, linked boolean")
-    return materialise(rows.groupBy("a", "b").agg(F.max("linked").alias("linked")), "confirmed")
+    return written(rows.groupBy("a", "b").agg(F.max("linked").alias("linked")), "confirmed")
 
 
 def fine_signatures(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -218,7 +233,7 @@ def fine_signatures(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
     rows = arrow_map(likely(texts, "id", ids), signed, ", ".join(["node long", *[f"{f} long" for f in FINE]]))
     # The texts of a node have one set, so the rows of a node are equal.
-    return materialise(rows.dropDuplicates(["node"]), "fine-signatures")
+    return written(rows.dropDuplicates(["node"]), "fine-signatures")
 
 
 def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, agree: int) -> DataFrame:
@@ -234,9 +249,9 @@ def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, ag
         .where("parts > 1")
         .select("bucket", "largest")
     )
-    open_ = materialise(members.select("bucket", "node", "part").join(mixed_buckets, "bucket"), "open-buckets")
+    open_ = written(members.select("bucket", "node", "part").join(mixed_buckets, "bucket"), "open-buckets")
     fine = fine_signatures(open_.select("node"), texts, size)
-    open_ = materialise(open_.join(nodes.select("node", "keys"), "node").join(fine, "node"), "open-members")
+    open_ = written(open_.join(nodes.select("node", "keys"), "node").join(fine, "node"), "open-members")
     few, every = open_.where("part != largest").alias("x"), open_.alias("y")
     first = F.expr("get(filter(x.keys, k -> array_contains(y.keys, k)), 0) = x.bucket")
     return few.join(
@@ -277,10 +292,10 @@ class Groups(NamedTuple):
 
 
 def groups(docs: DataFrame, size: int, similarity: int) -> Groups:
-    signed = materialise(signatures(docs, size), "signatures")
+    signed = written(signatures(docs, size), "signatures")
     known = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     spread = known.groupBy("doc_id").agg(F.min("digest").alias("keeper"), F.max("digest").alias("last"))
-    repeated = materialise(spread.where("keeper != last").select("doc_id", "keeper"), "repeated-ids")
+    repeated = written(spread.where("keeper != last").select("doc_id", "keeper"), "repeated-ids")
     if repeated.isEmpty():
         repeated = None
     # A node is a set, named by its smallest id; the further sets of an id get names of their own.
@@ -292,11 +307,11 @@ def groups(docs: DataFrame, size: int, similarity: int) -> Groups:
         equal = equal.join(repeated.withColumnRenamed("doc_id", "id"), "id", "left").select(
             "digest", "id", F.when(further, F.xxhash64("id", "digest")).otherwise(F.col("id")).alias("node")
         )
-    equal = materialise(equal, "equal-sets")
-    nodes = materialise(
+    equal = written(equal, "equal-sets")
+    nodes = written(
         known.join(equal, "digest").where("doc_id = id").select("node", *SIGNATURE, "keys").distinct(), "nodes"
     )
-    members = materialise(bucket_members(nodes), "bucket-members")
+    members = written(bucket_members(nodes), "bucket-members")
     # The texts that any later step looks at; they are told apart without moving the others.
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     texts = likely(whole, "id", members.select("node"))
@@ -305,10 +320,10 @@ def groups(docs: DataFrame, size: int, similarity: int) -> Groups:
         theirs = digests(likely(whole, "id", several).join(several, "id", "left_semi"), size)
         own = theirs.join(equal, ["id", "digest"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
         texts = texts.join(several, "id", "left_anti").unionByName(own)
-    texts = materialise(texts, "texts")
+    texts = written(texts, "texts")
     labels, links = None, None
     for turn in range(PASSES + 1):
-        placed = materialise(in_parts(members, labels), "placed")
+        placed = written(in_parts(members, labels), "placed")
         if turn < PASSES:
             pairs = best_of(adjacent(placed, turn, least_agreeing(similarity, MINIMA)))
         else:
@@ -332,11 +347,11 @@ def near_duplicates(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     else:
         # Rows that share an id share all links; a component has the name of its smallest id.
         known = signed.where("digest IS NOT NULL").select("doc_id", "digest").distinct().join(repeated, "doc_id")
-        held = materialise(known.join(roots, "digest").select("doc_id", "root").distinct(), "roots-of-ids")
+        held = written(known.join(roots, "digest").select("doc_id", "root").distinct(), "roots-of-ids")
         least = held.groupBy("doc_id").agg(F.min("root").alias("b"))
         merged = components(held.join(least, "doc_id").select(F.col("root").alias("a"), "b"))
         merged = merged.select(F.col("node").alias("root"), F.col("root").alias("joined"))
-        roots = materialise(
+        roots = written(
             roots.join(merged, "root", "left").select("digest", "id", F.coalesce("joined", "root").alias("root")), "roots"
         )
         names = roots.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -357,7 +372,7 @@ def one_of_each(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     best = roots.groupBy("root").agg(F.min(F.struct("id", "digest")).alias("best"))
     firsts = roots.join(best, "root").select("digest", F.col("best.id").alias("_id"), F.col("best.digest").alias("_of"))
     first = F.col("digest").isNull() | ((F.col("doc_id") == F.col("_id")) & (F.col("digest") == F.col("_of")))
-    verdicts = materialise(
+    verdicts = written(
         signed.where("doc_id IS NOT NULL")
         .select("doc_id", "digest")
         .join(firsts, "digest", "left")
@@ -365,7 +380,7 @@ def one_of_each(docs: DataFrame, size: int, similarity: int) -> DataFrame:
         "verdicts",
     )
     by_id = verdicts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("any"))
-    by_id = materialise(by_id.where("n > 1 OR NOT any").select(F.col("doc_id").alias("_gone"), "any"), "ids-not-whole")
+    by_id = written(by_id.where("n > 1 OR NOT any").select(F.col("doc_id").alias("_gone"), "any"), "ids-not-whole")
     key = docs["doc_id"].cast("long")
     rest = docs.join(by_id.select("_gone"), key == F.col("_gone"), "left_anti")
     twice = by_id.where("any").select("_gone")
@@ -380,7 +395,7 @@ def one_of_each(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     chosen = keyed.join(kept, (F.col("doc_id") == F.col("_id")) & F.col("digest").eqNullSafe(F.col("_of"))).groupBy(
         "_id", "_of"
     ).agg(F.min("_key").alias("_chosen"))
-    chosen = materialise(chosen.select("_id", "_chosen"), "chosen-texts")
+    chosen = written(chosen.select("_id", "_chosen"), "chosen-texts")
     stays = (key == F.col("_id")) & (text_key == F.col("_chosen"))
     single = docs.join(chosen, stays).dropDuplicates(["_id", "_chosen"]).select(*[docs[c] for c in docs.columns])
     return rest.unionByName(single)
