@@ -345,3 +345,19 @@ def test_queries_visit_only_cells_that_can_hold_a_neighbour(spark, monkeypatch):
     assert got == brute(data, [(i, v) for i, v in data if i % 7 == 0], 3)
     visited = tables["further"].selectExpr("avg(size(cells)) AS n").first().n
     assert visited < 0.25 * tables["cells"].select("cell").distinct().count()
+
+
+def test_small_blocks_do_not_multiply_what_is_sent(spark, monkeypatch):
+    """Vectors all as far from each other: no cell is passed over, yet a query goes to a bounded number of rooms."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(600, 16))
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors / np.linalg.norm(vectors, axis=1)[:, None])]
+    held = spark.createDataFrame(data, "id long, embedding array<double>")
+    asked = held.where("id % 5 = 0").withColumnRenamed("id", "query_id")
+    tables, write = {}, neighbours.materialise
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name: tables.setdefault(name, write(df, name)))
+    got = {}
+    for r in neighbours.nearest(held, asked, 6, query_bytes=128, corpus_bytes=128).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
+    assert got == brute(data, [(i, v) for i, v in data if i % 5 == 0], 6)
+    assert tables["beyond"].count() <= 120 * 6 * (2 * 16 + 1)

@@ -6,9 +6,11 @@ hold ``k`` vectors; the k-th distance found there bounds what can still matter.
 the triangle inequality a cell whose vectors lie between radius ``least`` and
 ``most`` of its pivot holds nothing nearer than the pivot's distance less ``most``,
 or ``least`` less that distance; the query then visits just the cells that may hold
-something as near as the bound. Cells and their visitors are cut into blocks of
-bounded size, so a crowded cell is many tasks. Every block keeps ``k`` rows per
-query; no pair table is built.
+something as near as the bound. Cells that lie together share a room, a crowded cell
+is cut into several, and a query is sent once to each room with a cell it visits. So
+where no cell can be passed over, a row is copied once per room (or per turn of the
+queries), not once per cell. A row of the corpus keeps to one room, which returns
+``k`` rows per query; no pair table is built.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ MOST_PIVOTS = 4096
 #: Bytes of query vectors and of corpus vectors that meet in a task.
 QUERY_BYTES = 32 * 1024 * 1024
 CORPUS_BYTES = 128 * 1024 * 1024
+#: Parts that smaller blocks may cut the corpus, or the visitors of a room, into: a row is
+#: sent to all parts of the other side. Beyond, blocks grow up to the bytes above.
+MOST_PARTS = 16
+#: Queries of a room that are compared at once, with the cells that any of them visits.
+STRETCH = 512
 
 
 def _matrix(column, dimension: int):
@@ -77,6 +84,12 @@ def _best(queries, vectors, order, k: int):
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _numbers(df: DataFrame) -> DataFrame:
+    """``df`` with vectors of doubles; floats stay as they are, half as large, until they meet."""
+    floats = df.schema["embedding"].dataType == T.ArrayType(T.FloatType(), df.schema["embedding"].dataType.containsNull)
+    return df if floats else df.withColumn("embedding", F.col("embedding").cast("array<double>"))
+
+
 def _in_range(vectors: DataFrame, dimension: int) -> DataFrame:
     return vectors.filter(F.size("embedding") == dimension)
 
@@ -96,13 +109,59 @@ def _with(df: DataFrame, fields: str, make) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _shares(counts: dict[int, int], cells: int, rows: int) -> Column:
-    """Per cell, into how many blocks of ``rows`` its rows are dealt; no blocks where it has none."""
-    return F.array(*(F.lit(math.ceil(counts.get(c, 0) / rows)) for c in range(cells)))
+def _part_rows(asked_bytes: int, most_bytes: int, rows: int, row_bytes: int) -> int:
+    """Rows of a block of ``asked_bytes``, more where that makes over ``MOST_PARTS`` parts; never over ``most_bytes``."""
+    grown = min(most_bytes, math.ceil(rows / MOST_PARTS) * row_bytes)
+    return max(1, max(asked_bytes, grown) // row_bytes)
 
 
-def _counts(df: DataFrame) -> dict[int, int]:
-    return {r["cell"]: r["n"] for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _together(pivots) -> list[int]:
+    """The cells in an order in which near pivots stand together: halved again and again along the widest axis."""
+    import numpy as np
+
+    out, left = [], [np.arange(len(pivots))]
+    while left:
+        part = left.pop()
+        if len(part) <= 2:
+            out.extend(part.tolist())
+            continue
+        axis = np.ptp(pivots[part], axis=0).argmax()
+        part = part[np.argsort(pivots[part, axis], kind="stable")]
+        left += [part[len(part) // 2 :], part[: len(part) // 2]]
+    return out
+
+
+def _rooms(order: list[int], n: list[int], rows: int) -> tuple[list[int], list[int], int]:
+    """Per cell its first room and how many rooms it is dealt to, and the number of rooms, of some ``rows`` each."""
+    first, parts, room, held = [0] * len(n), [0] * len(n), 0, 0
+    for cell in order:
+        if not n[cell]:
+            continue
+        parts[cell] = math.ceil(n[cell] / rows)
+        if held and held + n[cell] > rows:
+            room, held = room + 1, 0
+        first[cell], held = room, held + n[cell]
+        if held >= rows:
+            room, held = room + parts[cell], 0
+    return first, parts, room + bool(held)
+
+
+def _lists(rows, values, count: int):
+    """Arrow lists of ``values`` by their ascending ``rows``, one list for each of ``count`` rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    offsets = np.searchsorted(rows, np.arange(count + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+
+def _flat(column):
+    """The row of every list element and the elements."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    return (np.asarray(pc.list_parent_indices(column)), column.flatten().to_numpy(zero_copy_only=False))
 
 
 def nearest(
@@ -119,14 +178,16 @@ def nearest(
     Vectors that are null or hold null or non-finite elements, and corpus rows without
     an id, take no part, nor do vectors, of either side, of another length than most of
     the corpus has; a query without an id is answered under the null id. The number of
-    pivots is the square root of the corpus rows, ``pivots`` at most.
+    pivots is the square root of the corpus rows, ``pivots`` at most. Blocks of
+    ``query_bytes`` and ``corpus_bytes`` meet in a task, larger ones where these would
+    make over ``MOST_PARTS`` parts.
     """
-    vectors = F.col("embedding").cast("array<double>").alias("embedding")
+    corpus, queries = _numbers(corpus), _numbers(queries)
     finite = F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     )
-    corpus = corpus.select("id", vectors).filter(F.col("id").isNotNull() & finite)
-    queries = queries.select("query_id", vectors).filter(finite)
+    corpus = corpus.select("id", "embedding").filter(F.col("id").isNotNull() & finite)
+    queries = queries.select("query_id", "embedding").filter(finite)
     lengths = corpus.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"))
     most = lengths.filter("size > 0").orderBy(F.desc("n"), F.desc("size")).first()
     if most is None:
@@ -159,49 +220,72 @@ def nearest(
         n[row["cell"]], least[row["cell"]], furthest[row["cell"]] = row["n"], row["least"], row["most"]
 
     def home(batch):
-        """The nearest cells that hold ``k`` rows together."""
+        """The nearest cells that hold ``k`` rows together, and the nearest of them."""
         import numpy as np
         import pyarrow as pa
 
+        held = np.array(n)
         away, _ = _distances(_matrix(batch.column("embedding"), dimension), shared.value)
-        by = np.argsort(np.where(np.array(n) > 0, away, np.inf), axis=1, kind="stable")
-        before = np.cumsum(np.array(n)[by], axis=1) - np.array(n)[by]
-        needed = (before < k) & (np.array(n)[by] > 0)
-        return (pa.array([row[take].tolist() for row, take in zip(by, needed, strict=True)], pa.list_(pa.int32())),)
+        by = np.argsort(np.where(held > 0, away, np.inf), axis=1, kind="stable")
+        before = np.cumsum(held[by], axis=1) - held[by]
+        at, place = np.nonzero((before < k) & (held[by] > 0))
+        return _lists(at, by[at, place], len(by)), pa.array(by[:, 0].astype(np.int32))
 
     def rest(batch):
-        """The other cells that may hold a row as near as the k-th of those found."""
+        """The cells that may hold a row as near as the k-th of those found."""
         import numpy as np
-        import pyarrow as pa
 
         away, slack = _distances(_matrix(batch.column("embedding"), dimension), shared.value)
         bound = np.sqrt(batch.column("reach").to_numpy(zero_copy_only=False)) + slack
         nearest_there = np.maximum(away - np.array(furthest), np.array(least) - away)
         open_ = (nearest_there <= bound[:, None] + slack[:, None]) & (np.array(n) > 0)
-        for row, visited in zip(open_, batch.column("cells").to_pylist(), strict=True):
-            row[visited] = False
-        return (pa.array([np.flatnonzero(row).tolist() for row in open_], pa.list_(pa.int32())),)
+        return (_lists(*np.nonzero(open_), len(open_)),)
 
     numbered = queries.withColumn("_q", F.monotonically_increasing_id())
-    asked = materialise(_with(numbered, "cells array<int>", home), "asked")
+    asked = materialise(_with(numbered, "cells array<int>, own int", home), "asked")
     row_bytes = 8 * dimension
-    blocks = _shares(dict(enumerate(n)), cells, max(1, corpus_bytes // row_bytes))
+    order = _together(chosen)
+    first, parts, rooms = _rooms(order, n, _part_rows(corpus_bytes, CORPUS_BYTES, sum(n), row_bytes))
     id_type = corpus.schema["id"].dataType
 
+    def stops(batch):
+        """Per room that holds a visited cell, these cells."""
+        import numpy as np
+        import pyarrow as pa
+
+        at, cell = _flat(batch.column("cells"))
+        shares = np.array(parts)[cell]
+        room = np.repeat(np.array(first)[cell], shares) + np.arange(shares.sum()) - np.repeat(np.cumsum(shares) - shares, shares)
+        at, cell = np.repeat(at, shares), np.repeat(cell, shares)
+        by = np.lexsort((cell, room, at))
+        at, room, cell = at[by], room[by], cell[by]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (at[1:] != at[:-1]) | (room[1:] != room[:-1])
+        visits = pa.StructArray.from_arrays(
+            [pa.array(room[new].astype(np.int32)), _lists(np.cumsum(new) - 1, cell, int(new.sum()))], names=["room", "visited"]
+        )
+        offsets = np.searchsorted(at[new], np.arange(batch.num_rows + 1)).astype(np.int32)
+        return (pa.ListArray.from_arrays(pa.array(offsets), visits),)
+
     def visit(visitors: DataFrame, name: str) -> DataFrame:
-        """(_q, id, distance): the ``k`` best rows of every block that a query visits in ``cells``."""
-        at_cell = visitors.select("_q", F.explode("cells").alias("cell"))
-        turns = _shares(_counts(at_cell), cells, max(1, query_bytes // row_bytes))
+        """(_q, id, distance): the ``k`` best rows of every room with a cell that a query visits."""
+        at_stops = _with(visitors.select("_q", "own", "embedding", "cells"), "stops array<struct<room:int,visited:array<int>>>", stops)
+        went = at_stops.select(F.explode("stops.room").alias("room")).groupBy("room").agg(F.count(F.lit(1)).alias("n"))
+        visits = {r["room"]: r["n"] for r in went.collect()}
+        turns = F.array(*(
+            F.lit(math.ceil(visits[r] / _part_rows(query_bytes, QUERY_BYTES, visits[r], row_bytes)) if r in visits else 0)
+            for r in range(rooms)
+        ))
         left = (
-            visitors.select("_q", "embedding", F.explode("cells").alias("cell"))
-            .withColumn("turn", F.pmod(F.xxhash64("_q"), F.get(turns, F.col("cell"))).cast("int"))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("cell")) - 1)))
+            at_stops.select("_q", "own", "embedding", F.explode("stops").alias("_stop"))
+            .select("_q", "own", "embedding", "_stop.room", "_stop.visited")
+            .withColumn("turn", F.pmod(F.xxhash64("_q"), F.get(turns, F.col("room"))).cast("int"))
         )
-        visits = F.get(turns, F.col("cell"))
+        dealt = F.pmod(F.xxhash64("id"), F.get(F.array(*map(F.lit, parts)), F.col("cell"))).cast("int")
         right = (
-            placed.filter(visits > 0)
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.get(blocks, F.col("cell"))).cast("int"))
-            .withColumn("turn", F.explode(F.sequence(F.lit(0), visits - 1)))
+            placed.withColumn("room", F.get(F.array(*map(F.lit, first)), F.col("cell")) + dealt)
+            .filter(F.get(turns, F.col("room")) > 0)
+            .withColumn("turn", F.explode(F.sequence(F.lit(0), F.get(turns, F.col("room")) - 1)))
             .drop("away")
         )
 
@@ -210,28 +294,43 @@ def nearest(
             import pyarrow as pa
             import pyarrow.compute as pc
 
-            ids = other.column("id").combine_chunks()
-            order = np.empty(len(ids), dtype=np.int64)
-            order[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-            q, near, distances = _best(
-                _matrix(one.column("embedding"), dimension), _matrix(other.column("embedding"), dimension), order, k
-            )
-            return pa.table(
-                {"_q": one.column("_q").combine_chunks().take(pa.array(q)), "id": ids.take(pa.array(near)),
-                 "distance": pa.array(distances)}
-            )
-
-        keys = ["cell", "block", "turn"]
+            ids, asking = other.column("id").combine_chunks(), one.column("_q").combine_chunks()
+            rank = np.empty(len(ids), dtype=np.int64)
+            rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+            vectors, cell = _matrix(other.column("embedding"), dimension), other.column("cell").to_numpy()
+            wanting = _matrix(one.column("embedding"), dimension)
+            at, wanted = _flat(one.column("visited"))
+            place = np.argsort(np.argsort(np.array(order))[one.column("own").to_numpy()], kind="stable")
+            stretch = np.empty(len(place), dtype=np.int64)
+            stretch[place] = np.arange(len(place)) // STRETCH
+            found = []
+            for i in range(math.ceil(len(place) / STRETCH) if len(ids) else 0):
+                some = place[i * STRETCH : (i + 1) * STRETCH]
+                seen = np.zeros(cells, dtype=bool)
+                seen[wanted[stretch[at] == i]] = True
+                rows = np.flatnonzero(seen[cell])
+                whole = len(rows) == len(cell)
+                q, near, distances = _best(
+                    wanting[some], vectors if whole else vectors[rows], rank if whole else rank[rows], k
+                )
+                found.append((some[q], rows[near], distances))
+            q, near, distances = (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([], [], [])
+            return pa.table({
+                "_q": asking.take(pa.array(q, pa.int64())),
+                "id": ids.take(pa.array(near, pa.int64())),
+                "distance": pa.array(distances, pa.float64()),
+            })
+
+        keys = ["room", "turn"]
         schema = T.StructType([
             T.StructField("_q", T.LongType()), T.StructField("id", id_type), T.StructField("distance", T.DoubleType())
         ])
         return materialise(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema), name)
 
-    order = [F.col("distance"), F.col("id")]
-    first = visit(asked, "near")
-    reached = ordering.top_n(first, ["_q"], order, k, "rank").groupBy("_q").agg(F.max("distance").alias("reach"))
-    going_on = _with(asked.join(reached, "_q"), "others array<int>", rest)
-    further = materialise(going_on.drop("cells", "reach").withColumnRenamed("others", "cells"), "further")
-    candidates = first.unionByName(visit(further, "beyond"))
-    ranked = ordering.top_n(candidates, ["_q"], order, k, "rank")
+    ranking = [F.col("distance"), F.col("id")]
+    near = visit(asked, "near")
+    reached = ordering.top_n(near, ["_q"], ranking, k, "rank").groupBy("_q").agg(F.max("distance").alias("reach"))
+    going_on = _with(asked.drop("cells").join(reached, "_q"), "cells array<int>", rest)
+    # Whatever lies within reach is met again, so the second visit alone holds the result.
+    ranked = ordering.top_n(visit(materialise(going_on.drop("reach"), "further"), "beyond"), ["_q"], ranking, k, "rank")
     return ranked.join(asked.select("_q", "query_id"), "_q").select("query_id", "rank", "id", "distance")
