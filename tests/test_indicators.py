@@ -146,3 +146,41 @@ def test_upper_median_per_key(spark):
         got = {r.k: r.upper_median for r in ordering.upper_median(df, "v", ["k"], fold_rows).collect()}
         assert got == {k: v[len(v) // 2] for k, v in want.items()}
     assert ordering.upper_median(df.where("false"), "v").collect() == []
+
+
+def _history(spark):
+    """A ticker of 400 bars, a null one of 30 and five of 12; two bars share a day now and then."""
+    made = [(t, n) for t, n in [("HOT", 400), (None, 30), *[(f"T{i}", 12) for i in range(5)]]]
+    data = [
+        (f"2026-{1 + d // 28 % 12:02d}-{1 + d % 28:02d}", t, float(100 + d * 7 % 13), f"run-{i:04d}")
+        for t, n in made
+        for i in range(n)
+        for d in [i * 3 // 4]
+    ]
+    return spark.createDataFrame(data, '"Date" string, Ticker string, Close double, ingested_at_utc string'.replace('"', "")).repartition(5)
+
+
+def _told(df):
+    return sorted((str(r.Ticker), r.Date, r.ingested_at_utc, r.SMA_20, r.SMA_50, r.daily_return, r.volatility_20d) for r in df.collect())
+
+
+def test_only_keys_of_several_blocks_are_numbered(spark, monkeypatch):
+    """Other keys are one block anyway; their rows are not written and shuffled again to find that out."""
+    bars, numbered, write = _history(spark), {}, ordering.materialise
+    monkeypatch.setattr(ordering, "materialise", lambda df, name: numbered.setdefault(name, write(df, name)))
+    plain = _told(indicators.indicators(bars, dedupe=False))
+    assert "numbered" not in numbered
+    numbered.clear()
+    assert _told(indicators.indicators(bars, dedupe=False, block_rows=60)) == plain
+    assert {r.Ticker for r in numbered["numbered"].select("Ticker").distinct().collect()} == {"HOT"}
+
+
+def test_bars_to_store_are_shuffled_once(spark, monkeypatch):
+    bars = _history(spark).localCheckpoint()
+    plain = _told(indicators.indicators(bars))
+    ranged = indicators.ranged_indicators(bars)
+    plan = ranged._jdf.queryExecution().sparkPlan().toString() + ranged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" in plan
+    assert _told(ranged) == plain
+    monkeypatch.setattr(ordering, "BLOCK_ROWS", 50)
+    assert _told(indicators.ranged_indicators(bars)) == plain

@@ -60,6 +60,19 @@ def indicators(bars: DataFrame, dedupe: bool = True, **blocks: int) -> DataFrame
     return ordering.over_history(bars, ["Ticker"], order, LONG_ROWS - 1, _all_indicators, **blocks)
 
 
+def ranged_indicators(bars: DataFrame) -> DataFrame:
+    """``indicators`` in the layout to store: ranges of tickers, each in the order of (ticker, day).
+
+    The ranges that the windows need are those that are stored, so bars are not shuffled
+    again. A ticker with more bars than a block keeps repeated ones out of its range first.
+    """
+    sizes = bars.groupBy("Ticker").agg(F.count(F.lit(1)).alias("n"))
+    crowded = not sizes.filter(F.col("n") > ordering.BLOCK_ROWS).isEmpty()
+    ranged = (latest_bars(bars) if crowded else bars).repartitionByRange("Ticker")
+    unique = ranged if crowded else latest_bars(ranged)
+    return _all_indicators(unique, day_window()).sortWithinPartitions("Ticker", "Date")
+
+
 def increment(before: DataFrame, bars: DataFrame) -> DataFrame:
     """The indicators of ``bars``, the bars of a ticker from some day on.
 

@@ -132,14 +132,35 @@ def over_history(
 ) -> DataFrame:
     """Apply ``compute(df, window)`` whose frames reach at most ``lookback`` rows back.
 
-    Each key is cut into blocks of ``block_rows`` by exact position; the last
-    ``lookback`` rows of a block are also sent to the next one, and dropped after
-    ``compute``. With ``bounded`` the caller vouches that a key has few rows by
-    its nature (one per ticker and day, say), and a window per key serves.
+    A key of more than ``block_rows`` is cut into blocks of that many by exact position;
+    the last ``lookback`` rows of a block are also sent to the next one, and dropped
+    after ``compute``. Any other key is one block already, so its rows are shuffled
+    just once, to a window per key. With ``bounded`` the caller vouches that a key has few
+    rows by its nature (one per ticker and day, say), and they are not counted.
     """
+    whole = Window.partitionBy(*keys).orderBy(*order)
     if bounded:
-        return compute(df, Window.partitionBy(*keys).orderBy(*order))
+        return compute(df, whole)
     block_rows = max(block_rows, lookback + 1)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block_rows)
+    hot = materialise(sizes.select(*keys, F.lit(True).alias("_hot")), "hot_keys")
+    if hot.isEmpty():
+        return compute(df, whole)
+    marked = join_by_key(df, hot, keys, "left")
+    few = compute(marked.filter(F.col("_hot").isNull()).drop("_hot"), whole)
+    many = marked.filter("_hot").drop("_hot")
+    return few.unionByName(_in_blocks(many, keys, order, lookback, compute, block_rows))
+
+
+def _in_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    lookback: int,
+    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    block_rows: int,
+) -> DataFrame:
+    """``over_history`` of keys of more than a block."""
     numbered = number_rows(df, keys, order)
     block = F.floor(F.col("_pos") / block_rows)
     own = F.struct(block.alias("block"), F.lit(False).alias("carried"))

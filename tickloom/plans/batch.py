@@ -58,7 +58,7 @@ def run_transform(
     if head.rows == 0:
         raise RuntimeError(f"raw table {raw_path} is empty; nothing to transform")
     raw = tables.read_table(spark, raw_path, head.version).rows
-    curated = I.clustered(I.indicators(raw, dedupe=dedupe))
+    curated = I.ranged_indicators(raw) if dedupe else I.clustered(I.indicators(raw, dedupe=False))
     version = tables.overwrite_version(curated, curated_path)
     run = {
         "run_id": run_id or uuid.uuid4().hex,
