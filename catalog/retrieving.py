@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.derive import BLANKS, CHUNKS, LATEST_BARS, MARKDOWN, SECTIONS, markdown, table
 from catalog.market import bars, curated
@@ -13,7 +14,7 @@ from tickloom.functions import text as X
 from tickloom.operators import embedding, evaluation, lookups, neighbours, ordering, summaries
 from tickloom.plans import prompts, retrieval
 from tickloom.schemas import MIN_QUESTIONS_PER_DOCUMENT, TOP_K
-from tickloom.session import scratch_path
+from tickloom.session import materialise, scratch_path
 from tickloom.sources import buckets, corpus, evalset, news
 
 
@@ -526,15 +527,29 @@ found AS (SELECT query_id, CAST(rank AS INTEGER) AS rank, f.id, c.source, c.text
 
 def checksum(df: DataFrame, *names: str) -> DataFrame:
     """Dimension, length and a position-weighted sum of each vector."""
-    values = F.transform("embedding", lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x))
-    placed = F.transform(values, lambda x, i: x * i)
-    return df.select(
-        *names,
-        F.size("embedding").alias("dim"),
-        F.round(norm, 4).alias("norm"),
-        F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 4).alias("checksum"),
-    )
+    kept = [df.schema[n] for n in names]
+    schema = T.StructType([*kept, *T.StructType.fromDDL("dim int, norm double, checksum double").fields])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            vectors = batch.column("embedding")
+            size = pc.list_value_length(vectors)
+            values, at = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64"), pc.fill_null(size, 0).to_numpy()
+            row = np.repeat(np.arange(len(at)), at)
+            place = np.arange(len(values)) - np.repeat(np.cumsum(at) - at, at)
+            gone = size.is_null().to_numpy(zero_copy_only=False)
+            sums = [np.bincount(row, weights=w, minlength=len(at)) for w in (values * values, values * place)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), size.cast(pa.int32()),
+                 pa.array(np.sqrt(sums[0]), pa.float64(), mask=gone), pa.array(sums[1], pa.float64(), mask=gone)],
+                names=schema.names,
+            )
+
+    return rounded(df.select(*names, "embedding").mapInArrow(run, schema), 4, "norm", "checksum")
 
 
 def built(spark: SparkSession, sf_dir: str) -> str:
@@ -545,7 +560,8 @@ def built(spark: SparkSession, sf_dir: str) -> str:
 
 @query(f"WITH {EMBEDDED} SELECT id, {CHECKSUM} FROM embedded GROUP BY 1")
 def embed_corpus(spark, sf_dir):
-    texts = chunks(spark, sf_dir).select("id", "text")
+    counted = embedding.count_words(chunks(spark, sf_dir).select("id", "text")).drop("text")
+    texts = materialise(counted, "counted")
     return checksum(embedding.embed(embedding.fit_embedder(texts), texts), "id")
 
 

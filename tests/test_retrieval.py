@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickloom.functions import text as X
-from tickloom.operators import evaluation, lookups, neighbours, summaries
+from tickloom.operators import embedding, evaluation, lookups, neighbours, summaries
 from tickloom.plans import prompts, retrieval
 from tickloom.session import scratch_path
 from tickloom.sources import corpus, news, tables
@@ -361,3 +361,37 @@ def test_small_blocks_do_not_multiply_what_is_sent(spark, monkeypatch):
         got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
     assert got == brute(data, [(i, v) for i, v in data if i % 5 == 0], 6)
     assert tables["beyond"].count() <= 120 * 6 * (2 * 16 + 1)
+
+
+def test_finite_vectors_are_told_without_a_lambda_per_element(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(1, [1.0, 0.0]), (2, [nan, 0.0]), (3, [inf, 0.0]), (4, [-inf, 0.0]), (5, [None, 1.0]), (6, None), (7, [-1.0, 2.0]), (8, [None, inf])]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(data, f"id long, embedding array<{kind}>").repartition(2)
+        kept = df.filter(neighbours._finite(df))
+        assert sorted(r.id for r in kept.collect()) == [1, 7]
+        assert "lambda" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checksum_against_plain_sums(spark):
+    from catalog.retrieving import checksum
+
+    rng = np.random.default_rng(5)
+    data = [(i, [float(x) for x in rng.normal(size=n)]) for i, n in enumerate([4, 1, 0, 7])] + [(9, None)]
+    df = spark.createDataFrame(data, "id int, embedding array<double>")
+    got = {r.id: (r.dim, r.norm, r.checksum) for r in checksum(df, "id").collect()}
+    want = {i: (len(v), round(math.sqrt(sum(x * x for x in v)), 4), round(sum(p * x for p, x in enumerate(v)), 4)) for i, v in data[:4]}
+    assert got == {**want, 9: (None, None, None)}
+    assert "lambda" not in checksum(df, "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_embed_corpus_counts_words_once(spark, tmp_path, monkeypatch):
+    from catalog import retrieving
+
+    docs = [(i, f"Kafka moves events, lag {i} " * 8, "en", "src1", 100) for i in range(6)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    counted, count = [], embedding.count_words
+    monkeypatch.setattr(embedding, "count_words", lambda *a: counted.append(1) or count(*a))
+    done = retrieving.embed_corpus(spark, str(tmp_path))
+    assert {r.dim for r in done.collect()} == {768} and len(counted) == 1
+    assert "crc32" not in done._jdf.queryExecution().executedPlan().toString()

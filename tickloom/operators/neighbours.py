@@ -90,6 +90,15 @@ def _numbers(df: DataFrame) -> DataFrame:
     return df if floats else df.withColumn("embedding", F.col("embedding").cast("array<double>"))
 
 
+def _finite(df: DataFrame) -> Column:
+    """Whether a vector holds finite numbers only; compiled, where a lambda per element is not."""
+    kind = df.schema["embedding"].dataType.elementType
+    infinite = F.lit(float("inf")).cast(kind)
+    # A null element makes the membership unknown, and a NaN is the largest of all.
+    without = ~F.array_contains("embedding", infinite) & ~F.isnan(F.array_max("embedding"))
+    return F.coalesce(without & (F.array_min("embedding") > -infinite), F.lit(False))
+
+
 def _in_range(vectors: DataFrame, dimension: int) -> DataFrame:
     return vectors.filter(F.size("embedding") == dimension)
 
@@ -183,11 +192,8 @@ def nearest(
     make over ``MOST_PARTS`` parts.
     """
     corpus, queries = _numbers(corpus), _numbers(queries)
-    finite = F.col("embedding").isNotNull() & F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    )
-    corpus = corpus.select("id", "embedding").filter(F.col("id").isNotNull() & finite)
-    queries = queries.select("query_id", "embedding").filter(finite)
+    corpus = corpus.select("id", "embedding").filter(F.col("id").isNotNull() & _finite(corpus))
+    queries = queries.select("query_id", "embedding").filter(_finite(queries))
     lengths = corpus.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"))
     most = lengths.filter("size > 0").orderBy(F.desc("n"), F.desc("size")).first()
     if most is None:
