@@ -30,7 +30,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_markdown_corpus(spark, sf_dir):
     """One text file per document, read back whole; the folder name carries the source."""
     path = scratch_path(spark, "files")
-    markdown(spark, sf_dir).repartition("source").write.partitionBy("source").text(path)
+    corpus.write_markdown_corpus(markdown(spark, sf_dir), path)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "/source=([^/]+)/", 1)
     files = corpus.read_markdown_corpus(spark, f"{path}/*", "*.txt", folder)
     return files.withColumn("raw", F.regexp_replace("raw", r"\n\z", ""))

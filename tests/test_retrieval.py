@@ -58,6 +58,17 @@ def test_missing_folder_is_empty(spark, tmp_path):
     assert corpus.read_markdown_corpus(spark, str(tmp_path / "nowhere")).count() == 0
 
 
+def test_documents_written_one_file_each(spark, tmp_path):
+    """Texts come back as they are; rows of one source share its file, and nothing lies beside it."""
+    texts = [("a.md", "one\ntwo\r\n"), ("b=/c", ""), ("d", None), ("e", "ä" * 100_000), ("f", "x"), ("f", "x")]
+    corpus.write_markdown_corpus(spark.createDataFrame(texts, corpus.RAW), str(tmp_path / "c"))
+    found = {d.name: [f.read_text(newline="") for f in d.iterdir()] for d in (tmp_path / "c").iterdir()}
+    assert found == {
+        "source=a.md": ["one\ntwo\r\n\n"], "source=b%3D%2Fc": ["\n"], "source=d": ["\n"], "source=e": ["ä" * 100_000 + "\n"],
+        "source=f": ["x\nx\n"],
+    }
+
+
 def test_chunk_counts_and_shape(shaped):
     chunks = rows(corpus.chunk_corpus(shaped))
     per_source = {}

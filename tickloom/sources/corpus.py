@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import text as X
 from tickloom.functions import times as TM
 from tickloom.operators.summaries import union_all
-from tickloom.sources import tables
+from tickloom.sources import files, tables
 
 RAW = "source string, raw string"
 
@@ -22,16 +22,25 @@ def read_markdown_corpus(
     The source is the file name unless ``source`` derives it from the path otherwise.
     """
     try:
-        files = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
+        texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], RAW)
-    return files.select(
+    return texts.select(
         (F.col("_metadata.file_name") if source is None else source).alias("source"), X.plain_newlines(F.col("value")).alias("raw")
     )
 
 
+def write_markdown_corpus(raw: DataFrame, path: str) -> None:
+    """One text file per document (source, raw) under a ``source=...`` folder of its own."""
+    placed = raw.select("source", "raw").repartition("source")
+    if files.local_path(raw.sparkSession, path):
+        files.write_lines(placed.sortWithinPartitions("source"), path, "source", F.col("raw"), ".txt")
+    else:
+        placed.write.partitionBy("source").text(path)
+
+
 def union_corpus(context: DataFrame, briefings: DataFrame) -> DataFrame:
     return union_all([context, briefings])
 
