@@ -117,6 +117,30 @@ def test_csv_round_trip(spark):
         ("GLE.PA", "2026-01-01", 3.5), ("NOW", "2026-01-01", 1.5), ("NOW", "2026-01-02", 2.5)]
 
 
+def test_a_ticker_is_one_file_as_spark_writes_it(spark):
+    """Odd names, empty and null ones, quotes, nulls; the file lies alone in its folder, and an export replaces the last."""
+    from pathlib import Path
+
+    bars = spark.createDataFrame(
+        [("2026-01-01", "a/b=c%", 1.5, 1), ("2026-01-02", "a/b=c%", None, 2), ("x,\"y", None, 2.5, 3), (None, "é 1", 1e-9, None),
+         ("2026-01-02", "", 3.0, 4), ("", "Z", float("nan"), 5)],
+        "Date string, Ticker string, Close double, Volume long",
+    )
+    own, plain = (Path(scratch_path(spark, n).removeprefix("file:")) for n in ("own", "plain"))
+    landing.export_csv_by_ticker(bars.withColumn("Ticker", F.lit("gone")), str(own))
+    landing.export_csv_by_ticker(bars, str(own))
+    ordered = bars.select("Ticker", "Date", "Close", "Volume").coalesce(1).sortWithinPartitions("Ticker", "Date")
+    ordered.write.partitionBy("Ticker").option("header", True).csv(str(plain))
+
+    def lines(top):
+        return {d.name: sorted(x for f in d.glob("*.csv") for x in set(f.read_text().splitlines())) for d in top.glob("Ticker=*")}
+
+    assert {k: sorted(set(v)) for k, v in lines(own).items()} == {k: sorted(set(v)) for k, v in lines(plain).items()}
+    names = [f.name for d in own.glob("Ticker=*") for f in d.iterdir()]
+    assert names and all(n.endswith(".csv") and n.startswith("part-") for n in names)
+    assert landing.read_landed_bars(spark, str(own)).count() == 6
+
+
 def test_seed_prices(spark):
     portfolio = spark.createDataFrame([("AAA",), ("BBB",), ("CCC",)], "Ticker string")
     bars = spark.createDataFrame(

@@ -11,6 +11,7 @@ from tickloom.functions import columns as C
 from tickloom.functions import times as TM
 from tickloom.operators.summaries import union_all
 from tickloom.schemas import PROVIDER_COLUMNS, RAW_BARS
+from tickloom.sources import files
 
 LANDED = "Date string, Open double, High double, Low double, Close double, Volume double, Ticker string"
 
@@ -55,4 +56,9 @@ def export_csv_by_ticker(bars: DataFrame, path: str) -> None:
     """
     view = C.keep_present(bars, ["Ticker", *PROVIDER_COLUMNS])
     ranged = view.repartitionByRange("Ticker", "Date").sortWithinPartitions("Ticker", "Date")
+    if files.local_path(bars.sparkSession, path):
+        names = [c for c in view.columns if c != "Ticker"]
+        line = F.to_csv(F.struct(*names))
+        files.write_lines(ranged, path, "Ticker", line, ".csv", f"{','.join(names)}\n")
+        return
     ranged.write.partitionBy("Ticker").option("header", True).mode("overwrite").csv(path)
