@@ -199,6 +199,22 @@ def test_buckets_store_only_what_changes(spark):
     assert stored(spark, path) == {} and buckets.read_state(spark, path).rows == 0
 
 
+def test_bucket_rows_are_written_once(spark):
+    """Straight to their place, without a scratch copy; buckets that turn out the same leave no files behind."""
+    from pathlib import Path
+
+    path = scratch_path(spark, "once")
+    scratch = Path(path.removeprefix("file:")).parent
+    before = set(scratch.glob("buckets-*"))
+    many = {f"k{i}": "old" for i in range(40)}
+    buckets.publish(entries(spark, **many), path, "id", count=8)
+    one = buckets.publish(entries(spark, **many | {"k3": "new"}), path, "id")
+    assert set(scratch.glob("buckets-*")) == before
+    assert (one.stored, one.kept) == (1, 7)
+    assert len(list(Path(path.removeprefix("file:"), "data", "_version=1").glob("_bucket=*"))) == 1
+    assert stored(spark, path) == many | {"k3": "new"}
+
+
 def test_a_bucket_write_that_died_is_invisible(spark):
     path = scratch_path(spark, "half")
     buckets.publish(entries(spark, a="1", b="2"), path, "id", count=4, notes={"model": "m1"})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import columns as C
 from tickloom.operators import ordering
+from tickloom.schemas import INDICATORS
 
 # Frame lengths in rows.
 SHORT_ROWS = 20
@@ -73,15 +74,46 @@ def ranged_indicators(bars: DataFrame) -> DataFrame:
     return _all_indicators(unique, day_window()).sortWithinPartitions("Ticker", "Date")
 
 
-def increment(before: DataFrame, bars: DataFrame) -> DataFrame:
-    """The indicators of ``bars``, the bars of a ticker from some day on.
+def beside_stored(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """New bars and the rows stored of their buckets, told apart by ``_new``.
 
-    ``before`` holds the last ``LONG_ROWS`` bars of each ticker ahead of that day, as far as there are any.
+    Stored rows are shuffled without their indicators, which come out of their bars again.
+    Only a bar without a day, which sorts before all others whenever it lands, may change
+    them; where there is one they go along in ``_stored``.
     """
-    columns = [c for c in bars.columns if c != "_seed"]
-    seeds = before.select(*columns).withColumn("_seed", F.lit(True))
-    both = seeds.unionByName(latest_bars(bars.select(*columns)).withColumn("_seed", F.lit(False)))
-    return _all_indicators(both, day_window()).filter(~F.col("_seed")).drop("_seed")
+    undated = F.col("Date").isNull()
+    bare = fresh.filter(undated).select("Date").union(stored.filter(undated).select("Date")).isEmpty()
+    carried = F.struct(*INDICATORS)
+    columns = [*fresh.columns, F.lit(False).alias("_new"), *([] if bare else [carried.alias("_stored")])]
+    return stored.select(*columns).unionByName(fresh.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+
+
+def brought_up(bars: DataFrame, place: Sequence[str] = ()) -> DataFrame:
+    """The indicators of bars, or of ``beside_stored`` rows.
+
+    Stored rows of a ticker before the first day of its new bars stay as they are; its other
+    rows are computed after them, the one ingested last of each day. ``place`` are columns
+    that follow from the ticker and by which rows are dealt already; one sort serves all windows.
+    """
+    marks = ("_new", "_stored")
+    names = [c for c in bars.columns if c not in (*place, *marks, "Date", "Ticker", "ingested_at_utc")]
+    newest = [F.col(c).desc() for c in ("ingested_at_utc", *names)]
+    keys = [*place, "Ticker"]
+    whole = Window.partitionBy(*keys)
+    rows, kept = bars.sortWithinPartitions(*keys, "Date", *newest), F.lit(False)
+    if "_new" in bars.columns:
+        first = F.min(F.when(F.col("_new"), F.col("Date"))).over(whole)
+        rows = rows.withColumns({"_first": first, "_hit": F.max("_new").over(whole)})
+        before = F.coalesce(F.col("Date") < F.col("_first"), F.lit(True))
+        kept = ~F.col("_new") & (~F.col("_hit") | before)
+    rows = rows.withColumn("_kept", kept).drop("_first", "_hit", "_new")
+    day = Window.partitionBy(*keys, "Date").orderBy(*newest).rowsBetween(Window.unboundedPreceding, 0)
+    number = F.sum(F.when(F.col("_kept"), 0).otherwise(1)).over(day)
+    rows = rows.withColumn("_number", number).filter((F.col("_number") == 1) | F.col("_kept")).drop("_number")
+    done = _all_indicators(rows, whole.orderBy("Date"))
+    if "_stored" in bars.columns:
+        done = done.withColumns({c: F.when(F.col("_kept"), F.col("_stored")[c]).otherwise(F.col(c)) for c in INDICATORS})
+    return done.drop("_kept", "_stored")
 
 
 def day_window() -> WindowSpec:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times as TM
 from tickloom.operators import indicators as I
-from tickloom.operators import ordering, summaries
+from tickloom.operators import summaries
 from tickloom.operators.monitor import record_metrics
 from tickloom.sources import buckets, landing, tables
 
@@ -78,8 +78,9 @@ def run_increment(
     """Bring a curated table in ticker buckets up to the raw table, from the versions that came since.
 
     Only these versions are read. Of a ticker with new bars, the rows from its first new
-    day on are computed again, after the last bars before that day, which the curated table
-    holds; only the buckets of such tickers are stored. The first run, and one after the
+    day on are computed again, after the bars before that day, which the curated table
+    holds; only the buckets of such tickers are stored. Bars are shuffled once, to the task
+    that computes and stores their ticker. The first run, and one after the
     raw table was replaced, computes everything. Same rows as ``run_transform`` with ``dedupe``.
     """
     started = time.perf_counter()
@@ -92,21 +93,17 @@ def run_increment(
     rows_in = 0
     if done is None or head.base > since:
         raw = tables.read_table(spark, raw_path, head.version).rows
-        buckets.publish(I.indicators(raw), curated_path, "Ticker", notes=notes)
+        placed = buckets.place(raw, curated_path, "Ticker", whole_keys=True)
+        buckets.publish(I.brought_up(placed, buckets.PLACE), curated_path, "Ticker", notes=notes)
         rows_in = head.rows
     elif head.version > since:
         raw = tables.read_table(spark, raw_path, head.version, keep_version=True).rows
         fresh = raw.filter(F.col(tables.VERSION) > since).drop(tables.VERSION)
         rows_in = tables.new_rows(spark, raw_path, since)
         hit = buckets.touched(fresh, done)
-        first = fresh.groupBy("Ticker").agg(F.min("Date").alias("_first"), F.lit(True).alias("_hit"))
-        stored = ordering.join_by_key(buckets.read(spark, curated_path, hit), first, ["Ticker"], "left")
-        earlier = F.col("_hit").isNull() | F.coalesce(F.col("Date") < F.col("_first"), F.lit(True))
-        kept, later = stored.filter(earlier), stored.filter(~earlier).select(*fresh.columns)
-        last = [F.col("Date").desc()]
-        seeds = ordering.top_n(kept.filter("_hit"), ["Ticker"], last, I.LONG_ROWS, "_rank").select(*fresh.columns)
-        again = I.increment(seeds, later.unionByName(fresh))
-        buckets.replace(kept.drop("_first", "_hit").unionByName(again), curated_path, hit, notes)
+        both = I.beside_stored(fresh, buckets.read(spark, curated_path, hit))
+        placed = buckets.place(both, curated_path, "Ticker", whole_keys=True)
+        buckets.replace(I.brought_up(placed, buckets.PLACE), curated_path, hit, notes)
     state = buckets.read_state(spark, curated_path)
     run = {
         "run_id": run_id or uuid.uuid4().hex,

@@ -28,6 +28,8 @@ COMMITS = (
     "prints map<int,string>, schema string, notes map<string,string>"
 )
 BUCKET = "_bucket"
+SLICE = "_slice"
+PLACE = [BUCKET, SLICE]
 VERSION = "_version"
 BUCKETS = 32
 #: Tasks that write a bucket, so that one key of many rows is not one task.
@@ -114,24 +116,55 @@ def _checked(rows: DataFrame) -> dict[int, tuple[int, str]]:
     return {r[BUCKET]: (r["n"], r["print"]) for r in sums.collect()}
 
 
+def _slice(columns: Sequence[str]) -> Column:
+    """A number below ``SLICES``; other bits of the hash than the bucket's, so that both may come from one key."""
+    return F.pmod(F.shiftright(F.xxhash64(*columns), 24), F.lit(SLICES)).cast("int")
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    named = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    named.getFileSystem(spark._jsc.hadoopConfiguration()).delete(named, True)
+
+
+def place(df: DataFrame, path: str, key: str, count: int = BUCKETS, whole_keys: bool = False) -> DataFrame:
+    """``df`` with the bucket of every row, dealt so that a task holds all of few slices of buckets.
+
+    Row-local work between this and the write is not shuffled again. With ``whole_keys`` a key
+    lies in one task, and windows over ``PLACE`` and the key stay there.
+    """
+    old = find_state(df.sparkSession, path)
+    return _dealt(df.withColumn(BUCKET, bucket_of(key, old.count if old else count)), old.count if old else count, key if whole_keys else None)
+
+
+def _dealt(rows: DataFrame, count: int, key: str | None = None) -> DataFrame:
+    short = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.UserDefinedType)) and f.name != BUCKET]
+    sliced = rows.withColumn(SLICE, _slice([key] if key else short))
+    dealt = sliced.repartition(count * SLICES, *PLACE)
+    return dealt if key else dealt.sortWithinPartitions(BUCKET)
+
+
 def _store(rows: DataFrame, path: str, old: State | None, key: str, count: int, replaced: set[int] | None, notes) -> Written:
-    """Publish ``rows`` (with ``_bucket``) as all there is in the ``replaced`` buckets (None: in all)."""
+    """Publish ``rows`` (with ``PLACE``) as all there is in the ``replaced`` buckets (None: in all).
+
+    The rows go where they will stay. What was written is then read for its checksums,
+    and the buckets that turn out the same as before are dropped again.
+    """
     spark = rows.sparkSession
-    found = _checked(rows)
+    rows = rows.drop(SLICE)
+    number = old.version + 1 if old else 0
+    folder = f"{path}/data/{VERSION}={number}"
+    schema = T.StructType([f for f in rows.schema.fields if f.name != BUCKET])
     replaced = set(range(count)) if replaced is None else replaced
+    other = bool(old) and {f.name: f.dataType for f in old.schema} != {f.name: f.dataType for f in schema}
+    if other and replaced != set(range(count)):
+        raise ValueError("rows to store differ from the table in their columns")
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(BUCKET).parquet(folder)
+    found = _checked(spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(folder))
     before = old.prints if old else {}
-    changed = {b for b, (n, seal) in found.items() if before.get(b) != f"{n}:{seal}"}
+    changed = {b for b, (n, seal) in found.items() if other or before.get(b) != f"{n}:{seal}"}
     gone = {b for b in replaced if b not in found and b in before}
-    number = old.version + 1 if old else 0
-    schema = T.StructType([f for f in rows.schema.fields if f.name != BUCKET])
-    if old and {f.name: f.dataType for f in old.schema} != {f.name: f.dataType for f in schema}:
-        if replaced != set(range(count)):
-            raise ValueError("rows to store differ from the table in their columns")
-        changed = set(found)
-    if changed:
-        slices = F.pmod(F.xxhash64(*(f.name for f in schema if not isinstance(f.dataType, T.MapType))), F.lit(SLICES))
-        part = rows.filter(F.col(BUCKET).isin(sorted(changed))).repartition(len(changed) * SLICES, BUCKET, slices)
-        part.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/data/{VERSION}={number}")
+    for same in sorted(found.keys() - changed):
+        _removed(spark, f"{folder}/{BUCKET}={same}")
     live = {b: v for b, v in (old.live if old else {}).items() if b not in gone} | dict.fromkeys(changed, number)
     sizes = {b: n for b, n in (old.sizes if old else {}).items() if b not in gone} | {b: n for b, (n, _) in found.items()}
     prints = {b: p for b, p in before.items() if b not in gone} | {b: f"{n}:{p}" for b, (n, p) in found.items()}
@@ -152,19 +185,19 @@ def _store(rows: DataFrame, path: str, old: State | None, key: str, count: int,
 
 
 def publish(df: DataFrame, path: str, key: str, count: int = BUCKETS, notes: dict[str, str] | None = None) -> Written:
-    """Make ``df`` the table's rows; buckets whose rows are the same as before keep their files."""
+    """Make ``df``, which ``place`` may have dealt, the table's rows; buckets whose rows are the same as before keep their files."""
     old = find_state(df.sparkSession, path)
     count = old.count if old else count
-    rows = materialise(df.withColumn(BUCKET, bucket_of(key, count)), "buckets")
+    rows = df if BUCKET in df.columns else _dealt(df.withColumn(BUCKET, bucket_of(key, count)), count)
     return _store(rows, path, old, key, count, None, notes)
 
 
 def replace(
     df: DataFrame, path: str, buckets: Sequence[int], notes: dict[str, str] | None = None
 ) -> Written:
-    """Make ``df`` the rows of ``buckets``; the other buckets are not read."""
+    """Make ``df``, which ``place`` may have dealt, the rows of ``buckets``; the other buckets are not read."""
     old = read_state(df.sparkSession, path)
-    rows = materialise(df.withColumn(BUCKET, bucket_of(old.key, old.count)), "buckets")
+    rows = df if BUCKET in df.columns else _dealt(df.withColumn(BUCKET, bucket_of(old.key, old.count)), old.count)
     return _store(rows, path, old, old.key, old.count, set(buckets), notes)
 
 

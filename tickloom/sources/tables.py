@@ -145,7 +145,7 @@ def _write(
     # The write's own pass counts the rows and takes the facts; nothing is read again.
     taken = Observation(f"write-{uuid.uuid4().hex}")
     measured = [F.count(F.lit(1)).alias("rows"), *(c.cast("double").alias(name) for name, c in facts.items())]
-    df.observe(taken, *measured).write.mode("overwrite").parquet(data_path(path, number))
+    df.observe(taken, *measured).write.mode("overwrite").option("compression", "zstd").parquet(data_path(path, number))
     found = dict(taken.get)
     rows = found.pop("rows")
     if rows == 0 and mode == "append":
