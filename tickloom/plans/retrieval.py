@@ -60,7 +60,9 @@ def build_index(
     # The model lies under a name of its own, which the version that needs it carries.
     saved = f"{index}/models/{uuid.uuid4().hex}"
     embedding.save_embedder(model, saved)
-    buckets.publish(embedding.embed(model, chunks), collection_path(index), "id", notes={"model": saved})
+    # Dealt before they are vectors: word counts are a fraction of their size.
+    placed = buckets.place(chunks, collection_path(index), "id")
+    buckets.publish(embedding.embed(model, placed), collection_path(index), "id", notes={"model": saved})
     return {
         "docs_indexed": count,
         "stale_removed": stale,
