@@ -406,3 +406,54 @@ def test_embed_corpus_counts_words_once(spark, tmp_path, monkeypatch):
     done = retrieving.embed_corpus(spark, str(tmp_path))
     assert {r.dim for r in done.collect()} == {768} and len(counted) == 1
     assert "crc32" not in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rooms_are_met_without_sending_vectors_to_each(spark, monkeypatch):
+    """Vectors all as far from each other, in small blocks: rows of either side are shuffled once, to be packed."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(400, 8))
+    data = [(f"v{i}", [float(x) for x in v]) for i, v in enumerate(vectors / np.linalg.norm(vectors, axis=1)[:, None])]
+    held = spark.createDataFrame(data, "id string, embedding array<double>").repartition(3)
+    asked = held.where("id LIKE '%3'").withColumnRenamed("id", "query_id")
+    plans, write = {}, neighbours.materialise
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(neighbours, "materialise", watched)
+    got = {}
+    for r in neighbours.nearest(held, asked, 4, query_bytes=256, corpus_bytes=256).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
+    assert got == brute(data, [(i, v) for i, v in data if i.endswith("3")], 4)
+    assert "Exchange" not in plans["near"] and "Exchange" not in plans["beyond"]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_few_query_vectors_are_asked_in_one_pass(spark, monkeypatch, kind):
+    """Sixty queries of four vectors, far from the origin: one pass compares the four with every row."""
+    rng = np.random.default_rng(8)
+    vectors = (rng.normal(size=(90, 5)).round(1) + 4096).astype("float32")
+    vectors[30:60] = vectors[3]
+    data = [(f"v{i:02}", [float(x) for x in v]) for i, v in enumerate(vectors)]
+    asked = [(i, data[i % 4][1]) for i in range(60)]
+    held = spark.createDataFrame(data + [("short", [1.0])], f"id string, embedding array<{kind}>").repartition(5)
+    tables, write = {}, neighbours.materialise
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name: tables.setdefault(name, write(df, name)))
+    got = {}
+    queries = spark.createDataFrame([*asked, (99, [1.0])], f"query_id int, embedding array<{kind}>")
+    for r in neighbours.nearest(held, queries, 6).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
+    assert got == brute(data, asked, 6)
+    assert tables["vectors"].count() == 5 and "scanned" in tables and "cells" not in tables
+
+
+def test_briefings_go_through_the_bars_once(spark, topical, monkeypatch):
+    index = scratch_path(spark, "once")
+    retrieval.build_index(topical, index)
+    curated = spark.createDataFrame([("2026-01-01", "AAA", 1.0), ("2026-01-02", "AAA", 2.0)], "Date string, Ticker string, Close double")
+    names, write = [], prompts.materialise
+    monkeypatch.setattr(prompts, "materialise", lambda df, name: names.append(name) or write(df, name))
+    done = prompts.briefing_inputs(spark, curated, index, bars=1, k=1)
+    assert names == ["recent"] and "ExistingRDD" not in done._jdf.queryExecution().executedPlan().toString()
+    assert "2026-01-02" in next(r.prompt for r in done.collect() if r.Ticker == "AAA")

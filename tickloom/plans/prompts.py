@@ -11,6 +11,7 @@ from tickloom.functions import text as X
 from tickloom.operators import ordering
 from tickloom.plans import retrieval
 from tickloom.schemas import BAR_VIEW, BARS_RANGE, DEFAULT_BARS, TOP_K, bounded_arg
+from tickloom.session import materialise
 
 # How a missing number and a missing context read in a prompt.
 MISSING = "NaN"
@@ -94,8 +95,11 @@ def briefing_inputs(
 ) -> DataFrame:
     """The prompt and the retrieved sources of every ticker in ``curated``."""
     bounded_arg("bars", bars, BARS_RANGE)
-    recent = ordering.latest_n(curated, ["Ticker"], ["Date"], bars, presort=False)
-    asked = curated.select("Ticker").distinct().select(
+    shown = [c for c in columns if c in curated.columns]
+    latest = ordering.latest_n(curated.select("Ticker", "Date", *(c for c in shown if c not in ("Ticker", "Date"))), ["Ticker"], ["Date"], bars, presort=False)
+    # Every ticker has a latest bar, so the bars are gone through once, for these and for the questions.
+    recent = materialise(latest, "recent")
+    asked = recent.select("Ticker").distinct().select(
         F.col("Ticker").alias("query_id"), X.retrieval_query(F.col("Ticker")).alias("text")
     )
     found = retrieval.retrieve(spark, index, asked, k)
