@@ -457,3 +457,20 @@ def test_briefings_go_through_the_bars_once(spark, topical, monkeypatch):
     done = prompts.briefing_inputs(spark, curated, index, bars=1, k=1)
     assert names == ["recent"] and "ExistingRDD" not in done._jdf.queryExecution().executedPlan().toString()
     assert "2026-01-02" in next(r.prompt for r in done.collect() if r.Ticker == "AAA")
+
+
+def test_small_files_are_read_by_tasks(spark, tmp_path):
+    """The same rows as Spark's reader, without a list of the files in the plan."""
+    for folder in ("source=a b", "source=ü%20x", "source=q'&+(~)", "plain"):
+        (tmp_path / folder).mkdir()
+        for name, text in (("p 1.txt", b"t\r\nx" + folder.encode()), (".h.txt", b"no"), ("_h.txt", b"no"), ("empty.txt", b""), ("o.md", b"no")):
+            (tmp_path / folder / name).write_bytes(text)
+    (tmp_path / "plain" / "sub").mkdir()
+    (tmp_path / "plain" / "sub" / "z.txt").write_text("not read")
+    (tmp_path / "top.txt").write_text("top")
+    (tmp_path / "_top.txt").write_text("no")
+    place, path = F.concat_ws("|", "_metadata.file_path", "_metadata.file_name"), f"{tmp_path}/*"
+    theirs = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(place.alias("source"), X.plain_newlines(F.col("value")).alias("raw"))
+    ours = corpus.read_markdown_corpus(spark, path, "*.txt", place)
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect())) and ours.count() == 5
+    assert not ours.inputFiles() and "FileScan" not in ours._jdf.queryExecution().executedPlan().toString()

@@ -22,7 +22,9 @@ def read_markdown_corpus(
     The source is the file name unless ``source`` derives it from the path otherwise.
     """
     try:
-        texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
+        texts = files.read_whole(spark, path, glob)
+        if texts is None:
+            texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
