@@ -474,3 +474,17 @@ def test_small_files_are_read_by_tasks(spark, tmp_path):
     ours = corpus.read_markdown_corpus(spark, path, "*.txt", place)
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect())) and ours.count() == 5
     assert not ours.inputFiles() and "FileScan" not in ours._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_counted_as_the_model_counts_them(spark):
+    """Every character, and the counts of texts, against the model's own stages; words are not counted by the JVM."""
+    every = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x110000))]
+    texts = ["".join(every[i : i + 2048]) + " ".join(every[i : i + 2048 : 7]) for i in range(0, len(every), 2048)]
+    texts += ["", "ΑΣ Σ. ΣΑΣ İI", "One two, two three_three 4½", "“Größe” – naïve… ㊿ 9鿿x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    theirs = df
+    for stage in embedding._counting(768):
+        theirs = stage.transform(theirs)
+    ours = embedding.count_words(df, 768)
+    assert dict(map(tuple, ours.select("i", "_counts").collect())) == dict(map(tuple, theirs.select("i", "_counts").collect()))
+    assert "regexp_extract_all" not in ours._jdf.queryExecution().executedPlan().toString()
